@@ -1,0 +1,137 @@
+"""DuckDB SQL that computes, independently of Spark, what each registered query returns.
+
+The inputs are the same SQL text Spark runs (``rulegrid.sources.mapping``),
+filled with DuckDB's view names.  The statements are plain SQL: the joined
+sum really joins and then sums, the IN lists are IN subqueries.  The helper
+functions are written out in DuckDB's own list functions: Java's split keeps
+element ``k`` iff the regex split has one element (then ``k = 0``) or some
+element from ``k`` on is non-empty.
+"""
+
+from __future__ import annotations
+
+from rulegrid.sources.mapping import (
+    CONTEXTS_SQL,
+    KEY_LIST_SQL,
+    TABLE_A_SQL,
+    TABLE_B_SQL,
+    for_duckdb,
+)
+
+_A = for_duckdb(TABLE_A_SQL)
+_B = for_duckdb(TABLE_B_SQL)
+_KEYS = for_duckdb(KEY_LIST_SQL, table_a=_A)
+_CTX = for_duckdb(CONTEXTS_SQL)
+
+
+def _split_at(s: str, rx: str, k: int) -> str:
+    parts = f"string_split_regex({s}, '{rx}')"
+    return (
+        f"(CASE WHEN len({parts}) = 1 THEN {parts}[{k + 1}] "
+        f"WHEN array_to_string({parts}[{k + 1}:], '') <> '' THEN {parts}[{k + 1}] END)"
+    )
+
+
+def _substr_strict(s: str, b: int, e: int) -> str:
+    return f"(CASE WHEN {b} >= 0 AND {b} <= {e} AND {e} <= length({s}) THEN substring({s}, {b + 1}, {e - b}) END)"
+
+
+def _parse(s: str, sql_type: str) -> str:
+    return f"(CASE WHEN regexp_full_match({s}, '[+-]?[0-9]+') THEN try_cast({s} AS {sql_type}) END)"
+
+
+def _nested(text: str, sep: str, sep2: str, n: int) -> str:
+    head = _split_at(text, sep, 0)
+    return (
+        f"{_split_at(text, sep, 1)} || '.' || "
+        f"{_substr_strict(_split_at(head, sep2, 1), 0, n)} || '.UNIT'"
+    )
+
+
+_X = "((a + b) * (a + b) - 4 * a * c)"
+
+RULES_DUCKDB = {
+    "r1": f"{_split_at('text1', ':', 1)} || '.step'",
+    "r2": f"{_split_at('text2', ':', 1)} || '.step'",
+    "r3": _nested("text3", r"\|", ":", 3),
+    "r4": _nested("text4", r"\|", r"\.", 4),
+    "r5": f"{_parse(_split_at('text5', ':', 1), 'INTEGER')} + 5",
+    "r6": f"{_parse(_split_at('text6', ':', 1), 'INTEGER')} + 5",
+    "r7_int": "length // 3",
+    "r7_dec": "CAST(length / 3 AS DECIMAL(38, 10))",
+    "r8": f"CASE WHEN {_X} > 0 THEN '2' WHEN {_X} <= 0 THEN '1 or 0' END",
+    "r9": "(d + e // 3) + (d * e)",
+    "r10": "coalesce(f IN (1, 2, 3, 4, 5), false)",
+    "r5_long": f"{_parse(_split_at('text5', ':', 1), 'BIGINT')} + 5",
+    "r6_long": f"{_parse(_split_at('text6', ':', 1), 'BIGINT')} + 5",
+}
+
+ALL_RULES = ("r1", "r2", "r3", "r4", "r5", "r6", "r7_int", "r7_dec", "r8", "r9", "r10")
+
+
+def _rules_select(rule_ids) -> str:
+    cols = ",\n  ".join(f"{RULES_DUCKDB[r]} AS {r}" for r in rule_ids)
+    return f"SELECT event_id,\n  {cols}\nFROM ({_CTX}) AS ctx"
+
+
+def _rules_long() -> str:
+    cols = ", ".join(f"CAST({r} AS VARCHAR) AS {r}" for r in ALL_RULES)
+    return (
+        f"SELECT event_id, rule_id, result FROM (SELECT event_id, {cols} FROM ({_rules_select(ALL_RULES)}) w) "
+        f"UNPIVOT INCLUDE NULLS (result FOR rule_id IN ({', '.join(ALL_RULES)}))"
+    )
+
+
+def _rules_failures() -> str:
+    counts = ", ".join(f"count(*) FILTER (WHERE {r} IS NULL) AS {r}" for r in ALL_RULES)
+    return (
+        f"SELECT n, rule_id, n_failed FROM (SELECT count(*) AS n, {counts} FROM ({_rules_select(ALL_RULES)}) w) "
+        f"UNPIVOT INCLUDE NULLS (n_failed FOR rule_id IN ({', '.join(ALL_RULES)}))"
+    )
+
+
+_IN_LISTS = (
+    "b.item_id IN (SELECT l.inv_item_id FROM ({keys}) AS l) "
+    "AND b.org_id IN (SELECT l.sch_org_id FROM ({keys}) AS l)"
+).format(keys=_KEYS)
+
+_IN_LIST_GROUP_SUM = f"""
+SELECT b.org_id AS sch_org_id, 'oi001' AS org_id, b.item_id AS inv_item_id, sum(b.shuju) AS m
+FROM ({_B}) AS b
+WHERE {_IN_LISTS}
+GROUP BY b.org_id, b.item_id
+"""
+
+ORACLE_SQL = {
+    "join_two_keys": f"""
+SELECT a.sch_org_id, a.org_id, a.inv_item_id, b.shuju
+FROM ({_A}) AS a, ({_B}) AS b
+WHERE b.item_id = a.inv_item_id AND b.org_id = a.sch_org_id
+""",
+    "group_sum": f"""
+SELECT org_id, item_id, sum(shuju) AS m FROM ({_B}) AS b GROUP BY org_id, item_id
+""",
+    "join_group_sum": f"""
+SELECT a.sch_org_id, a.org_id, a.inv_item_id, sum(b.shuju) AS m
+FROM ({_A}) AS a, ({_B}) AS b
+WHERE b.item_id = a.inv_item_id AND b.org_id = a.sch_org_id
+GROUP BY a.sch_org_id, a.org_id, a.inv_item_id
+""",
+    "filter_in_lists": f"""
+SELECT b.org_id, b.item_id, b.shuju FROM ({_B}) AS b WHERE {_IN_LISTS}
+""",
+    "in_list_group_sum": _IN_LIST_GROUP_SUM,
+    "in_keys_group_sum": _IN_LIST_GROUP_SUM,
+    "rules_wide": _rules_select(ALL_RULES),
+    "rules_long": _rules_long(),
+    "rules_failures": _rules_failures(),
+    "rule_split_index": _rules_select(("r1", "r2")),
+    "rule_nested_split": _rules_select(("r3", "r4")),
+    "rule_parse_add": _rules_select(("r5", "r6")),
+    "rule_parse_add_long": _rules_select(("r5_long", "r6_long")),
+    "rule_divide_integer": _rules_select(("r7_int",)),
+    "rule_divide_decimal": _rules_select(("r7_dec",)),
+    "rule_ternary": _rules_select(("r8",)),
+    "rule_arith": _rules_select(("r9",)),
+    "rule_member": _rules_select(("r10",)),
+}
