@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rulegrid.sources.tables import read_table
+from rulegrid.sources.tables import read_table, spread
 
 TABLE_A_SQL = """
 SELECT l_suppkey AS sch_org_id, c_nationkey AS org_id, l_partkey AS inv_item_id
@@ -84,4 +84,5 @@ def key_list(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def contexts(spark: SparkSession, data_dir: str) -> DataFrame:
-    return spark.sql(CONTEXTS_SQL, events=read_table(spark, data_dir, "events"))
+    """Evaluation records, spread over all cores (rule work is CPU-bound)."""
+    return spread(spark.sql(CONTEXTS_SQL, events=read_table(spark, data_dir, "events")))
