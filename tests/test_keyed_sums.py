@@ -145,3 +145,26 @@ def test_in_list_filter_reaches_parquet_scan(spark, tmp_path, b):
     text = plan.executedPlan().toString()
     assert "PushedFilters: [In(item_id" in text or "PushedFilters: [IsNotNull" in text
     assert "In(item_id" in text and "In(org_id" in text
+
+
+def test_named_statements(spark, a, b):
+    from pyspark.sql import Row
+
+    from rulegrid.plans.statements import pluck, run_statement
+
+    assert rows(run_statement("join_group_sum", table_a=a, table_b=b)) == rows(join_group_sum(a, b))
+    elements = [{"inv_item_id": 100, "sch_org_id": 1}, Row(inv_item_id=101, sch_org_id=2)]
+    assert pluck(elements, "sch_org_id") == [1, 2]
+    assert rows(run_statement("in_list_group_sum", table_b=b, list=elements)) == EXPECTED_IN_LIST
+    keys = spark.createDataFrame([(100, 1), (101, 2)], "inv_item_id bigint, sch_org_id bigint")
+    assert rows(run_statement("in_list_group_sum", table_b=b, list=keys)) == EXPECTED_IN_LIST
+    with pytest.raises(ValueError):
+        run_statement("nope")
+
+
+def test_in_list_string_keys_with_quotes(spark):
+    b = spark.createDataFrame(
+        [("o'1", "it\\em", 1.0), ("o'1", "it\\em", 2.0), ("o2", "x", 4.0)],
+        "org_id string, item_id string, shuju double",
+    )
+    assert rows(in_list_group_sum(b, ["it\\em", "x"], ["o'1"])) == [("o'1", "oi001", "it\\em", 3.0)]
