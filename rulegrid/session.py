@@ -22,6 +22,12 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # No broadcast from static estimates (file sizes scaled by column width are
+    # not a bound on in-memory size); AQE broadcasts a side only after its
+    # shuffle output was measured below this size.  Explicit broadcast() hints,
+    # used only behind a measured count, still apply.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     # Lineage cuts written by checkpoint() are removed when their RDD goes away.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
