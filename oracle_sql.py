@@ -62,6 +62,7 @@ RULES_DUCKDB = {
     "r8": f"CASE WHEN {_X} > 0 THEN '2' WHEN {_X} <= 0 THEN '1 or 0' END",
     "r9": "(d + e // 3) + (d * e)",
     "r10": "coalesce(f IN (1, 2, 3, 4, 5), false)",
+    "r9_dec": "CAST(d + CAST(e / 3 AS DECIMAL(38, 10)) + d * e AS DECIMAL(38, 10))",
     "r5_long": f"{_parse(_split_at('text5', ':', 1), 'BIGINT')} + 5",
     "r6_long": f"{_parse(_split_at('text6', ':', 1), 'BIGINT')} + 5",
 }
@@ -133,5 +134,6 @@ SELECT b.org_id, b.item_id, b.shuju FROM ({_B}) AS b WHERE {_IN_LISTS}
     "rule_divide_decimal": _rules_select(("r7_dec",)),
     "rule_ternary": _rules_select(("r8",)),
     "rule_arith": _rules_select(("r9",)),
+    "rule_arith_decimal": _rules_select(("r9_dec",)),
     "rule_member": _rules_select(("r10",)),
 }

@@ -38,6 +38,11 @@ EXAMPLE_RULES = {
     "r10": r"coalesce(f IN (1, 2, 3, 4, 5), false)",
 }
 
+# The precise-number dialect divides integers exactly, rounded to 10 places.
+EXAMPLE_RULES_DECIMAL = {
+    "r9_dec": r"cast(try_add(try_add(cast(d AS decimal(20, 0)), round(cast(e AS decimal(20, 0)) / cast(3 AS decimal(20, 0)), 10)), try_multiply(d, e)) AS decimal(38, 10))",
+}
+
 # The 64-bit dialect parses with long(...).
 EXAMPLE_RULES_LONG = {
     "r5_long": r"try_add(parse_long(split_at(text5, ':', 1)), 5)",
@@ -46,5 +51,5 @@ EXAMPLE_RULES_LONG = {
 
 
 def pick(*rule_ids: str) -> dict[str, str]:
-    merged = {**EXAMPLE_RULES, **EXAMPLE_RULES_LONG}
+    merged = {**EXAMPLE_RULES, **EXAMPLE_RULES_DECIMAL, **EXAMPLE_RULES_LONG}
     return {rule_id: merged[rule_id] for rule_id in rule_ids}

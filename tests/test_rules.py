@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from rulegrid.operators import check_rules, rules_failures, rules_long, rules_wide
-from rulegrid.plans.rulebook import EXAMPLE_RULES, EXAMPLE_RULES_LONG
+from rulegrid.plans.rulebook import EXAMPLE_RULES, EXAMPLE_RULES_DECIMAL, EXAMPLE_RULES_LONG
 
 # The example evaluation record and the results it must give.
 CONTEXT = {
@@ -65,6 +65,13 @@ def test_long_parse(spark):
     assert row.r6 is None  # beyond 32 bits: the 32-bit parse fails
 
 
+def test_decimal_arithmetic(spark):
+    row = rules_wide(context_df(spark), EXAMPLE_RULES_DECIMAL).first()
+    assert row.r9_dec == Decimal("134.0000000000")
+    row = rules_wide(context_df(spark, e=13), EXAMPLE_RULES_DECIMAL).first()
+    assert row.r9_dec == Decimal("144.3333333333")
+
+
 def test_failing_records_give_null(spark):
     df = context_df(spark, text1="step1:", text4="y1.5|x", text5="a: 1", a=2**31 - 1, f=None)
     row = rules_wide(df, EXAMPLE_RULES).first()
