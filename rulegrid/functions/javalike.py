@@ -63,14 +63,21 @@ RETURN CASE WHEN s RLIKE '^[+-]?[0-9]+\\z' THEN try_cast(s AS BIGINT) END""",
 FUNCTION_NAMES = tuple(_DEFINITIONS)
 
 
+_REGISTERED: set[str] = set()
+
+
 def register_functions(spark: SparkSession) -> None:
-    """Register the helpers in ``spark``'s session catalog.
+    """Register the helpers in ``spark``'s session catalog, once per session.
 
-    ``CREATE OR REPLACE`` makes this safe to call at the top of every query;
-    it only touches the driver-side catalog and runs no job.
+    Temporary functions belong to one session; ``CREATE OR REPLACE`` would
+    also be safe to repeat.  Only the driver-side catalog changes; no job runs.
     """
+    session_id = spark._jsparkSession.sessionUUID()
+    if session_id in _REGISTERED and all(spark.catalog.functionExists(n) for n in FUNCTION_NAMES[:1]):
+        return
     for ddl in _DEFINITIONS.values():
         spark.sql(ddl)
+    _REGISTERED.add(session_id)
 
 
 def _call(name: str, *args: Column) -> Column:

@@ -10,10 +10,10 @@ from rulegrid.operators.keyed_sums import (
     join_two_keys,
 )
 from rulegrid.operators.rules import (
-    CompiledRules,
+    RuleProjection,
     RuleProblem,
     check_rules,
-    compile_rules,
+    project_rules,
     rules_failures,
     rules_long,
     rules_wide,
@@ -22,10 +22,10 @@ from rulegrid.operators.rules import (
 __all__ = [
     "DEFAULT_ORG_CONSTANT",
     "RESULT_COLUMNS",
-    "CompiledRules",
+    "RuleProjection",
     "RuleProblem",
     "check_rules",
-    "compile_rules",
+    "project_rules",
     "filter_in_lists",
     "group_sum",
     "in_keys_group_sum",

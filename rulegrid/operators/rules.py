@@ -36,8 +36,8 @@ class RuleProblem:
 
 
 @dataclass(frozen=True)
-class CompiledRules:
-    columns: tuple[Column, ...]  # one per rule, aliased to its id, in rule order
+class RuleProjection:
+    frame: DataFrame  # keys + one typed column per rule, in rule order
     types: dict[str, DataType]
     problems: tuple[RuleProblem, ...]
 
@@ -46,45 +46,62 @@ class CompiledRules:
         return list(self.types)
 
 
-def compile_rules(
+def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str]) -> DataFrame:
+    """``keys`` + one struct per rule, holding the rule's value in field ``v``.
+
+    A rule inside a struct next to a real column cannot be an aggregate or a
+    generator (Spark rejects both there), so only row-wise expressions pass.
+    The struct costs nothing at run time: Catalyst folds ``struct(x).v`` to ``x``.
+    """
+    anchor = list(keys) or [df.columns[0]]
+    wrapped = [
+        F.struct((F.expr(t) if isinstance(t, str) else t).alias("v")).alias(f"_rule{i}")
+        for i, t in enumerate(texts)
+    ]
+    return df.select(*anchor, *wrapped)
+
+
+def project_rules(
     df: DataFrame,
     rules: Mapping[str, str],
+    keys: Sequence[str] = (),
     fallback_types: Mapping[str, DataType] | None = None,
-) -> CompiledRules:
-    """Analyse each rule against ``df``'s schema (driver only, no job).
+) -> RuleProjection:
+    """Project every rule over ``df`` and report the rules that do not compile.
 
-    A rule is wrapped in a struct next to a real column while it is checked:
-    Spark rejects aggregates and generators there, so only row-wise
-    expressions get through.
+    All rules are analysed together (driver only, no job); only when that
+    fails is each rule analysed alone, to find the bad ones, which then become
+    typed null columns.
     """
     register_functions(df.sparkSession)
     fallback_types = dict(fallback_types or {})
-    anchor = F.col(df.columns[0])
-    columns, types, problems = [], {}, []
-    for rule_id, text in rules.items():
-        try:
-            probe = df.select(anchor, F.struct(F.expr(text).alias("v")).alias("probe"))
-            dtype = probe.schema["probe"].dataType["v"].dataType
-            column = F.expr(text)
-        except PySparkException as exc:  # parse or analysis error
-            message = str(exc).strip().splitlines()[0]
-            problems.append(RuleProblem(rule_id, text, message))
-            dtype = fallback_types.get(rule_id, StringType())
-            column = F.lit(None).cast(dtype)
-        columns.append(column.alias(rule_id))
-        types[rule_id] = dtype
-    return CompiledRules(tuple(columns), types, tuple(problems))
+    rule_ids = list(rules)
+    problems: list[RuleProblem] = []
+    try:
+        wrapped = _project(df, keys, list(rules.values()))
+    except PySparkException:
+        texts: list[Column | str] = []
+        for rule_id, text in rules.items():
+            try:
+                _project(df, keys, [text])
+                texts.append(text)
+            except PySparkException as exc:  # parse or analysis error
+                problems.append(RuleProblem(rule_id, text, str(exc).strip().splitlines()[0]))
+                texts.append(F.lit(None).cast(fallback_types.get(rule_id, StringType())))
+        wrapped = _project(df, keys, texts)
+    frame = wrapped.select(*keys, *[F.col(f"_rule{i}.v").alias(r) for i, r in enumerate(rule_ids)])
+    types = {r: frame.schema[r].dataType for r in rule_ids}
+    return RuleProjection(frame, types, tuple(problems))
 
 
 def check_rules(df: DataFrame, rules: Mapping[str, str]) -> list[RuleProblem]:
     """Rules that cannot be evaluated on ``df``, with the analyser's message."""
-    return list(compile_rules(df, rules).problems)
+    return list(project_rules(df, rules).problems)
 
 
 def rules_wide(df: DataFrame, rules: Mapping[str, str], keys: Sequence[str] = ()) -> DataFrame:
     """``keys`` + one typed column per rule, one row per input row."""
-    compiled = compile_rules(df, rules)
-    return df.select(*keys, *compiled.columns)
+    return project_rules(df, rules, keys).frame
 
 
 def rules_long(
@@ -99,11 +116,10 @@ def rules_long(
     ``2.0000000000``); nulls are kept.  The unpivot is a narrow ``Expand``
     over the wide projection, so this is still one pass with no shuffle.
     """
-    compiled = compile_rules(df, rules)
-    wide = df.select(*keys, *compiled.columns)
-    as_text = [F.col(r).cast("string").alias(r) for r in compiled.rule_ids]
-    return wide.select(*keys, *as_text).unpivot(
-        list(keys), compiled.rule_ids, "rule_id", result_col
+    projected = project_rules(df, rules, keys)
+    as_text = [F.col(r).cast("string").alias(r) for r in projected.rule_ids]
+    return projected.frame.select(*keys, *as_text).unpivot(
+        list(keys), projected.rule_ids, "rule_id", result_col
     )
 
 
@@ -114,9 +130,9 @@ def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     one row per task to the final step), then an unpivot of that single row.
     A rule that does not compile fails on every record.
     """
-    compiled = compile_rules(df, rules)
-    counts = df.select(*compiled.columns).agg(
+    projected = project_rules(df, rules)
+    counts = projected.frame.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(r).isNull()).alias(r) for r in compiled.rule_ids],
+        *[F.count_if(F.col(r).isNull()).alias(r) for r in projected.rule_ids],
     )
-    return counts.unpivot(["n"], compiled.rule_ids, "rule_id", "n_failed")
+    return counts.unpivot(["n"], projected.rule_ids, "rule_id", "n_failed")

@@ -34,6 +34,12 @@ SCALE_CONF = {
 }
 
 
+# HotSpot does not JIT-compile methods over 8,000 bytes of bytecode.  The
+# whole-stage-codegen method of a projection with many rules is such a method
+# and would run interpreted: measured 2.2x slower for the 11 example rules.
+JIT_HUGE_METHODS = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "rulegrid",
@@ -42,6 +48,9 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with :data:`SCALE_CONF` applied.
 
+    JVM options (:data:`JIT_HUGE_METHODS`) take effect only when this call
+    starts the JVM; on a cluster they reach the executors at launch.
+
     ``shuffle_partitions`` is the *initial* partition count of a shuffle; AQE
     coalesces it down at run time, so on a cluster set it high (about input
     bytes / 128 MB) and let AQE shrink it.
@@ -53,6 +62,8 @@ def build_session(
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
+    for key in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
+        settings[key] = f"{settings.get(key, '')} {JIT_HUGE_METHODS}".strip()
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

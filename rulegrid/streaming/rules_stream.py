@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rulegrid.operators.rules import compile_rules, rules_wide
+from rulegrid.operators.rules import project_rules, rules_wide
 from rulegrid.session import checkpoint_dir
 
 
@@ -34,10 +34,9 @@ def rule_failure_counts(records: DataFrame, rules: Mapping[str, str]) -> DataFra
     rule; the state store holds one row per rule.  Use output mode ``update``
     or ``complete``.
     """
-    compiled = compile_rules(records, rules)
-    failed = [F.col(r).isNull().alias(r) for r in compiled.rule_ids]
-    flags = records.select(*compiled.columns).select(*failed)
-    long = flags.unpivot([], compiled.rule_ids, "rule_id", "failed")
+    projected = project_rules(records, rules)
+    flags = projected.frame.select(*[F.col(r).isNull().alias(r) for r in projected.rule_ids])
+    long = flags.unpivot([], projected.rule_ids, "rule_id", "failed")
     return long.groupBy("rule_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("failed")).alias("n_failed")
     )
