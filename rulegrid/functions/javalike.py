@@ -72,12 +72,16 @@ def register_functions(spark: SparkSession) -> None:
     Temporary functions belong to one session; ``CREATE OR REPLACE`` would
     also be safe to repeat.  Only the driver-side catalog changes; no job runs.
     """
-    session_id = spark._jsparkSession.sessionUUID()
-    if session_id in _REGISTERED and all(spark.catalog.functionExists(n) for n in FUNCTION_NAMES[:1]):
+    try:
+        session_id = spark._jsparkSession.sessionUUID()
+    except AttributeError:  # not a classic session: register every time
+        session_id = None
+    if session_id in _REGISTERED and spark.catalog.functionExists(FUNCTION_NAMES[0]):
         return
     for ddl in _DEFINITIONS.values():
         spark.sql(ddl)
-    _REGISTERED.add(session_id)
+    if session_id is not None:
+        _REGISTERED.add(session_id)
 
 
 def _call(name: str, *args: Column) -> Column:

@@ -46,7 +46,9 @@ def spread(df: DataFrame) -> DataFrame:
     input with at least one split per core (any large table) is returned as
     is, so at scale this adds nothing.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of this session (e.g. a remote client): leave the plan as is
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
