@@ -119,8 +119,12 @@ def filter_in_lists(b: DataFrame, items: Iterable, orgs: Iterable) -> DataFrame:
     return b.where(_in_values("item_id", item_list) & _in_values("org_id", org_list))
 
 
+def _each_set(sets: KeySets):
+    return ((sets.items, "item_id", sets.n_items), (sets.orgs, "org_id", sets.n_orgs))
+
+
 def _semi_join_sets(rows: DataFrame, sets: KeySets, broadcast_max_keys: int) -> DataFrame:
-    for keys, column, n in ((sets.items, "item_id", sets.n_items), (sets.orgs, "org_id", sets.n_orgs)):
+    for keys, column, n in _each_set(sets):
         rows = rows.join(F.broadcast(keys) if n <= broadcast_max_keys else keys, column, "left_semi")
     return rows
 
@@ -156,15 +160,15 @@ def in_list_group_sum(
     Lists longer than ``LITERAL_MAX_KEYS`` are not written into the plan; they
     go through :func:`in_keys_group_sum` as a DataFrame instead.
     """
-    item_list = list(dict.fromkeys(items))
-    org_list = list(dict.fromkeys(orgs))
+    item_list = [k for k in dict.fromkeys(items) if k is not None]
+    org_list = [k for k in dict.fromkeys(orgs) if k is not None]
     if max(len(item_list), len(org_list)) > LITERAL_MAX_KEYS:
         spark = b.sparkSession
         item_type = b.schema["item_id"].dataType.simpleString()
         org_type = b.schema["org_id"].dataType.simpleString()
         sets = KeySets(
-            items=spark.createDataFrame([(k,) for k in item_list if k is not None], f"item_id {item_type}"),
-            orgs=spark.createDataFrame([(k,) for k in org_list if k is not None], f"org_id {org_type}"),
+            items=spark.createDataFrame([(k,) for k in item_list], f"item_id {item_type}"),
+            orgs=spark.createDataFrame([(k,) for k in org_list], f"org_id {org_type}"),
             n_items=len(item_list),
             n_orgs=len(org_list),
         )
@@ -183,16 +187,14 @@ def _sum_by_key_sets(b: DataFrame, sets: KeySets, org_constant: str, broadcast_m
     and the aggregated side is skew-free.  AQE chooses that join's strategy
     from measured sizes.
     """
-    small = [(s, c) for s, c, n in ((sets.items, "item_id", sets.n_items), (sets.orgs, "org_id", sets.n_orgs))
-             if n <= broadcast_max_keys]
-    large = [(s, c) for s, c, n in ((sets.items, "item_id", sets.n_items), (sets.orgs, "org_id", sets.n_orgs))
-             if n > broadcast_max_keys]
     rows = b
-    for keys, column in small:
-        rows = rows.join(F.broadcast(keys), column, "left_semi")
+    for keys, column, n in _each_set(sets):
+        if n <= broadcast_max_keys:
+            rows = rows.join(F.broadcast(keys), column, "left_semi")
     summed = group_sum(rows, ["org_id", "item_id"])
-    for keys, column in large:
-        summed = summed.join(keys, column, "left_semi")
+    for keys, column, n in _each_set(sets):
+        if n > broadcast_max_keys:
+            summed = summed.join(keys, column, "left_semi")
     return _result(summed, org_constant)
 
 
