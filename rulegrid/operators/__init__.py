@@ -13,6 +13,7 @@ from rulegrid.operators.rules import (
     RuleProjection,
     RuleProblem,
     check_rules,
+    evaluate_record,
     project_rules,
     rules_failures,
     rules_long,
@@ -25,6 +26,7 @@ __all__ = [
     "RuleProjection",
     "RuleProblem",
     "check_rules",
+    "evaluate_record",
     "project_rules",
     "filter_in_lists",
     "group_sum",

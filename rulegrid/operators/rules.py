@@ -17,8 +17,10 @@ Failure is null, at two levels:
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
@@ -27,6 +29,8 @@ from pyspark.sql.types import DataType, StringType
 
 from rulegrid.functions import register_functions
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class RuleProblem:
@@ -87,6 +91,7 @@ def project_rules(
                 texts.append(text)
             except PySparkException as exc:  # parse or analysis error
                 problems.append(RuleProblem(rule_id, text, str(exc).strip().splitlines()[0]))
+                log.info("rule %s does not compile: %s", rule_id, problems[-1].message)
                 texts.append(F.lit(None).cast(fallback_types.get(rule_id, StringType())))
         wrapped = _project(df, keys, texts)
     frame = wrapped.select(*keys, *[F.col(f"_rule{i}.v").alias(r) for i, r in enumerate(rule_ids)])
@@ -136,3 +141,17 @@ def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
         *[F.count_if(F.col(r).isNull()).alias(r) for r in projected.rule_ids],
     )
     return counts.unpivot(["n"], projected.rule_ids, "rule_id", "n_failed")
+
+
+def evaluate_record(spark, rules: Mapping[str, str], record: Mapping[str, Any]) -> dict[str, Any]:
+    """Evaluate rules against one record of named values; ``{rule_id: value}``.
+
+    The single-record form of :func:`rules_wide`, for checking rules by hand:
+    the record becomes a one-row DataFrame (types inferred from the values).
+    A failing or non-compiling rule gives None.  For tables, use
+    :func:`rules_wide`; never loop over records with this.
+    """
+    from pyspark.sql import Row
+
+    df = spark.createDataFrame([Row(**record)])
+    return project_rules(df, rules).frame.first().asDict()

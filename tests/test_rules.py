@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from rulegrid.operators import check_rules, rules_failures, rules_long, rules_wide
+from rulegrid.operators import check_rules, evaluate_record, rules_failures, rules_long, rules_wide
 from rulegrid.plans.rulebook import EXAMPLE_RULES, EXAMPLE_RULES_DECIMAL, EXAMPLE_RULES_LONG
 
 # The example evaluation record and the results it must give.
@@ -151,3 +151,9 @@ def test_rules_on_many_rows_match_row_by_row(spark):
         assert got[i].r9 == d + e // 3 + d * e
         assert got[i].r8 == ("2" if (a + b) ** 2 - 4 * a * c > 0 else "1 or 0")
         assert got[i].r10 == (1 <= i % 9 <= 5)
+
+
+def test_evaluate_one_record(spark):
+    got = evaluate_record(spark, {**EXAMPLE_RULES, "bad": "nope(1)"}, CONTEXT)
+    assert {k: got[k] for k in EXPECTED} == EXPECTED
+    assert got["bad"] is None
