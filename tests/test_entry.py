@@ -17,12 +17,16 @@ def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+GATE_DIR = "/root/testdata/sf0.01"  # the scale of the driver's correctness gate
+
+
 @pytest.fixture(scope="module")
-def duck():
-    return duck_connection(SMALL_DIR)
+def ducks():
+    return {d: duck_connection(d) for d in (SMALL_DIR, GATE_DIR)}
 
 
+@pytest.mark.parametrize("data_dir", [SMALL_DIR, GATE_DIR])
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_query_matches_oracle(spark, duck, name):
-    ok, message = compare(spark, duck, SMALL_DIR, name)
+def test_query_matches_oracle(spark, ducks, name, data_dir):
+    ok, message = compare(spark, ducks[data_dir], data_dir, name)
     assert ok, message
