@@ -77,6 +77,9 @@ def project_rules(
     fails is each rule analysed alone, to find the bad ones, which then become
     typed null columns.
     """
+    clash = set(rules) & set(keys)
+    if clash:
+        raise ValueError(f"rule ids {sorted(clash)} clash with key columns")
     register_functions(df.sparkSession)
     fallback_types = dict(fallback_types or {})
     rule_ids = list(rules)
@@ -122,6 +125,9 @@ def rules_long(
     over the wide projection, so this is still one pass with no shuffle.
     """
     projected = project_rules(df, rules, keys)
+    if not projected.rule_ids:
+        empty = [F.lit(None).cast("string").alias("rule_id"), F.lit(None).cast("string").alias(result_col)]
+        return projected.frame.select(*keys, *empty).where(F.lit(False))
     as_text = [F.col(r).cast("string").alias(r) for r in projected.rule_ids]
     return projected.frame.select(*keys, *as_text).unpivot(
         list(keys), projected.rule_ids, "rule_id", result_col
@@ -136,6 +142,9 @@ def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     A rule that does not compile fails on every record.
     """
     projected = project_rules(df, rules)
+    if not projected.rule_ids:
+        schema = "n bigint, rule_id string, n_failed bigint"
+        return df.sparkSession.createDataFrame([], schema)
     counts = projected.frame.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(F.col(r).isNull()).alias(r) for r in projected.rule_ids],

@@ -157,3 +157,15 @@ def test_evaluate_one_record(spark):
     got = evaluate_record(spark, {**EXAMPLE_RULES, "bad": "nope(1)"}, CONTEXT)
     assert {k: got[k] for k in EXPECTED} == EXPECTED
     assert got["bad"] is None
+
+
+def test_empty_rule_set_and_clashing_ids(spark):
+    import pytest
+
+    df = context_df(spark)
+    assert rules_wide(df, {}, keys=["id"]).columns == ["id"]
+    assert rules_long(df, {}, keys=["id"]).count() == 0
+    assert rules_long(df, {}, keys=["id"]).columns == ["id", "rule_id", "result"]
+    assert rules_failures(df, {}).count() == 0
+    with pytest.raises(ValueError):
+        rules_wide(df, {"id": "a + b"}, keys=["id"])
