@@ -30,7 +30,7 @@ from rulegrid.plans.keysets import (
     BROADCAST_MAX_KEYS,
     LITERAL_MAX_KEYS,
     KeySets,
-    collect_bounded,
+    key_lists_or_sets,
     key_sets,
 )
 
@@ -143,12 +143,10 @@ def filter_in_lists_from_keys(
     the scan; larger ones are applied as semi-joins, broadcast when within
     ``broadcast_max_keys`` and shuffled otherwise.
     """
-    sets = key_sets(keys, item_col, org_col)
-    if max(sets.n_items, sets.n_orgs) > literal_max_keys:
-        return _semi_join_sets(b, sets, broadcast_max_keys)
-    items = collect_bounded(sets.items, "item_id", sets.n_items, literal_max_keys)
-    orgs = collect_bounded(sets.orgs, "org_id", sets.n_orgs, literal_max_keys)
-    return filter_in_lists(b, items, orgs)
+    found = key_lists_or_sets(keys, item_col, org_col, literal_max_keys)
+    if isinstance(found, KeySets):
+        return _semi_join_sets(b, found, broadcast_max_keys)
+    return filter_in_lists(b, *found)
 
 
 def in_list_group_sum(
@@ -229,9 +227,7 @@ def in_list_group_sum_from_keys(
     scan) only after their measured size proved them within
     ``literal_max_keys``; larger lists take the DataFrame form.
     """
-    sets = key_sets(keys, item_col, org_col)
-    if max(sets.n_items, sets.n_orgs) > literal_max_keys:
-        return _sum_by_key_sets(b, sets, org_constant, BROADCAST_MAX_KEYS)
-    items = collect_bounded(sets.items, "item_id", sets.n_items, literal_max_keys)
-    orgs = collect_bounded(sets.orgs, "org_id", sets.n_orgs, literal_max_keys)
-    return in_list_group_sum(b, items, orgs, org_constant)
+    found = key_lists_or_sets(keys, item_col, org_col, literal_max_keys)
+    if isinstance(found, KeySets):
+        return _sum_by_key_sets(b, found, org_constant, BROADCAST_MAX_KEYS)
+    return in_list_group_sum(b, *found, org_constant)

@@ -1,4 +1,4 @@
-from rulegrid.plans.keysets import BROADCAST_MAX_KEYS, LITERAL_MAX_KEYS, KeySets, key_sets
+from rulegrid.plans.keysets import BROADCAST_MAX_KEYS, LITERAL_MAX_KEYS, KeySets, key_lists_or_sets, key_sets
 from rulegrid.plans.rulebook import EXAMPLE_RULES, EXAMPLE_RULES_LONG, pick
 
 __all__ = [
@@ -7,6 +7,7 @@ __all__ = [
     "EXAMPLE_RULES_LONG",
     "LITERAL_MAX_KEYS",
     "KeySets",
+    "key_lists_or_sets",
     "key_sets",
     "pick",
 ]

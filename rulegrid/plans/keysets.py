@@ -4,9 +4,9 @@ The IN-list statement filters ``table_b`` by two independent key sets (items
 and orgs).  How to apply a key set depends on how big it is, and that is only
 known after computing it, so the sets are computed once, written to the
 cluster's checkpoint folder (lineage cut: a lost executor re-reads the files
-instead of re-running the upstream joins), and counted.  Only the counts (two
-numbers) reach the driver; the keys themselves reach it only through
-:func:`collect_bounded`, after the count proved them small.
+instead of re-running the upstream joins), and measured.  Keys reach the
+driver only in bounded reads (at most ``limit + 1`` per set), and are kept
+there only when that read proved the whole set within the bound.
 """
 
 from __future__ import annotations
@@ -38,10 +38,10 @@ class KeySets:
     n_orgs: int
 
 
-def key_sets(keys: DataFrame, item_col: str, org_col: str) -> KeySets:
-    """Split key pairs into two independent distinct key sets, in one pass.
+def _tagged_distinct(keys: DataFrame, item_col: str, org_col: str) -> DataFrame:
+    """Distinct ``(kind, item_id, org_id)`` entries, checkpointed: one pass over ``keys``.
 
-    Both sets come out of a single distinct over ``(kind, key)``; its partial
+    A single distinct over ``(kind, key)`` yields both sets; its partial
     aggregation removes duplicates before the shuffle, so a key repeated in a
     third of all rows costs one row per map task, not a third of the data.
     """
@@ -67,7 +67,10 @@ def key_sets(keys: DataFrame, item_col: str, org_col: str) -> KeySets:
         ).alias("k")
     ).select("k.kind", "k.item_id", "k.org_id")
     present = F.col("item_id").isNotNull() | F.col("org_id").isNotNull()
-    distinct = tagged.where(present).distinct().checkpoint(eager=True)
+    return tagged.where(present).distinct().checkpoint(eager=True)
+
+
+def _counted(distinct: DataFrame) -> KeySets:
     counts = {
         row["kind"]: row["n"]
         for row in distinct.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -80,8 +83,28 @@ def key_sets(keys: DataFrame, item_col: str, org_col: str) -> KeySets:
     )
 
 
-def collect_bounded(keys: DataFrame, column: str, n_known: int, limit: int) -> list:
-    """Bring a key set to the driver; refuse when its measured size is over ``limit``."""
-    if n_known > limit:
-        raise ValueError(f"{n_known} keys exceed the driver-side bound of {limit}")
-    return [row[column] for row in keys.limit(limit + 1).collect()]
+def key_sets(keys: DataFrame, item_col: str, org_col: str) -> KeySets:
+    """Split key pairs into two independent distinct key sets, materialised and counted."""
+    return _counted(_tagged_distinct(keys, item_col, org_col))
+
+
+def key_lists_or_sets(
+    keys: DataFrame, item_col: str, org_col: str, limit: int
+) -> tuple[list, list] | KeySets:
+    """The two key sets as driver lists when each has at most ``limit`` keys, else as :class:`KeySets`.
+
+    One job reads at most ``limit + 1`` keys of each kind from the checkpoint;
+    that alone proves whether both fit.  Only when one does not are the sets
+    counted (for the broadcast decision) and left on the cluster.
+    """
+    distinct = _tagged_distinct(keys, item_col, org_col)
+    probe = distinct.where(F.col("kind") == _ITEM).limit(limit + 1).unionByName(
+        distinct.where(F.col("kind") == _ORG).limit(limit + 1)
+    )
+    rows = probe.collect()
+    items = [r["item_id"] for r in rows if r["kind"] == _ITEM]
+    orgs = [r["org_id"] for r in rows if r["kind"] == _ORG]
+    if len(items) <= limit and len(orgs) <= limit:
+        return items, orgs
+    return _counted(distinct)
+
