@@ -168,3 +168,10 @@ def test_in_list_string_keys_with_quotes(spark):
         "org_id string, item_id string, shuju double",
     )
     assert rows(in_list_group_sum(b, ["it\\em", "x"], ["o'1"])) == [("o'1", "oi001", "it\\em", 3.0)]
+
+
+def test_join_group_sum_null_group_key(spark, b):
+    # org_id is grouped on, not joined on: a null org_id forms its own group.
+    a = spark.createDataFrame([(1, None, 100), (1, None, 100), (1, 10, 100)], "sch_org_id bigint, org_id int, inv_item_id bigint")
+    assert rows(join_group_sum(a, b)) == sorted([(1, None, 100, 24.0), (1, 10, 100, 12.0)], key=repr)
+    assert rows(join_group_sum(a, b)) == brute_join_group_sum([tuple(r) for r in a.collect()], B_ROWS)
