@@ -36,10 +36,13 @@ SCALE_CONF = {
 
 # Added when the session does not run in local mode.  Coalesce shuffle
 # partitions to the advisory size rather than to the core count (many small
-# tasks waste a busy cluster), and aim for 256 MB per partition.
+# tasks waste a busy cluster), aim for 256 MB per partition, and read 512 MB
+# input splits: 100 TB in 128 MB splits is ~800k scan tasks for one driver to
+# schedule; every operator here streams its split, so larger splits cost no memory.
 CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.files.maxPartitionBytes": "512MB",
 }
 
 # HotSpot does not JIT-compile methods over 8,000 bytes of bytecode.  The
