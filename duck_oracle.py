@@ -105,9 +105,10 @@ GROUP BY b.org_id, b.item_id
 
 ORACLE_SQL = {
     "join_two_keys": f"""
-SELECT a.sch_org_id, a.org_id, a.inv_item_id, b.shuju
+SELECT a.sch_org_id, a.org_id, a.inv_item_id, b.shuju, count(*) AS n_pairs
 FROM ({_A}) AS a, ({_B}) AS b
 WHERE b.item_id = a.inv_item_id AND b.org_id = a.sch_org_id
+GROUP BY a.sch_org_id, a.org_id, a.inv_item_id, b.shuju
 """,
     "group_sum": f"""
 SELECT org_id, item_id, sum(shuju) AS m FROM ({_B}) AS b GROUP BY org_id, item_id

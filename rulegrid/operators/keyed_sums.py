@@ -41,16 +41,25 @@ DEFAULT_ORG_CONSTANT = "oi001"
 
 
 def join_two_keys(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Inner equi-join: ``b.item_id = a.inv_item_id and b.org_id = a.sch_org_id``.
-
-    One output row per matching pair, as SQL defines it; null keys never
-    match.  ``a.org_id`` is carried along, not joined on.  With no aggregate
-    above it, AQE may split a skewed key's partition across tasks.
+    """Inner equi-join ``b.item_id = a.inv_item_id and b.org_id = a.sch_org_id``, as a bag.
+
+    ``(sch_org_id, org_id, inv_item_id, shuju, n_pairs)``: each distinct joined
+    row once, with the number of times the SQL join produces it.  The bag is
+    the join's result without loss (null keys never match; ``a.org_id`` is
+    carried, not joined on), but it is built without materialising the pairs:
+    both sides are first reduced to distinct tuples with their counts (partial
+    aggregation map-side), so a key holding a third of each side costs
+    (distinct ``a`` tuples x distinct ``b`` values) rows, not ``|a_key| x |b_key|``.
+    The join of the reduced sides has no aggregate above it, so AQE can still
+    split a skewed key's partition.
     """
-    a_, b_ = a.alias("a"), b.alias("b")
-    on = (F.col("b.item_id") == F.col("a.inv_item_id")) & (F.col("b.org_id") == F.col("a.sch_org_id"))
-    return a_.join(b_, on, "inner").select(
-        F.col("a.sch_org_id"), F.col("a.org_id"), F.col("a.inv_item_id"), F.col("b.shuju")
+    a_counts = a.groupBy("sch_org_id", "org_id", "inv_item_id").agg(F.count(F.lit(1)).alias("_n_a"))
+    b_counts = b.groupBy(
+        F.col("org_id").alias("_b_org"), F.col("item_id").alias("_b_item"), "shuju"
+    ).agg(F.count(F.lit(1)).alias("_n_b"))
+    on = (a_counts.inv_item_id == b_counts._b_item) & (a_counts.sch_org_id == b_counts._b_org)
+    return a_counts.join(b_counts, on, "inner").select(
+        "sch_org_id", "org_id", "inv_item_id", "shuju", (F.col("_n_a") * F.col("_n_b")).alias("n_pairs")
     )
 
 

@@ -74,14 +74,23 @@ def test_join_group_sum_integer_and_decimal_types(spark):
 
 
 def test_join_two_keys(a, b):
+    # The pairs (1,10,100,5), (1,10,100,7) each occur twice: the duplicate a row.
     got = rows(join_two_keys(a, b))
     assert got == sorted(
-        [(1, 10, 100, 5.0), (1, 10, 100, 7.0), (1, 10, 100, 5.0), (1, 10, 100, 7.0),
-         (1, 11, 100, 5.0), (1, 11, 100, 7.0), (2, 10, 101, None)],
+        [(1, 10, 100, 5.0, 2), (1, 10, 100, 7.0, 2), (1, 11, 100, 5.0, 1), (1, 11, 100, 7.0, 1),
+         (2, 10, 101, None, 1)],
         key=repr,
     )
 
 
+def test_join_two_keys_hot_key_is_not_expanded(spark, a, b):
+    hot_a = spark.createDataFrame([(7, k % 3, 70) for k in range(3000)], a.schema)
+    hot_b = spark.createDataFrame([(7, 70, float(k % 4)) for k in range(3000)], b.schema)
+    got = rows(join_two_keys(hot_a, hot_b))
+    assert len(got) == 12  # 3 distinct a tuples x 4 distinct values, not 9,000,000 pairs
+    assert sum(r[4] for r in got) == 3000 * 3000
+
+
 def test_group_sum_nulls(b):
     got = rows(group_sum(b, ["org_id", "item_id"]))
     assert got == sorted(

@@ -41,8 +41,12 @@ def brute_join_group_sum(a, b):
 
 
 def brute_join(a, b):
-    return sorted(((s, o, i, v) for s, o, i in a for bo, bi, v in b
-                   if s is not None and i is not None and bo == s and bi == i), key=repr)
+    """The SQL join's rows as a bag: distinct row -> number of pairs producing it."""
+    from collections import Counter
+
+    pairs = Counter((s, o, i, v) for s, o, i in a for bo, bi, v in b
+                    if s is not None and i is not None and bo == s and bi == i)
+    return sorted(((*k, n) for k, n in pairs.items()), key=repr)
 
 
 def brute_in_list(b, items, orgs):
