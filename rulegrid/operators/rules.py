@@ -152,15 +152,21 @@ def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return counts.unpivot(["n"], projected.rule_ids, "rule_id", "n_failed")
 
 
-def evaluate_record(spark, rules: Mapping[str, str], record: Mapping[str, Any]) -> dict[str, Any]:
+def evaluate_record(
+    spark, rules: Mapping[str, str], record: Mapping[str, Any], schema: str | None = None
+) -> dict[str, Any]:
     """Evaluate rules against one record of named values; ``{rule_id: value}``.
 
     The single-record form of :func:`rules_wide`, for checking rules by hand:
-    the record becomes a one-row DataFrame (types inferred from the values).
-    A failing or non-compiling rule gives None.  For tables, use
-    :func:`rules_wide`; never loop over records with this.
+    the record becomes a one-row DataFrame.  Types are inferred (Python ints
+    become BIGINT) unless ``schema`` gives them, e.g. ``"length INT, text1 STRING"``
+    in the record's key order.  A failing or non-compiling rule gives None.
+    For tables, use :func:`rules_wide`; never loop over records with this.
     """
     from pyspark.sql import Row
 
-    df = spark.createDataFrame([Row(**record)])
+    if schema is None:
+        df = spark.createDataFrame([Row(**record)])
+    else:
+        df = spark.createDataFrame([tuple(record.values())], schema)
     return project_rules(df, rules).frame.first().asDict()

@@ -157,6 +157,11 @@ def test_evaluate_one_record(spark):
     got = evaluate_record(spark, {**EXAMPLE_RULES, "bad": "nope(1)"}, CONTEXT)
     assert {k: got[k] for k in EXPECTED} == EXPECTED
     assert got["bad"] is None
+    # With 32-bit variables, as in the source's contexts, a + b overflows at 2^31.
+    schema = SCHEMA.split(", ", 1)[1]
+    record = {**CONTEXT, "a": 2**31 - 1, "b": 1}
+    assert evaluate_record(spark, {"s": "try_add(a, b)"}, record, schema)["s"] is None
+    assert evaluate_record(spark, {"s": "try_add(a, b)"}, record)["s"] == 2**31
 
 
 def test_empty_rule_set_and_clashing_ids(spark):
