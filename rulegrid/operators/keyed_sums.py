@@ -11,10 +11,12 @@ carry a third of all rows:
 
 * Every sum is aggregated map-side (partial aggregation) before its shuffle,
   so a hot key costs one row per map task, not a third of the data.
-* :func:`join_group_sum` never materialises the join pairs.  Its grouping key
+* No operator materialises join pairs.  :func:`join_group_sum`'s grouping key
   contains both join keys, so all ``table_a`` rows of a group meet the same
-  ``table_b`` rows and ``m = (rows of the group in a) * (sum of b for the key)``.
-  Both sides are summed first; the join then matches one row per key.
+  ``table_b`` rows and ``m = (rows of the group in a) * (sum of b for the key)``:
+  both sides are summed first and the join matches one row per key.
+  :func:`join_two_keys` returns the join as a bag (distinct row + pair count)
+  from both sides reduced to distinct tuples with counts.
 * Key sets are applied before the shuffle when their measured size allows a
   broadcast, and to the already-summed ``table_b`` (one row per key) when not.
 """
