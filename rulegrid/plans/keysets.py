@@ -93,18 +93,19 @@ def key_lists_or_sets(
 ) -> tuple[list, list] | KeySets:
     """The two key sets as driver lists when each has at most ``limit`` keys, else as :class:`KeySets`.
 
-    One job reads at most ``limit + 1`` keys of each kind from the checkpoint;
-    that alone proves whether both fit.  Only when one does not are the sets
-    counted (for the broadcast decision) and left on the cluster.
+    Each set is read with ``limit(limit + 1).collect()`` from the checkpoint,
+    which Spark runs as an incremental take (a few partitions at a time, stopping
+    once enough rows arrived), so the driver never receives more than a small
+    multiple of ``limit`` rows; that read alone proves whether the set fits.
+    (A union of two limits would instead funnel up to ``limit`` rows from every
+    partition into one task.)  Only when a set does not fit are the sets counted
+    (for the broadcast decision) and left on the cluster.
     """
     distinct = _tagged_distinct(keys, item_col, org_col)
-    probe = distinct.where(F.col("kind") == _ITEM).limit(limit + 1).unionByName(
-        distinct.where(F.col("kind") == _ORG).limit(limit + 1)
-    )
-    rows = probe.collect()
-    items = [r["item_id"] for r in rows if r["kind"] == _ITEM]
-    orgs = [r["org_id"] for r in rows if r["kind"] == _ORG]
-    if len(items) <= limit and len(orgs) <= limit:
-        return items, orgs
+    items = [r["item_id"] for r in distinct.where(F.col("kind") == _ITEM).limit(limit + 1).collect()]
+    if len(items) <= limit:
+        orgs = [r["org_id"] for r in distinct.where(F.col("kind") == _ORG).limit(limit + 1).collect()]
+        if len(orgs) <= limit:
+            return items, orgs
     return _counted(distinct)
 
