@@ -27,6 +27,15 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+)
 
 from rulegrid.plans.keysets import (
     BROADCAST_MAX_KEYS,
@@ -71,7 +80,15 @@ def group_sum(df: DataFrame, keys: Sequence[str], value: str = "shuju", alias: s
 
 
 def _sum_type(b: DataFrame, value: str):
-    # Type Spark gives sum(value); read from the analysed plan, no job runs.
+    """Type Spark gives ``sum(value)``: BIGINT for integers, DOUBLE for floats,
+    DECIMAL(p + 10, s) for decimals; anything else is asked of the analyser."""
+    dtype = b.schema[value].dataType
+    if isinstance(dtype, DecimalType):
+        return DecimalType(min(38, dtype.precision + 10), dtype.scale)
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return LongType()
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return DoubleType()
     return b.select(F.sum(value)).schema[0].dataType
 
 
