@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rulegrid.llm import jaccard
+from rulegrid.llm import jaccard, packing, secrets
 from rulegrid.llm.shared import ship
 
 
@@ -14,12 +15,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_text_classes(table(spark, folder, "documents"), k=3, threshold=90)
 
 
+def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("_repository", F.concat_ws("/", "source", "lang"))
+    found = secrets.scan(docs, repository="_repository", owner="source", columns=["doc_id"])
+    spans = F.col("_spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE))
+    counts = [F.expr(f"cast(size(filter(_spans, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in secrets.BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.span_text(base), 256).alias("base_sha256"), secrets.span_text(spans).alias("spans"),
+        "n_example", "n_live", "most_owners",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nnls_packing": op1_nnls_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_secret_ownership": op4_secret_ownership,
 }
 
 ORACLE_SQL: dict[str, str] = {}
