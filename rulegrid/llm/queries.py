@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulegrid.llm import jaccard, packing, secrets
+from rulegrid.llm import jaccard, licenses, packing, quality, secrets
 from rulegrid.llm.shared import ship
 
 
@@ -38,10 +38,24 @@ def op4_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_license_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, folder, "documents"))
+
+
+def op10_quality_network(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id", (quality.bucket(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= quality.KEEP).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nnls_packing": op1_nnls_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_ownership": op4_secret_ownership,
+    "op5_license_blocks": op5_license_blocks,
+    "op10_quality_network": op10_quality_network,
 }
 
 ORACLE_SQL: dict[str, str] = {}

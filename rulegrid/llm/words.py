@@ -72,8 +72,14 @@ class Words:
 
 def _hash_buffer(data: np.ndarray, cuts: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of ``data`` and the word count before each of ``cuts`` (row borders)."""
+    starts, _, hashes = word_spans(data, cuts, table)
+    return hashes, np.searchsorted(starts, cuts)
+
+
+def word_spans(data: np.ndarray, cuts: np.ndarray, table: np.ndarray = SPACE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of the words of ``data``; each of ``cuts`` ends a word."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(cuts), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     data = _LOWER[data]
     word = table[data]
     up, down = _powers(len(data))
@@ -91,8 +97,7 @@ def _hash_buffer(data: np.ndarray, cuts: np.ndarray, table: np.ndarray) -> tuple
     after[:-1] = word[1:]
     after[inner - 1] = False
     ends = np.flatnonzero(word & ~after) + 1
-    hashes = mix((sums[ends] - sums[starts]) * down[starts])
-    return hashes, np.searchsorted(starts, cuts)
+    return starts, ends, mix((sums[ends] - sums[starts]) * down[starts])
 
 
 def _long_text(data: np.ndarray, table: np.ndarray) -> np.ndarray:
