@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulegrid.llm import jaccard, licenses, packing, quality, secrets
+from rulegrid.llm import decontaminate, jaccard, licenses, packing, quality, secrets
 from rulegrid.llm.shared import ship
 
 
@@ -15,13 +15,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def op1_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
+def vocabulary() -> str:
+    """The vocabulary file of the packing tokeniser."""
     import public_tokenizers
 
-    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), vocabulary())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_text_classes(table(spark, folder, "documents"), k=3, threshold=90)
 
@@ -52,6 +61,7 @@ def op10_quality_network(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nnls_packing": op1_nnls_packing,
+    "op2_simhash_decontamination": op2_simhash_decontamination,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_ownership": op4_secret_ownership,
     "op5_license_blocks": op5_license_blocks,
