@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulegrid.llm import decontaminate, jaccard, licenses, packing, quality, secrets
+from rulegrid.llm import chat, decontaminate, jaccard, licenses, packing, quality, secrets, warc
 from rulegrid.llm.shared import ship
 
 
@@ -51,6 +51,26 @@ def op5_license_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find_licenses(table(spark, folder, "documents"))
 
 
+def op6_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    windows = chat.format_conversations(turns.unionByName(extra.select(*[F.col(c).cast(turns.schema[c].dataType).alias(c) for c in turns.columns])))
+    sizes = windows.groupBy("conv_id").agg(F.sum(F.char_length("formatted").cast("long")).alias("formatted_chars"), F.count(F.lit(1)).alias("n_windows"))
+    turn = F.struct("place", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("turn"), F.when(F.col("loss"), F.col("text")).alias("loss"))
+    back = chat.read_back(windows).groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
+    loss = F.array_join("t.loss", "")
+    back = back.select(
+        "conv_id", F.size("t").cast("long").alias("n_turns"), F.sha2(F.array_join("t.turn", ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+    )
+    return chat.null_safe_join(back, sizes, "conv_id")
+
+
+def op8_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derivatives(table(spark, folder, "pages"))
+
+
 def op10_quality_network(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, folder, "labels"))
@@ -65,7 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_ownership": op4_secret_ownership,
     "op5_license_blocks": op5_license_blocks,
+    "op6_chat_windows": op6_chat_windows,
+    "op8_warc_derivatives": op8_warc_derivatives,
     "op10_quality_network": op10_quality_network,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_warc_derivatives": warc.duckdb_sql()}
