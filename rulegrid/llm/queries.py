@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulegrid.llm import chat, decontaminate, jaccard, licenses, packing, quality, secrets, warc
+from rulegrid.llm import chat, decontaminate, jaccard, licenses, neighbours, packing, quality, secrets, warc
 from rulegrid.llm.shared import ship
 
 
@@ -67,6 +67,10 @@ def op6_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     return chat.null_safe_join(back, sizes, "conv_id")
 
 
+def op7_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), every=100, k=10)
+
+
 def op8_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     return warc.derivatives(table(spark, folder, "pages"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_ownership": op4_secret_ownership,
     "op5_license_blocks": op5_license_blocks,
     "op6_chat_windows": op6_chat_windows,
+    "op7_adaptive_scan": op7_adaptive_scan,
     "op8_warc_derivatives": op8_warc_derivatives,
     "op10_quality_network": op10_quality_network,
 }
