@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulegrid.llm import chat, decontaminate, jaccard, licenses, neighbours, packing, quality, secrets, warc
+from rulegrid.llm import chat, decontaminate, jaccard, licenses, lm, neighbours, packing, quality, secrets, warc
 from rulegrid.llm.shared import ship
 
 
@@ -75,6 +75,10 @@ def op8_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     return warc.derivatives(table(spark, folder, "pages"))
 
 
+def op9_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_texts(table(spark, folder, "documents"))
+
+
 def op10_quality_network(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, folder, "labels"))
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat_windows": op6_chat_windows,
     "op7_adaptive_scan": op7_adaptive_scan,
     "op8_warc_derivatives": op8_warc_derivatives,
+    "op9_deleted_interpolation": op9_deleted_interpolation,
     "op10_quality_network": op10_quality_network,
 }
 

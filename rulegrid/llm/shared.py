@@ -16,15 +16,10 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local session without it gets a folder of its own."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, one in the warehouse, which is shared as well."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="rulegrid-llm-"))
-    return sc.getCheckpointDir().rstrip("/")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
 
 
 def ship(spark: SparkSession) -> SparkSession:

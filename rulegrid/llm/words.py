@@ -61,6 +61,7 @@ class Words:
     first: int
     bounds: np.ndarray
     hashes: np.ndarray  # uint64
+    endings: np.ndarray | None = None  # uint16: the last two bytes of each word
 
     def rows(self) -> Iterator[tuple[int, np.ndarray]]:
         for i in range(len(self.bounds) - 1):
@@ -70,10 +71,12 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def _hash_buffer(data: np.ndarray, cuts: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of ``data`` and the word count before each of ``cuts`` (row borders)."""
-    starts, _, hashes = word_spans(data, cuts, table)
-    return hashes, np.searchsorted(starts, cuts)
+def _hash_buffer(data: np.ndarray, cuts: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and endings of the words of ``data`` and the word count before each of ``cuts`` (row borders)."""
+    starts, ends, hashes = word_spans(data, cuts, table)
+    last = _LOWER[data[ends - 1]].astype(np.uint16)
+    before = np.where(ends - starts > 1, _LOWER[data[np.maximum(ends - 2, 0)]], 0).astype(np.uint16)
+    return hashes, before * np.uint16(256) + last, np.searchsorted(starts, cuts)
 
 
 def word_spans(data: np.ndarray, cuts: np.ndarray, table: np.ndarray = SPACE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,8 +103,8 @@ def word_spans(data: np.ndarray, cuts: np.ndarray, table: np.ndarray = SPACE_WOR
     return starts, ends, mix((sums[ends] - sums[starts]) * down[starts])
 
 
-def _long_text(data: np.ndarray, table: np.ndarray) -> np.ndarray:
-    parts, at = [], 0
+def _long_text(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    parts, at = [(np.zeros(0, np.uint64), np.zeros(0, np.uint16))], 0
     while at < len(data):
         end = min(len(data), at + GROUP_BYTES)
         while end < len(data):  # move on to a separator; a single enormous word is taken whole
@@ -110,9 +113,9 @@ def _long_text(data: np.ndarray, table: np.ndarray) -> np.ndarray:
                 end += int(gap[0])
                 break
             end = min(len(data), end + GROUP_BYTES)
-        parts.append(_hash_buffer(data[at:end], np.array([0]), table)[0])
+        parts.append(_hash_buffer(data[at:end], np.array([0]), table)[:2])
         at = end
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -141,14 +144,14 @@ def words_of(column: pa.Array, table: np.ndarray = SPACE_WORDS) -> Iterator[Word
     for first, last in groups(offsets):
         part = data[offsets[first] : offsets[last]]
         if last - first == 1 and len(part) > GROUP_BYTES:
-            hashes = _long_text(part, table)
-            yield Words(first, np.array([0, len(hashes)]), hashes)
+            hashes, endings = _long_text(part, table)
+            yield Words(first, np.array([0, len(hashes)]), hashes, endings)
         else:
             cuts = (offsets[first : last + 1] - offsets[first]).astype(np.int64)
-            hashes, bounds = _hash_buffer(part, cuts, table)
+            hashes, endings, bounds = _hash_buffer(part, cuts, table)
             bounds = bounds.copy()
             bounds[-1] = len(hashes)
-            yield Words(first, bounds, hashes)
+            yield Words(first, bounds, hashes, endings)
 
 
 def hash_words(words: list[str], table: np.ndarray = SPACE_WORDS) -> np.ndarray:
