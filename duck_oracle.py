@@ -11,6 +11,7 @@ element from ``k`` on is non-empty.
 from __future__ import annotations
 
 from rulegrid.sources.mapping import (
+    ALL_KEYS_SQL,
     CONTEXTS_SQL,
     KEY_LIST_SQL,
     TABLE_A_SQL,
@@ -20,7 +21,8 @@ from rulegrid.sources.mapping import (
 
 _A = for_duckdb(TABLE_A_SQL)
 _B = for_duckdb(TABLE_B_SQL)
-_KEYS = for_duckdb(KEY_LIST_SQL, table_a=_A)
+_KEYS = for_duckdb(KEY_LIST_SQL)
+_ALL_KEYS = for_duckdb(ALL_KEYS_SQL, table_a=_A)
 _CTX = for_duckdb(CONTEXTS_SQL)
 
 
@@ -91,18 +93,35 @@ def _rules_failures() -> str:
     )
 
 
-_IN_LISTS = (
-    "b.item_id IN (SELECT l.inv_item_id FROM ({keys}) AS l) "
-    "AND b.org_id IN (SELECT l.sch_org_id FROM ({keys}) AS l)"
-).format(keys=_KEYS)
+def _in_lists(keys: str) -> str:
+    return (
+        f"b.item_id IN (SELECT l.inv_item_id FROM ({keys}) AS l) "
+        f"AND b.org_id IN (SELECT l.sch_org_id FROM ({keys}) AS l)"
+    )
+
 
-_IN_LIST_GROUP_SUM = f"""
+_IN_LISTS = _in_lists(_KEYS)
+
+
+def _in_list_group_sum(keys: str) -> str:
+    return f"""
 SELECT b.org_id AS sch_org_id, 'oi001' AS org_id, b.item_id AS inv_item_id, sum(b.shuju) AS m
 FROM ({_B}) AS b
-WHERE {_IN_LISTS}
+WHERE {_in_lists(keys)}
 GROUP BY b.org_id, b.item_id
 """
 
+
+_IN_LIST_GROUP_SUM = _in_list_group_sum(_KEYS)
+
+# Plain rules: what fails is null; an int wraps around.
+_PLAIN = f"""
+SELECT event_id, try_cast(text1 AS INTEGER) AS p_cast, CAST(try_cast(trim(string_split(text5, ':')[2]) AS INTEGER) + 5 AS INTEGER) AS p_cast_part,
+  CASE WHEN b <> 0 THEN CAST(d + 1 AS DOUBLE) / b END AS p_zero, CAST(NULL AS VARCHAR) AS p_index,
+  CAST(CASE WHEN a > 0 THEN 2147483647 + a - 4294967296 ELSE 2147483647 + a END AS INTEGER) AS p_wrap, CAST(NULL AS VARCHAR) AS p_pattern
+FROM ({_CTX}) AS ctx
+"""
+
 ORACLE_SQL = {
     "join_two_keys": f"""
 SELECT a.sch_org_id, a.org_id, a.inv_item_id, b.shuju, count(*) AS n_pairs
@@ -124,6 +143,16 @@ SELECT b.org_id, b.item_id, b.shuju FROM ({_B}) AS b WHERE {_IN_LISTS}
 """,
     "in_list_group_sum": _IN_LIST_GROUP_SUM,
     "in_keys_group_sum": _IN_LIST_GROUP_SUM,
+    "in_keys_group_sum_all": _in_list_group_sum(_ALL_KEYS),
+    "statement_in_list": _IN_LIST_GROUP_SUM,
+    "statement_in_keys": _IN_LIST_GROUP_SUM,
+    "rules_plain": _PLAIN,
+    "join_group_sum_decimal": f"""
+SELECT a.sch_org_id, a.org_id, a.inv_item_id, CAST(sum(b.shuju) AS DECIMAL(28, 8)) AS m
+FROM ({_A}) AS a, (SELECT org_id, item_id, CAST(item_id + 0.12345678 AS DECIMAL(18, 8)) AS shuju FROM ({_B}) AS x) AS b
+WHERE b.item_id = a.inv_item_id AND b.org_id = a.sch_org_id
+GROUP BY a.sch_org_id, a.org_id, a.inv_item_id
+""",
     "rules_wide": _rules_select(ALL_RULES),
     "rules_long": _rules_long(),
     "rules_failures": _rules_failures(),

@@ -11,12 +11,13 @@ carry a third of all rows:
 
 * Every sum is aggregated map-side (partial aggregation) before its shuffle,
   so a hot key costs one row per map task, not a third of the data.
-* No operator materialises join pairs.  :func:`join_group_sum`'s grouping key
-  contains both join keys, so all ``table_a`` rows of a group meet the same
-  ``table_b`` rows and ``m = (rows of the group in a) * (sum of b for the key)``:
-  both sides are summed first and the join matches one row per key.
-  :func:`join_two_keys` returns the join as a bag (distinct row + pair count)
-  from both sides reduced to distinct tuples with counts.
+* :func:`join_group_sum` never makes join pairs: its grouping key contains both
+  join keys, so all ``table_a`` rows of a group meet the same ``table_b`` rows and
+  ``m = (rows of the group in a) * (sum of b for the key)``: ``table_b`` is summed
+  first and the join matches one row per key.  :func:`join_two_keys` returns the
+  join as a bag (distinct row + pair count) from both sides reduced to distinct
+  tuples with counts; a key still makes (distinct ``a`` tuples) x (distinct
+  values) rows, which is the size of its distinct result.
 * Key sets are applied before the shuffle when their measured size allows a
   broadcast, and to the already-summed ``table_b`` (one row per key) when not.
 """
@@ -38,6 +39,7 @@ from pyspark.sql.types import (
 )
 
 from rulegrid.plans.keysets import (
+    BROADCAST_MAX_BYTES,
     BROADCAST_MAX_KEYS,
     LITERAL_MAX_KEYS,
     KeySets,
@@ -50,6 +52,9 @@ RESULT_COLUMNS = ("sch_org_id", "org_id", "inv_item_id", "m")
 # Fixed value: the constant org_id of the IN-list statement.
 DEFAULT_ORG_CONSTANT = "oi001"
 
+# Hash buckets of the prefilter for key sets too large to broadcast.
+PREFILTER_BUCKETS = 1 << 20
+
 
 def join_two_keys(a: DataFrame, b: DataFrame) -> DataFrame:
     """Inner equi-join ``b.item_id = a.inv_item_id and b.org_id = a.sch_org_id``, as a bag.
@@ -98,15 +103,38 @@ def join_group_sum(a: DataFrame, b: DataFrame) -> DataFrame:
     Duplicate ``a`` rows multiply ``m`` (fan-out), exactly as the joined sum
     does; ``a`` is never de-duplicated.  ``m`` is null when every matching
     ``shuju`` is null; a group without a matching ``b`` row is absent.
+
+    Decimals are never multiplied (a product of full width would lose places):
+    the key's sum is joined to the ``a`` rows and added up per group.  Integers
+    are summed as decimals, so only a joined group can overflow, not a key that
+    joins nothing.  Both sides are shuffled for the join alone (``_salt`` is no
+    aggregate's key), so AQE splits a key with very many ``org_id``s.
     """
     group_keys = ["sch_org_id", "org_id", "inv_item_id"]
-    a_rows = a.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_rows"))
-    b_sums = b.groupBy(
-        F.col("org_id").alias("_b_org"), F.col("item_id").alias("_b_item")
-    ).agg(F.sum("shuju").alias("_sum"))
-    on = (a_rows.inv_item_id == b_sums._b_item) & (a_rows.sch_org_id == b_sums._b_org)
-    m = (F.col("_rows") * F.col("_sum")).cast(_sum_type(b, "shuju"))
-    return a_rows.join(b_sums, on, "inner").select(*group_keys, m.alias("m"))
+    result = _sum_type(b, "shuju")
+    value = F.col("shuju")
+    if isinstance(result, LongType):
+        value = value.cast(DecimalType(20, 0))
+    elif isinstance(result, DecimalType):
+        value = value.cast(DecimalType(38, result.scale))
+    added = F.try_sum(value) if isinstance(result, DecimalType) else F.sum(value)
+    b_sums = b.groupBy(F.col("org_id").alias("_b_org"), F.col("item_id").alias("_b_item")).agg(
+        added.alias("_sum"), F.count("shuju").alias("_present")
+    )
+    b_sums = b_sums.withColumn("_b_salt", F.pmod(F.xxhash64("_present"), F.lit(1)))
+    decimals = isinstance(result, DecimalType)
+    left = a.select(*group_keys) if decimals else a.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("_rows"))
+    left = left.withColumn("_salt", F.pmod(F.xxhash64("org_id"), F.lit(1)))
+    on = (
+        (left.inv_item_id == b_sums._b_item) & (left.sch_org_id == b_sums._b_org) & (left._salt == b_sums._b_salt)
+    )
+    joined = left.join(b_sums, on, "inner")
+    if not decimals:
+        return joined.select(*group_keys, (F.col("_rows") * F.col("_sum")).cast(result).alias("m"))
+    too_large = F.col("_sum").isNull() & (F.col("_present") > 0)
+    total = F.when(too_large, F.raise_error(F.lit("the sum of a joined key exceeds 38 digits"))).otherwise(F.col("_sum"))
+    summed = joined.withColumn("_sum", total).groupBy(*group_keys).agg(F.sum("_sum").alias("m"))
+    return summed.select(*group_keys, F.col("m").cast(result).alias("m"))
 
 
 def _result(summed: DataFrame, org_constant: str) -> DataFrame:
@@ -147,16 +175,43 @@ def filter_in_lists(b: DataFrame, items: Iterable, orgs: Iterable) -> DataFrame:
     return b.where(_in_values("item_id", item_list) & _in_values("org_id", org_list))
 
 
-def _each_set(sets: KeySets):
-    return ((sets.items, "item_id", sets.n_items), (sets.orgs, "org_id", sets.n_orgs))
+def _each_set(sets: KeySets, broadcast_max_keys: int):
+    """``(keys, column, n, small)``, the sets small enough to broadcast (by keys and bytes) first."""
+    every = (
+        (sets.items, "item_id", sets.n_items, sets.item_bytes),
+        (sets.orgs, "org_id", sets.n_orgs, sets.org_bytes),
+    )
+    judged = [(k, c, n, n <= broadcast_max_keys and size <= BROADCAST_MAX_BYTES) for k, c, n, size in every]
+    return sorted(judged, key=lambda x: not x[3])
+
+
+def _semi_join(rows: DataFrame, keys: DataFrame, column: str, small: bool = False) -> DataFrame:
+    """Rows whose ``column`` equals a key; the key's own type decides with the column's, as in an IN list."""
+    keys = keys.toDF("_key")
+    return rows.join(F.broadcast(keys) if small else keys, rows[column] == keys["_key"], "left_semi")
 
 
 def _semi_join_sets(rows: DataFrame, sets: KeySets, broadcast_max_keys: int) -> DataFrame:
-    for keys, column, n in _each_set(sets):
-        rows = rows.join(F.broadcast(keys) if n <= broadcast_max_keys else keys, column, "left_semi")
+    for keys, column, _, small in _each_set(sets, broadcast_max_keys):
+        rows = _semi_join(rows, keys, column, small)
     return rows
 
 
+def _prefilter(rows: DataFrame, keys: DataFrame, column: str, n: int) -> DataFrame:
+    """Drop, before any shuffle, rows whose key's hash bucket holds no key of a large set.
+
+    The buckets are a broadcast of at most ``PREFILTER_BUCKETS`` numbers
+    whatever the set's size; a set of more keys than that fills nearly every
+    bucket, so it is not tried.  The exact semi-join follows.
+    """
+    if n > PREFILTER_BUCKETS or rows.schema[column].dataType != keys.schema[0].dataType:
+        return rows
+    bucket = F.pmod(F.xxhash64(keys.columns[0]), F.lit(PREFILTER_BUCKETS)).cast("int")
+    buckets = keys.select(bucket.alias("_bucket")).distinct()
+    own = F.pmod(F.xxhash64(column), F.lit(PREFILTER_BUCKETS)).cast("int")
+    return rows.join(F.broadcast(buckets), own == F.col("_bucket"), "left_semi")
+
+
 def filter_in_lists_from_keys(
     b: DataFrame,
     keys: DataFrame,
@@ -177,6 +232,16 @@ def filter_in_lists_from_keys(
     return filter_in_lists(b, *found)
 
 
+def _key_frame(b: DataFrame, column: str, values: list) -> DataFrame:
+    """A list as a DataFrame of the list's own type, so that long lists coerce like short ones."""
+    spark = b.sparkSession
+    if not values:
+        return b.select(column).limit(0)
+    if any(isinstance(v, float) for v in values) and all(isinstance(v, (int, float)) for v in values):
+        values = [float(v) for v in values]
+    return spark.createDataFrame([(v,) for v in values], ["_key"])
+
+
 def in_list_group_sum(
     b: DataFrame, items: Iterable, orgs: Iterable, org_constant: str = DEFAULT_ORG_CONSTANT
 ) -> DataFrame:
@@ -189,14 +254,13 @@ def in_list_group_sum(
     item_list = [k for k in dict.fromkeys(items) if k is not None]
     org_list = [k for k in dict.fromkeys(orgs) if k is not None]
     if max(len(item_list), len(org_list)) > LITERAL_MAX_KEYS:
-        spark = b.sparkSession
-        item_type = b.schema["item_id"].dataType.simpleString()
-        org_type = b.schema["org_id"].dataType.simpleString()
         sets = KeySets(
-            items=spark.createDataFrame([(k,) for k in item_list], f"item_id {item_type}"),
-            orgs=spark.createDataFrame([(k,) for k in org_list], f"org_id {org_type}"),
+            items=_key_frame(b, "item_id", item_list),
+            orgs=_key_frame(b, "org_id", org_list),
             n_items=len(item_list),
             n_orgs=len(org_list),
+            item_bytes=sum(len(str(k)) for k in item_list),
+            org_bytes=sum(len(str(k)) for k in org_list),
         )
         return _sum_by_key_sets(b, sets, org_constant, BROADCAST_MAX_KEYS)
     filtered = filter_in_lists(b, item_list, org_list)
@@ -210,17 +274,17 @@ def _sum_by_key_sets(b: DataFrame, sets: KeySets, org_constant: str, broadcast_m
     applied to raw ``b`` rows before the aggregation shuffle (a map-side
     filter).  A larger set is applied after the aggregation, to one row per
     key: filtering on the grouping keys commutes with summing per those keys,
-    and the aggregated side is skew-free.  AQE chooses that join's strategy
+    and the aggregated side is skew-free.  Before that, :func:`_prefilter` drops
+    most unwanted rows without a shuffle.  AQE chooses that join's strategy
     from measured sizes.
     """
     rows = b
-    for keys, column, n in _each_set(sets):
-        if n <= broadcast_max_keys:
-            rows = rows.join(F.broadcast(keys), column, "left_semi")
+    for keys, column, n, small in _each_set(sets, broadcast_max_keys):
+        rows = _semi_join(rows, keys, column, True) if small else _prefilter(rows, keys, column, n)
     summed = group_sum(rows, ["org_id", "item_id"])
-    for keys, column, n in _each_set(sets):
-        if n > broadcast_max_keys:
-            summed = summed.join(keys, column, "left_semi")
+    for keys, column, _, small in _each_set(sets, broadcast_max_keys):
+        if not small:
+            summed = _semi_join(summed, keys, column)
     return _result(summed, org_constant)
 
 

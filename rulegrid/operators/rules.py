@@ -7,25 +7,31 @@ shuffle, no Python per row, whole-stage codegen.
 
 Failure is null, at two levels:
 
-* a rule that does not compile (syntax, unknown column, wrong types,
-  aggregates or generators that would change the row count) is reported by
-  :func:`check_rules` and evaluates to a typed null column;
-* a rule that fails on one record must be written with null-returning
-  functions (``try_*``, ``split_at``, ``substr_strict``, ``parse_int`` ...):
-  with ANSI mode on, a plain ``cast('x' AS INT)`` stops the job.
+* a rule that does not compile (syntax, unknown column, wrong types, a bad
+  constant pattern, aggregates, generators or window functions, which are not
+  row-wise) is reported by :func:`check_rules` and evaluates to a typed null column;
+* a rule that fails on one record gives null there: rules are analysed with
+  ``spark.sql.ansi.enabled=false`` (restored at once), so casts, division by zero
+  and indexes past the end give null, and integer ``+ - *`` wrap as in the JVM.
+  Only ``raise_error`` and patterns computed per record can still stop a job.
+
+A null result is all that is kept of a failure: a rule that yields null on
+purpose (``CASE`` without ``ELSE``) counts as failed too.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, NumericType, StringType
 
 from rulegrid.functions import register_functions
 
@@ -41,7 +47,7 @@ class RuleProblem:
 
 @dataclass(frozen=True)
 class RuleProjection:
-    frame: DataFrame  # keys + one typed column per rule, in rule order
+    frame: DataFrame  # keys (if any) + one typed column per rule, in rule order
     types: dict[str, DataType]
     problems: tuple[RuleProblem, ...]
 
@@ -50,39 +56,63 @@ class RuleProjection:
         return list(self.types)
 
 
+@contextmanager
+def _lenient(spark):
+    """Analyse expressions so that failures on a record give null."""
+    key = "spark.sql.ansi.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str]) -> DataFrame:
     """``keys`` + one struct per rule, holding the rule's value in field ``v``.
 
     A rule inside a struct next to a real column cannot be an aggregate or a
-    generator (Spark rejects both there), so only row-wise expressions pass.
+    generator (Spark rejects both there); window functions are looked for in the
+    analysed plan, so only row-wise expressions pass.
     The struct costs nothing at run time: Catalyst folds ``struct(x).v`` to ``x``.
     """
-    anchor = list(keys) or [df.columns[0]]
-    wrapped = [
-        F.struct((F.expr(t) if isinstance(t, str) else t).alias("v")).alias(f"_rule{i}")
-        for i, t in enumerate(texts)
-    ]
-    return df.select(*anchor, *wrapped)
-
-
-def project_rules(
-    df: DataFrame,
-    rules: Mapping[str, str],
-    keys: Sequence[str] = (),
-    fallback_types: Mapping[str, DataType] | None = None,
+    anchor = [F.col(_quoted(k)) for k in keys] or [F.col(_quoted(df.columns[0]))]
+    with _lenient(df.sparkSession):
+        wrapped = [
+            F.struct((F.expr(t) if isinstance(t, str) else t).alias("v")).alias(f"_rule{i}")
+            for i, t in enumerate(texts)
+        ]
+        out = df.select(*anchor, *wrapped)
+        if re.search(r"^[\s:+|-]*Window \[", out._jdf.queryExecution().analyzed().toString(), re.M):
+            raise AnalysisException("window functions are not row-wise rules")
+        if not df.isStreaming:
+            _project_probe(df, texts)
+    return out
+
+
+def _project_probe(df: DataFrame, texts: list[Column | str]) -> None:
+    """Evaluate the rules on one made-up record (empty strings, ones): bad constant patterns show here, not in the job."""
+    samples = {"string": "''", "boolean": "true", "date": "date'2000-01-01'", "timestamp": "timestamp'2000-01-01'", "binary": "X''"}
+    row = []
+    for field in df.schema:
+        kind = field.dataType.simpleString()
+        numeric = isinstance(field.dataType, NumericType)
+        value = samples.get(kind, f"cast(1 as {kind})" if numeric else f"cast(null as {kind})")
+        row.append(f"{value} as {_quoted(field.name)}")
+    one = df.sparkSession.sql(f"select {', '.join(row)}")
+    one.select(*[F.expr(t).alias(f"_rule{i}") for i, t in enumerate(texts) if isinstance(t, str)]).collect()
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _compiled(
+    df: DataFrame, rules: Mapping[str, str], keys: Sequence[str], fallback_types: Mapping[str, DataType] | None
 ) -> RuleProjection:
-    """Project every rule over ``df`` and report the rules that do not compile.
-
-    All rules are analysed together (driver only, no job); only when that
-    fails is each rule analysed alone, to find the bad ones, which then become
-    typed null columns.
-    """
-    clash = set(rules) & set(keys)
-    if clash:
-        raise ValueError(f"rule ids {sorted(clash)} clash with key columns")
+    """``keys`` + one column ``_r<i>`` per rule in rule order: names that no key or rule id can equal or break."""
     register_functions(df.sparkSession)
     fallback_types = dict(fallback_types or {})
-    rule_ids = list(rules)
     problems: list[RuleProblem] = []
     try:
         wrapped = _project(df, keys, list(rules.values()))
@@ -97,19 +127,53 @@ def project_rules(
                 log.info("rule %s does not compile: %s", rule_id, problems[-1].message)
                 texts.append(F.lit(None).cast(fallback_types.get(rule_id, StringType())))
         wrapped = _project(df, keys, texts)
-    frame = wrapped.select(*keys, *[F.col(f"_rule{i}.v").alias(r) for i, r in enumerate(rule_ids)])
-    types = {r: frame.schema[r].dataType for r in rule_ids}
+    own = [F.col(f"_rule{i}.v").alias(f"_r{i}") for i in range(len(rules))]
+    frame = wrapped.select(*[F.col(_quoted(k)) for k in keys], *own)
+    types = {r: frame.schema[f"_r{i}"].dataType for i, r in enumerate(rules)}
     return RuleProjection(frame, types, tuple(problems))
 
 
+def project_rules(
+    df: DataFrame,
+    rules: Mapping[str, str],
+    keys: Sequence[str] = (),
+    fallback_types: Mapping[str, DataType] | None = None,
+) -> RuleProjection:
+    """Project every rule over ``df`` and report the rules that do not compile.
+
+    All rules are analysed together (driver only, no job on the data); only when
+    that fails is each rule analysed alone, to find the bad ones, which then become
+    null columns of their ``fallback_types`` (string where none is given).
+    Rule ids become column names, so they must differ from the keys and from each
+    other the way the session compares names.
+    """
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    names = [x if exact else x.lower() for x in (*keys, *rules)]
+    clash = sorted({x for x in names if names.count(x) > 1})
+    if clash:
+        raise ValueError(f"rule ids and key columns clash: {clash}")
+    found = _compiled(df, rules, keys, fallback_types)
+    return RuleProjection(found.frame.toDF(*keys, *rules), found.types, found.problems)
+
+
 def check_rules(df: DataFrame, rules: Mapping[str, str]) -> list[RuleProblem]:
     """Rules that cannot be evaluated on ``df``, with the analyser's message."""
-    return list(project_rules(df, rules).problems)
+    return list(_compiled(df, rules, (), None).problems)
 
 
-def rules_wide(df: DataFrame, rules: Mapping[str, str], keys: Sequence[str] = ()) -> DataFrame:
+def rules_wide(
+    df: DataFrame,
+    rules: Mapping[str, str],
+    keys: Sequence[str] = (),
+    fallback_types: Mapping[str, DataType] | None = None,
+) -> DataFrame:
     """``keys`` + one typed column per rule, one row per input row."""
-    return project_rules(df, rules, keys).frame
+    return project_rules(df, rules, keys, fallback_types).frame
+
+
+def _rule_name(rules: Mapping[str, str], column: str) -> Column:
+    """The id of the rule whose internal column is named in ``column``."""
+    return F.get(F.array(*[F.lit(r) for r in rules]), F.substring(column, 3, 10).cast("int"))
 
 
 def rules_long(
@@ -117,21 +181,24 @@ def rules_long(
     rules: Mapping[str, str],
     keys: Sequence[str],
     result_col: str = "result",
+    fallback_types: Mapping[str, DataType] | None = None,
 ) -> DataFrame:
     """``(keys..., rule_id, result)``: one row per input row and rule.
 
     Results of mixed types share one string column (``true``, ``128``,
     ``2.0000000000``); nulls are kept.  The unpivot is a narrow ``Expand``
-    over the wide projection, so this is still one pass with no shuffle.
+    over the wide projection, so this is still one pass with no shuffle.  Rule
+    ids are values here: any text will do.
     """
-    projected = project_rules(df, rules, keys)
-    if not projected.rule_ids:
+    found = _compiled(df, rules, keys, fallback_types)
+    kept = [F.col(_quoted(k)) for k in keys]
+    if not rules:
         empty = [F.lit(None).cast("string").alias("rule_id"), F.lit(None).cast("string").alias(result_col)]
-        return projected.frame.select(*keys, *empty).where(F.lit(False))
-    as_text = [F.col(r).cast("string").alias(r) for r in projected.rule_ids]
-    return projected.frame.select(*keys, *as_text).unpivot(
-        list(keys), projected.rule_ids, "rule_id", result_col
-    )
+        return found.frame.select(*kept, *empty).where(F.lit(False))
+    own = [f"_r{i}" for i in range(len(rules))]
+    as_text = [F.col(r).cast("string").alias(r) for r in own]
+    long = found.frame.select(*kept, *as_text).unpivot([_quoted(k) for k in keys], own, "_rule", result_col)
+    return long.select(*kept, _rule_name(rules, "_rule").alias("rule_id"), F.col(_quoted(result_col)))
 
 
 def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -141,15 +208,13 @@ def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     one row per task to the final step), then an unpivot of that single row.
     A rule that does not compile fails on every record.
     """
-    projected = project_rules(df, rules)
-    if not projected.rule_ids:
+    found = _compiled(df, rules, (), None)
+    if not rules:
         schema = "n bigint, rule_id string, n_failed bigint"
         return df.sparkSession.createDataFrame([], schema)
-    counts = projected.frame.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(r).isNull()).alias(r) for r in projected.rule_ids],
-    )
-    return counts.unpivot(["n"], projected.rule_ids, "rule_id", "n_failed")
+    own = [f"_r{i}" for i in range(len(rules))]
+    counts = found.frame.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(r).isNull()).alias(r) for r in own])
+    return counts.unpivot(["n"], own, "_rule", "n_failed").select("n", _rule_name(rules, "_rule").alias("rule_id"), "n_failed")
 
 
 def evaluate_record(
@@ -163,10 +228,10 @@ def evaluate_record(
     in the record's key order.  A failing or non-compiling rule gives None.
     For tables, use :func:`rules_wide`; never loop over records with this.
     """
-    from pyspark.sql import Row
-
-    if schema is None:
-        df = spark.createDataFrame([Row(**record)])
+    if schema is None:  # a null has no type of its own: it is a string variable
+        known = {k: v for k, v in record.items() if v is not None}
+        df = spark.createDataFrame([tuple(known.values())], list(known)) if known else spark.range(1).select()
+        df = df.withColumns({k: F.lit(None).cast("string") for k, v in record.items() if v is None})
     else:
         df = spark.createDataFrame([tuple(record.values())], schema)
-    return project_rules(df, rules).frame.first().asDict()
+    return dict(zip(rules, _compiled(df, rules, (), None).frame.first()))

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from rulegrid.session import checkpoint_dir
 
-# A semi-join side of up to this many distinct keys is broadcast: at 8 bytes a
-# key plus hash-table overhead that stays within a few MB per executor.
+# A semi-join side of up to this many distinct keys and bytes is broadcast.
 BROADCAST_MAX_KEYS = 200_000
+BROADCAST_MAX_BYTES = 8 << 20
 
 # Above this many values an IN list is no longer written into the plan.
 LITERAL_MAX_KEYS = 10_000
@@ -36,6 +36,8 @@ class KeySets:
     orgs: DataFrame  # one column: org_id
     n_items: int
     n_orgs: int
+    item_bytes: int = 0  # of the keys as text: a bound for numbers, the measure for strings
+    org_bytes: int = 0
 
 
 def _tagged_distinct(keys: DataFrame, item_col: str, org_col: str) -> DataFrame:
@@ -71,20 +73,25 @@ def _tagged_distinct(keys: DataFrame, item_col: str, org_col: str) -> DataFrame:
 
 
 def _counted(distinct: DataFrame) -> KeySets:
-    counts = {
-        row["kind"]: row["n"]
-        for row in distinct.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
+    size = F.octet_length(F.coalesce(F.col("item_id").cast("string"), F.col("org_id").cast("string")))
+    found = distinct.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("size")).collect()
+    counts = {row["kind"]: (row["n"], row["size"] or 0) for row in found}
+    (n_items, item_bytes), (n_orgs, org_bytes) = counts.get(_ITEM, (0, 0)), counts.get(_ORG, (0, 0))
     return KeySets(
         items=distinct.where(F.col("kind") == _ITEM).select("item_id"),
         orgs=distinct.where(F.col("kind") == _ORG).select("org_id"),
-        n_items=counts.get(_ITEM, 0),
-        n_orgs=counts.get(_ORG, 0),
+        n_items=n_items,
+        n_orgs=n_orgs,
+        item_bytes=item_bytes,
+        org_bytes=org_bytes,
     )
 
 
 def key_sets(keys: DataFrame, item_col: str, org_col: str) -> KeySets:
-    """Split key pairs into two independent distinct key sets, materialised and counted."""
+    """Split key pairs into two independent distinct key sets.
+
+    Runs jobs when called: the sets are checkpointed and counted at once.
+    """
     return _counted(_tagged_distinct(keys, item_col, org_col))
 
 

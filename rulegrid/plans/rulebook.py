@@ -50,6 +50,17 @@ EXAMPLE_RULES_LONG = {
 }
 
 
+# Rules as a user would first write them, and one with a bad pattern: what fails on a record gives null.
+PLAIN_RULES = {
+    "p_cast": r"cast(text1 AS int)",
+    "p_cast_part": r"cast(get(split(text5, ':'), 1) AS int) + 5",
+    "p_zero": r"(d + 1) / b",
+    "p_index": r"split(text1, ':')[9]",
+    "p_wrap": r"cast(2147483647 AS int) + cast(a AS int)",
+    "p_pattern": r"split_at(text1, '(', 1)",
+}
+
+
 def pick(*rule_ids: str) -> dict[str, str]:
     merged = {**EXAMPLE_RULES, **EXAMPLE_RULES_DECIMAL, **EXAMPLE_RULES_LONG}
     return {rule_id: merged[rule_id] for rule_id in rule_ids}

@@ -8,7 +8,7 @@ hands over.  ``build_session`` is what ``bench.py`` and the tests use, and
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 
 from pyspark.sql import SparkSession
 
@@ -22,11 +22,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # No broadcast from static estimates (file sizes scaled by column width are
-    # not a bound on in-memory size); AQE broadcasts a side only after its
-    # shuffle output was measured below this size.  Explicit broadcast() hints,
-    # used only behind a measured count, still apply.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # From static estimates only very small sides are broadcast, so that a tiny
+    # dimension does not make a fact table shuffle; larger ones only once AQE has
+    # measured their shuffle output below the second threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "1MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     # Lineage cuts written by checkpoint() are removed when their RDD goes away.
@@ -75,36 +74,51 @@ def build_session(
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
+    defaults = _default_conf()
     for key in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
-        settings[key] = f"{settings.get(key, '')} {JIT_HUGE_METHODS}".strip()
+        given = settings.get(key, defaults.get(key, ""))
+        if JIT_HUGE_METHODS not in given.split():
+            given = f"{given} {JIT_HUGE_METHODS}".strip()
+        settings[key] = given
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
+def _default_conf() -> dict[str, str]:
+    """Options given from outside: of the running JVM (spark-submit), else of ``spark-defaults.conf``."""
+    from pyspark import SparkConf, SparkContext
+
+    if SparkContext._jvm is not None:
+        return dict(SparkConf(loadDefaults=True).getAll())
+    folder = os.environ.get("SPARK_CONF_DIR") or os.path.join(os.environ.get("SPARK_HOME", ""), "conf")
+    try:
+        with open(os.path.join(folder, "spark-defaults.conf")) as f:
+            lines = [line.split("#")[0].strip() for line in f]
+    except OSError:
+        return {}
+    pairs = [re.split(r"[\s=:]+", line, maxsplit=1) for line in lines if line]
+    return {pair[0]: pair[1] for pair in pairs if len(pair) == 2}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the folder ``DataFrame.checkpoint()`` writes to.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
-    it is read from the session and never overridden.  Only a local-mode
-    session without that setting (tests) gets a scratch folder of its own.
+    It is the shared folder named by ``spark.checkpoint.dir``, read from the
+    session and never overridden; where that is unset, a folder in the
+    warehouse, which executors share as well.  Called only where a checkpoint
+    is taken.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a folder every executor "
-            "can reach (HDFS, S3, ...) before running on a cluster"
-        )
-    base = os.environ.get("TMPDIR", "/tmp")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="rulegrid-ckpt-", dir=base))
+    sc.setCheckpointDir(configured_checkpoint_dir(spark) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir()
+
+
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` itself: the same in every application, unlike the folder that Spark makes in it."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

@@ -15,14 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulegrid.sources.tables import read_table, spread
+from rulegrid.sources.tables import read_table
 
 TABLE_A_SQL = """
 SELECT l_suppkey AS sch_org_id, c_nationkey AS org_id, l_partkey AS inv_item_id
 FROM {lineitem}
 JOIN {orders} ON l_orderkey = o_orderkey
 JOIN {customer} ON o_custkey = c_custkey
-WHERE l_returnflag = 'R'
 """
 
 TABLE_B_SQL = """
@@ -32,11 +31,16 @@ FROM {lineitem}
 
 # The parameter list of the IN-list statement: (inv_item_id, sch_org_id) pairs.
 KEY_LIST_SQL = """
-SELECT DISTINCT inv_item_id, sch_org_id
-FROM ({table_a}) AS a
-WHERE org_id = 7
+SELECT DISTINCT l_partkey AS inv_item_id, l_suppkey AS sch_org_id
+FROM {lineitem}
+JOIN {orders} ON l_orderkey = o_orderkey
+JOIN {customer} ON o_custkey = c_custkey
+WHERE c_nationkey = 7 AND l_returnflag = 'R'
 """
 
+# The same statement's list over every nation: all pairs of all lines.
+ALL_KEYS_SQL = "SELECT DISTINCT inv_item_id, sch_org_id FROM ({table_a}) AS a"
+
 # One record per event, carrying the variables the example rules read.  Each
 # column is built so that some records make a rule fail (see README).
 CONTEXTS_SQL = """
@@ -99,5 +103,5 @@ def key_list(spark: SparkSession, data_dir: str, nation: int = 7) -> DataFrame:
 
 
 def contexts(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Evaluation records, spread over all cores (rule work is CPU-bound)."""
-    return spread(spark.sql(CONTEXTS_SQL, events=read_table(spark, data_dir, "events")))
+    """Evaluation records: a projection of the events, with the events' own partitions."""
+    return spark.sql(CONTEXTS_SQL, events=read_table(spark, data_dir, "events"))

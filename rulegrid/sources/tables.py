@@ -35,20 +35,3 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}; known: {', '.join(TABLES)}")
     return spark.read.parquet(table_path(data_dir, name))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a shuffle-free scan over all cores when it has fewer splits.
-
-    For CPU-heavy per-record work (rule evaluation) on an input stored as a few
-    large row groups, which Parquet cannot split further.  The split count is
-    read from the scan plan; no job runs, since ``df`` has no exchange.  An
-    input with at least one split per core (any large table) is returned as
-    is, so at scale this adds nothing.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of this session (e.g. a remote client): leave the plan as is
-        return df
-    return df if splits >= cores else df.repartition(cores)

@@ -3,11 +3,13 @@
 Evaluating rules is a per-record projection, so on a streaming DataFrame it
 is the same plan as in batch: no state, no watermark, every micro-batch one
 narrow stage.  The one stateful piece is the running failure count per rule,
-whose state is one row per rule, whatever the stream's volume.
+whose state is one row, whatever the stream's volume.
 
-Progress and sink metadata live under the session's checkpoint folder (the
-cluster's shared ``spark.checkpoint.dir``) unless a location is given, so a
-restarted query resumes where it stopped and the file sink stays exactly-once.
+Progress lives in ``checkpoint_location``, or else under the configured
+``spark.checkpoint.dir`` and the query's name: a place that is the same after a
+restart, so the query resumes where it stopped and the file sink stays exactly-once.
+Without either, starting a query is an error: a place of one application's own
+would start at batch 0 again, and the sink would skip the batches it already has.
 """
 
 from __future__ import annotations
@@ -15,37 +17,40 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DataType
 
-from rulegrid.operators.rules import project_rules, rules_wide
-from rulegrid.session import checkpoint_dir
+from rulegrid.operators.rules import rules_failures, rules_wide
+from rulegrid.session import configured_checkpoint_dir
 
 
-def rules_stream(records: DataFrame, rules: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+def rules_stream(
+    records: DataFrame,
+    rules: Mapping[str, str],
+    keys: Sequence[str],
+    fallback_types: Mapping[str, DataType] | None = None,
+) -> DataFrame:
     """Streaming ``rules_wide``: ``keys`` + one typed column per rule."""
-    return rules_wide(records, rules, keys)
+    return rules_wide(records, rules, keys, fallback_types)
 
 
 def rule_failure_counts(records: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Running ``(rule_id, n, n_failed)`` over everything the stream has delivered.
 
-    Each micro-batch is unpivoted to ``(rule_id, failed)`` and aggregated per
-    rule; the state store holds one row per rule.  Use output mode ``update``
-    or ``complete``.
+    One aggregate over the projection counts all rules at once; the state store
+    holds a single row, which is unpivoted to one row per rule.  Use output mode
+    ``update`` or ``complete``.
     """
-    projected = project_rules(records, rules)
-    flags = projected.frame.select(*[F.col(r).isNull().alias(r) for r in projected.rule_ids])
-    long = flags.unpivot([], projected.rule_ids, "rule_id", "failed")
-    return long.groupBy("rule_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("failed")).alias("n_failed")
-    )
+    return rules_failures(records, rules).select("rule_id", "n", "n_failed")
 
 
 def _location(records: DataFrame, name: str, given: str | None) -> str:
     if given:
         return given
-    return f"{checkpoint_dir(records.sparkSession).rstrip('/')}/streams/{name}"
+    base = configured_checkpoint_dir(records.sparkSession)
+    if not base:
+        raise ValueError("give checkpoint_location, or set spark.checkpoint.dir to a folder that outlives the application")
+    return f"{base.rstrip('/')}/streams/{name}"
 
 
 def start_rules_to_parquet(
@@ -57,6 +62,7 @@ def start_rules_to_parquet(
     checkpoint_location: str | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
+    fallback_types: Mapping[str, DataType] | None = None,
 ) -> StreamingQuery:
     """Evaluate ``rules`` on every arriving record and append the results to Parquet.
 
@@ -65,7 +71,7 @@ def start_rules_to_parquet(
     data arrives).
     """
     writer = (
-        rules_stream(records, rules, keys)
+        rules_stream(records, rules, keys, fallback_types)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", _location(records, name, checkpoint_location))

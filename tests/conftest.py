@@ -12,7 +12,8 @@ SMALL_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[8]", app_name="rulegrid-tests", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("checkpoints"))
+    session = build_session("local[8]", app_name="rulegrid-tests", shuffle_partitions=8, conf={"spark.checkpoint.dir": folder})
     yield session
     session.stop()

@@ -1,4 +1,4 @@
-"""Checkpoint folder: read from the session, set only for a local session that has none."""
+"""Checkpoint folder: read from the session, in the warehouse where none is set; options from outside are kept."""
 
 import pytest
 
@@ -48,16 +48,29 @@ def test_configured_dir_is_used():
     assert ctx.set_calls == ["s3a://bucket/ckpt"]
 
 
-def test_cluster_without_dir_refuses_local_folder():
-    with pytest.raises(RuntimeError):
-        checkpoint_dir(_Session(_Context("yarn")))
+def test_session_without_dir_uses_the_warehouse():
+    ctx = _Context("yarn")
+    session = _Session(ctx)
+    session.conf = _Conf({"spark.sql.warehouse.dir": "hdfs://nn/warehouse/"})
+    assert checkpoint_dir(session) == "hdfs://nn/warehouse/_checkpoints"
 
 
-def test_local_session_without_dir_gets_scratch(tmp_path, monkeypatch):
-    monkeypatch.setenv("TMPDIR", str(tmp_path))
-    ctx = _Context("local[2]")
-    path = checkpoint_dir(_Session(ctx))
-    assert path.startswith(str(tmp_path))
+def test_building_a_session_takes_no_checkpoint_folder(monkeypatch):
+    import rulegrid.session as module
+
+    monkeypatch.setattr(module, "checkpoint_dir", lambda spark: pytest.fail("no checkpoint is taken here"))
+    module.build_session("local[8]")
+
+
+def test_jvm_options_are_added_to_given_ones(tmp_path, monkeypatch):
+    import rulegrid.session as module
+
+    (tmp_path / "spark-defaults.conf").write_text("spark.executor.extraJavaOptions -Dx=1 -Dy=2\n# no\n")
+    monkeypatch.setenv("SPARK_CONF_DIR", str(tmp_path))
+    from pyspark import SparkContext
+
+    monkeypatch.setattr(SparkContext, "_jvm", None)
+    assert module._default_conf()["spark.executor.extraJavaOptions"] == "-Dx=1 -Dy=2"
 
 
 def test_real_session_has_shared_dir(spark):
