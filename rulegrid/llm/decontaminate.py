@@ -44,16 +44,19 @@ _FLIPS = np.array([0, *(sum(1 << b for b in c) for k in (1, 2) for c in combinat
 
 
 def running_bits(hashes: np.ndarray) -> np.ndarray:
-    """Running counts of every bit, modulo 2**16 (windows are far shorter), with a row of zeros first."""
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-    out = np.zeros((len(hashes) + 1, 64), np.uint16)
-    np.cumsum(bits, axis=0, dtype=np.uint16, out=out[1:])
+    """Running counts of all 64 bits, as eight 64-bit numbers of eight byte-wide counters each, with a row of zeros first.
+
+    Counters overflow into their neighbours, but differences over windows of up to 255 words are exact again.
+    """
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).view(np.uint64)
+    out = np.zeros((len(hashes) + 1, 8), np.uint64)
+    np.cumsum(bits, axis=0, out=out[1:])
     return out
 
 
 def fingerprints(running: np.ndarray, size: int) -> np.ndarray:
     """Majority fingerprints of all windows of ``size`` words."""
-    count = running[size:] - running[:-size]
+    count = (running[size:] - running[:-size]).view(np.uint8)
     return np.packbits(count > size // 2, axis=1).view("<u8").ravel()
 
 
@@ -62,11 +65,13 @@ class Index:
 
     def __init__(self, size: int):
         self.size = size
+        self.longest = 0  # words of the longest item
         self.prints: list[int] = []
         self.owners: list[tuple[int, int]] = []  # item, offset of the window in it
 
     def add(self, item: int, words: np.ndarray) -> None:
         last = len(words) - self.size
+        self.longest = max(self.longest, len(words))
         all_prints = fingerprints(running_bits(words), self.size)
         for offset in sorted({0, last // 2, last}):
             self.prints.append(int(all_prints[offset]))
@@ -101,8 +106,8 @@ class Index:
         return np.concatenate(at), np.concatenate(which)
 
 
-def build(items: list[tuple[int, np.ndarray]]) -> tuple[list[Index], dict[int, tuple[int, dict[int, float]]]]:
-    """Indexes by size class, and per item its length and shingle weights."""
+def build(items: list[tuple[int, np.ndarray]]) -> tuple[list[Index], dict[int, tuple[int, dict[int, float]]], np.ndarray]:
+    """Indexes by size class, per item its length and shingle weights, and all items' shingles."""
     indexes: dict[int, Index] = {}
     sets = {item: np.unique(shingles(words, SHINGLE)).tolist() for item, words in items if len(words)}
     holders: dict[int, int] = {}
@@ -115,13 +120,20 @@ def build(items: list[tuple[int, np.ndarray]]) -> tuple[list[Index], dict[int, t
             size = max(s for s in SIZES if s <= len(words))
             indexes.setdefault(size, Index(size)).add(item, words)
             known[item] = (len(words), {t: 1 / holders[t] for t in sets[item]})
-    return [x.close() for _, x in sorted(indexes.items())], known
+    return [x.close() for _, x in sorted(indexes.items())], known, np.array(sorted(holders), np.uint64)
 
 
-def _row_windows(part: Words, indexes: list[Index], known: dict) -> Iterator[tuple[int, int, float, int]]:
+def _row_windows(part: Words, indexes: list[Index], known: dict, tokens: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
     """``(row, item, similarity, start)`` of verified matches in a group of rows."""
     running = running_bits(part.hashes)
     of_row = part.row_of_word()
+    # Verification ends early where a candidate's surroundings hold no shingle of any item: its similarity is 0.
+    marks = np.zeros(len(part.hashes) + 1, np.int64)
+    if len(part.hashes) >= SHINGLE:
+        every = shingles(part.hashes, SHINGLE)
+        at = np.minimum(np.searchsorted(tokens, every), len(tokens) - 1)
+        marks[1 : len(every) + 1] = tokens[at] == every
+    np.cumsum(marks, out=marks)
     best: dict[tuple[int, int], tuple[float, int]] = {}
     tried: set[tuple[int, int, int]] = set()
     for index in indexes:
@@ -129,6 +141,9 @@ def _row_windows(part: Words, indexes: list[Index], known: dict) -> Iterator[tup
             continue
         at, which = index.search(fingerprints(running, index.size))
         inside = of_row[at] == of_row[at + index.size - 1]
+        if index.size >= SHINGLE:
+            reach = index.longest + SLACK
+            inside &= marks[np.minimum(at + reach, len(marks) - 1)] > marks[np.maximum(at - reach, 0)]
         for p, w in zip(at[inside].tolist(), which[inside].tolist()):
             item, offset = index.owners[w]
             length, weights = known[item]
@@ -150,12 +165,12 @@ def _row_windows(part: Words, indexes: list[Index], known: dict) -> Iterator[tup
 
 def _search(indexes, threshold: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, known = indexes.value
+        classes, known, tokens = indexes.value
         for batch in batches:
             rows: list[tuple] = []
             for part in words_of(batch["text"]):
-                for piece in _pieces(part):
-                    rows += [x for x in _row_windows(piece, classes, known) if x[2] >= threshold]
+                for piece in _pieces(part, max((x.longest for x in classes), default=0)):
+                    rows += [x for x in _row_windows(piece, classes, known, tokens) if x[2] >= threshold]
             ids = batch["doc_id"].take(pa.array([x[0] for x in rows], pa.int64())).cast(pa.int64())
             columns = [pa.array([x[i] for x in rows], k) for i, k in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()))]
             yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "item_id", "similarity", "start_word"])
@@ -163,12 +178,12 @@ def _search(indexes, threshold: float) -> Callable:
     return run
 
 
-def _pieces(part: Words, most: int = 200_000) -> Iterator[Words]:
+def _pieces(part: Words, longest: int, most: int = 200_000) -> Iterator[Words]:
     """A very long row in overlapping runs of words, so that the running counts stay small."""
     if len(part.bounds) > 2 or len(part.hashes) <= most:
         yield part
         return
-    overlap = 4 * SIZES[-1] + 2 * SLACK
+    overlap = 2 * (longest + SLACK)
     for start in range(0, len(part.hashes), most):
         own = part.hashes[start : start + most + overlap]
         yield Words(part.first, np.array([0, len(own)]), own)
