@@ -168,7 +168,7 @@ def _search(indexes, threshold: float) -> Callable:
         classes, known, tokens = indexes.value
         for batch in batches:
             rows: list[tuple] = []
-            for part in words_of(batch["text"]):
+            for part in words_of(batch["text"]) if classes else ():
                 for piece in _pieces(part, max((x.longest for x in classes), default=0)):
                     rows += [x for x in _row_windows(piece, classes, known, tokens) if x[2] >= threshold]
             ids = batch["doc_id"].take(pa.array([x[0] for x in rows], pa.int64())).cast(pa.int64())
