@@ -167,10 +167,13 @@ def _search(indexes, threshold: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, known, tokens = indexes.value
         for batch in batches:
-            rows: list[tuple] = []
+            best: dict[tuple[int, int], tuple[float, int]] = {}  # pieces of one row overlap
             for part in words_of(batch["text"]) if classes else ():
                 for piece in _pieces(part, max((x.longest for x in classes), default=0)):
-                    rows += [x for x in _row_windows(piece, classes, known, tokens) if x[2] >= threshold]
+                    for row, item, similarity, start in _row_windows(piece, classes, known, tokens):
+                        if similarity >= max(threshold, best.get((row, item), (0.0, 0))[0]):
+                            best[row, item] = (similarity, start)
+            rows = [(*key, *value) for key, value in best.items()]
             ids = batch["doc_id"].take(pa.array([x[0] for x in rows], pa.int64())).cast(pa.int64())
             columns = [pa.array([x[i] for x in rows], k) for i, k in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()))]
             yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "item_id", "similarity", "start_word"])
