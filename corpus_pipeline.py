@@ -1,7 +1,8 @@
 """A corpus pipeline of five operators: each stage works on all rows that the one before it kept.
 
 1. quality classifier: rows that it scores below its threshold go;
-2. n-gram Jaccard join: of each group of linked texts the row of the smallest doc_id stays;
+2. n-gram Jaccard join: of each group of linked texts (Jaccard similarity of their 5-word shingles at least 0.8) the row of the
+   smallest doc_id stays;
 3. benchmark decontamination: rows with a passage of a benchmark item go;
 4. secret scans: rows stay, owner-specific live-looking secrets are masked in their texts;
 5. packing: the texts become sequences of tokens.
@@ -19,6 +20,8 @@ from rulegrid.llm import decontaminate, jaccard, packing, quality, secrets
 from rulegrid.llm.queries import table, vocabulary
 from rulegrid.llm.shared import stored
 
+SHINGLE, NEAR = 5, 80  # the query op3 has a contract of its own: 3 words, 90 %
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -26,7 +29,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = jaccard.similar_text_classes(docs.select("doc_id", "text"), k=3, threshold=90)
+    classes = jaccard.similar_text_classes(docs.select("doc_id", "text"), k=SHINGLE, threshold=NEAR)
     # Few rows go, so they are the side to match: a row goes if its class has a smaller doc_id or its doc_id came before.
     goes = classes.where("doc_id <> component_id").select("doc_id").distinct()
     again = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")

@@ -419,6 +419,16 @@ def test_pipeline_stage_by_stage(spark, odd, nothing):
         assert corpus_pipeline.STAGES[-1][1](spark, now, SMALL_DIR).count() >= now.count()
 
 
+def test_pipeline_drops_near_copies_of_five_word_shingles(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    expected = {d for d, _, c, _ in brute_classes(rows, 5, 80) if d == c}
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SMALL_DIR)
+    assert {r.doc_id for r in kept.collect()} == expected < {d for d, _, c, _ in brute_classes(rows, 3, 90) if d == c}
+
+
 def test_registered_queries(spark):
     import __spark_entry__ as entry
     from check_oracle import compare, duck_connection
