@@ -11,7 +11,7 @@ four blocks of a window finds every item fingerprint within the radius; the dist
 
 Verification.  The item's 5-word shingles are compared with those of the document around the window (the item's length and
 ``SLACK`` words on either side): the weight of the shared shingles over the weight of all the item's shingles, each
-shingle weighing 1 / (number of items with it), must be at least ``threshold``.
+shingle weighing 1 / (number of items of the whole benchmark with it), must be at least ``threshold``.
 
 The benchmark is the small side by nature: it is read whole to the driver, in at most ``MAX_ITEMS`` items at a time (a larger one is
 searched in blocks of that many), and sent to every task; documents are read once per block of items and never shuffled.
@@ -106,21 +106,32 @@ class Index:
         return np.concatenate(at), np.concatenate(which)
 
 
-def build(items: list[tuple[int, np.ndarray]]) -> tuple[list[Index], dict[int, tuple[int, dict[int, float]]], np.ndarray]:
-    """Indexes by size class, per item its length and shingle weights, and all items' shingles."""
-    indexes: dict[int, Index] = {}
-    sets = {item: np.unique(shingles(words, SHINGLE)).tolist() for item, words in items if len(words)}
+def shingle_sets(items: list[tuple[int, np.ndarray]]) -> dict[int, list[int]]:
+    return {item: np.unique(shingles(words, SHINGLE)).tolist() for item, words in items if len(words)}
+
+
+def holders_of(items: list[tuple[int, np.ndarray]]) -> dict[int, int]:
+    """For each shingle the number of items with it."""
     holders: dict[int, int] = {}
-    for tokens in sets.values():
+    for tokens in shingle_sets(items).values():
         for t in tokens:
             holders[t] = holders.get(t, 0) + 1
+    return holders
+
+
+def build(items: list[tuple[int, np.ndarray]], holders: dict[int, int]) -> tuple[list[Index], dict[int, tuple[int, dict[int, float]]], np.ndarray]:
+    """Indexes by size class, per item its length and shingle weights, and all shingles of these items.
+
+    ``holders``: of the whole benchmark, so that a shingle weighs the same in every block of items."""
+    indexes: dict[int, Index] = {}
+    sets = shingle_sets(items)
     known = {}
     for item, words in items:
         if len(words):
             size = max(s for s in SIZES if s <= len(words))
             indexes.setdefault(size, Index(size)).add(item, words)
             known[item] = (len(words), {t: 1 / holders[t] for t in sets[item]})
-    return [x.close() for _, x in sorted(indexes.items())], known, np.array(sorted(holders), np.uint64)
+    return [x.close() for _, x in sorted(indexes.items())], known, np.array(sorted({t for tokens in sets.values() for t in tokens}), np.uint64)
 
 
 def _row_windows(part: Words, indexes: list[Index], known: dict, tokens: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
@@ -200,9 +211,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null").orderBy("item_id", "text").toArrow()
     words = [hashes for part in words_of(items["text"]) for _, hashes in part.rows()]
     pairs = list(zip(items["item_id"].to_pylist(), words))
+    holders = holders_of(pairs)
     found = None
     for first in range(0, max(1, len(pairs)), MAX_ITEMS):
-        index = spark.sparkContext.broadcast(build(pairs[first : first + MAX_ITEMS]))
+        index = spark.sparkContext.broadcast(build(pairs[first : first + MAX_ITEMS], holders))
         part = docs.mapInArrow(_search(index, threshold), "doc_id long, item_id long, similarity double, start_word long")
         found = part if found is None else found.union(part)
     return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.count(F.lit(1)).alias("n_rows"))

@@ -124,6 +124,17 @@ def test_leaks_on_random_texts(spark, odd, nothing):
     assert {(r.doc_id, r.item_id, r.n_rows) for r in itself.collect()} >= {(1, 2, 1), (2, 2, 2), (7, 7, 1), (8, 7, 1)}
 
 
+def test_leaks_do_not_depend_on_blocks_of_items(spark, monkeypatch):
+    rng = random.Random(12)
+    shared = [f"b{i}" for i in range(12)]
+    items = [(i, " ".join([*shared, *(f"u{i}x{j}" for j in range(16))])) for i in range(6)]
+    docs = [(d, " ".join([*(f"n{rng.random()}" for _ in range(30)), *shared[: d % 13], *items[d % 6][1].split()[12 - d // 6 :], "end"])) for d in range(72)]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontaminate.find_leaks(*tables).collect())
+    monkeypatch.setattr(decontaminate, "MAX_ITEMS", 2)
+    assert whole and whole == sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontaminate.find_leaks(*tables).collect())
+
+
 def test_hamming_search_is_complete():
     rng = np.random.default_rng(1)
     index = decontaminate.Index(8)
