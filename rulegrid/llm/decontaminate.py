@@ -9,6 +9,12 @@ Search.  A 64-bit fingerprint is four blocks of 16 bits.  If two differ in at mo
 most 2.  Per class and block, a table of all 65,536 block values lists the item fingerprints within 2 bits, so looking up the
 four blocks of a window finds every item fingerprint within the radius; the distance is then checked.
 
+Anchors.  An edit in each of an item's windows can push all of them beyond the radius though the passage keeps enough shingles, so an
+item of at least five words is looked for by its rarest shingles as well: as many as weigh more than 1 - ``threshold`` of all its
+shingles together.  A passage that is enough like the item lacks less than that, so it holds one of them.  A row that holds
+one is compared with the item over every stretch of the item's length and twice ``SLACK`` words.  So no passage is lost
+before verification; shingles that many items share are no anchors of items that have others.
+
 Verification.  The item's 5-word shingles are compared with those of the document around the window (the item's length and
 ``SLACK`` words on either side): the weight of the shared shingles over the weight of all the item's shingles, each
 shingle weighing 1 / (number of items of the whole benchmark with it), must be at least ``threshold``.
@@ -23,6 +29,7 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -119,8 +126,37 @@ def holders_of(items: list[tuple[int, np.ndarray]]) -> dict[int, int]:
     return holders
 
 
-def build(items: list[tuple[int, np.ndarray]], holders: dict[int, int]) -> tuple[list[Index], dict[int, tuple[int, dict[int, float]]], np.ndarray]:
-    """Indexes by size class, per item its length and shingle weights, and all shingles of these items.
+class Anchors:
+    """All shingles of a block's items, and for each the items that are looked for by it."""
+
+    def __init__(self, known: dict[int, tuple[int, dict[int, float]]], threshold: float):
+        self.tokens = np.array(sorted({t for _, weights in known.values() for t in weights}), np.uint64)
+        self.own = {}  # per item, places of its shingles in ``tokens`` and their weights
+        at, owners = [np.zeros(0, np.int64)], []
+        for item, (length, weights) in known.items():
+            if length < SHINGLE:
+                continue  # its one window is the whole item
+            place = np.searchsorted(self.tokens, np.array(list(weights), np.uint64))
+            weight = np.array(list(weights.values()))
+            self.own[item] = place, weight
+            rarest = np.argsort(-weight, kind="stable")
+            lack = (1 - threshold) * weight.sum() * (1 + 1e-9) + 1e-12
+            chosen = rarest[: int(np.searchsorted(np.cumsum(weight[rarest]), lack, side="right")) + 1]
+            at.append(place[chosen])
+            owners += [item] * len(chosen)
+        places = np.concatenate(at)
+        order = np.argsort(places, kind="stable")
+        self.owners = np.array(owners, np.int64)[order]
+        self.starts = np.searchsorted(places[order], np.arange(len(self.tokens) + 1))
+
+    def candidates(self, places: np.ndarray) -> list[int]:
+        """Items with an anchor among the shingles at ``places``."""
+        own = [self.owners[self.starts[p] : self.starts[p + 1]] for p in places.tolist()]
+        return np.unique(np.concatenate(own)).tolist() if own else []
+
+
+def build(items: list[tuple[int, np.ndarray]], holders: dict[int, int], threshold: float = THRESHOLD) -> tuple[list[Index], dict[int, tuple[int, dict[int, float]]], Anchors]:
+    """Indexes by size class, per item its length and shingle weights, and the anchors.
 
     ``holders``: of the whole benchmark, so that a shingle weighs the same in every block of items."""
     indexes: dict[int, Index] = {}
@@ -131,21 +167,60 @@ def build(items: list[tuple[int, np.ndarray]], holders: dict[int, int]) -> tuple
             size = max(s for s in SIZES if s <= len(words))
             indexes.setdefault(size, Index(size)).add(item, words)
             known[item] = (len(words), {t: 1 / holders[t] for t in sets[item]})
-    return [x.close() for _, x in sorted(indexes.items())], known, np.array(sorted({t for tokens in sets.values() for t in tokens}), np.uint64)
-
-
-def _row_windows(part: Words, indexes: list[Index], known: dict, tokens: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
+    return [x.close() for _, x in sorted(indexes.items())], known, Anchors(known, threshold)
+
+
+def best_stretch(places: np.ndarray, at: np.ndarray, own: np.ndarray, weight: np.ndarray, words: int) -> tuple[float, int]:
+    """The largest share of an item's shingles in ``words`` words of a row, and where they begin.
+
+    ``places`` and ``at``: the row's shingles that the benchmark has and their positions; ``own``: those of the item, in order."""
+    if not len(own):
+        return 0.0, 0
+    which = np.minimum(np.searchsorted(own, places), len(own) - 1)
+    chosen = own[which] == places
+    which, at = which[chosen], at[chosen]
+    total = math.fsum(weight)
+    if not len(at) or at[-1] + SHINGLE - at[0] <= words:
+        return math.fsum(weight[np.unique(which)]) / total, int(at[0]) if len(at) else 0
+    best, have, inside, last = (0.0, 0), np.zeros(len(own), np.int64), 0.0, 0
+    for first in range(len(at)):
+        while last < len(at) and at[last] + SHINGLE - at[first] <= words:
+            if not have[which[last]]:
+                inside += weight[which[last]]
+            have[which[last]] += 1
+            last += 1
+        if inside / total > best[0] - 1e-9:
+            exact = math.fsum(weight[have > 0]) / total
+            if exact > best[0]:
+                best = exact, int(at[first])
+        have[which[first]] -= 1
+        if not have[which[first]]:
+            inside -= weight[which[first]]
+    return best
+
+
+def _row_windows(part: Words, indexes: list[Index], known: dict, anchors: Anchors, threshold: float) -> Iterator[tuple[int, int, float, int]]:
     """``(row, item, similarity, start)`` of verified matches in a group of rows."""
     running = running_bits(part.hashes)
     of_row = part.row_of_word()
+    best: dict[tuple[int, int], tuple[float, int]] = {}
     # Verification ends early where a candidate's surroundings hold no shingle of any item: its similarity is 0.
     marks = np.zeros(len(part.hashes) + 1, np.int64)
-    if len(part.hashes) >= SHINGLE:
+    tokens = anchors.tokens
+    if len(part.hashes) >= SHINGLE and len(tokens):
         every = shingles(part.hashes, SHINGLE)
         at = np.minimum(np.searchsorted(tokens, every), len(tokens) - 1)
         marks[1 : len(every) + 1] = tokens[at] == every
+        hits = np.flatnonzero(marks[1:])
+        hits = hits[of_row[hits] == of_row[hits + SHINGLE - 1]]
+        for hit in np.split(hits, np.flatnonzero(np.diff(of_row[hits])) + 1):
+            row = int(of_row[hit[0]]) if len(hit) else 0
+            for item in anchors.candidates(np.unique(at[hit])):
+                own, weight = anchors.own[item]
+                similarity, start = best_stretch(at[hit], hit, own, weight, known[item][0] + 2 * SLACK)
+                if similarity >= threshold:
+                    best[(row, item)] = (similarity, start - int(part.bounds[row]))
     np.cumsum(marks, out=marks)
-    best: dict[tuple[int, int], tuple[float, int]] = {}
     tried: set[tuple[int, int, int]] = set()
     for index in indexes:
         if len(part.hashes) < index.size:
@@ -166,7 +241,7 @@ def _row_windows(part: Words, indexes: list[Index], known: dict, tokens: np.ndar
             tried.add((row, item, start))
             span = part.hashes[start : start + length] if length < SHINGLE else part.hashes[max(low, start - SLACK) : min(high, start + length + SLACK)]
             have = set(shingles(span, SHINGLE).tolist())
-            similarity = sum(x for t, x in weights.items() if t in have) / sum(weights.values())
+            similarity = math.fsum(x for t, x in weights.items() if t in have) / math.fsum(weights.values())
             old = best.get((row, item))
             if old is None or (similarity, -start) > (old[0], -old[1]):
                 best[(row, item)] = (similarity, start - low)
@@ -176,12 +251,12 @@ def _row_windows(part: Words, indexes: list[Index], known: dict, tokens: np.ndar
 
 def _search(indexes, threshold: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, known, tokens = indexes.value
+        classes, known, anchors = indexes.value
         for batch in batches:
             best: dict[tuple[int, int], tuple[float, int]] = {}  # pieces of one row overlap
             for part in words_of(batch["text"]) if classes else ():
                 for piece in _pieces(part, max((x.longest for x in classes), default=0)):
-                    for row, item, similarity, start in _row_windows(piece, classes, known, tokens):
+                    for row, item, similarity, start in _row_windows(piece, classes, known, anchors, threshold):
                         if similarity >= max(threshold, best.get((row, item), (0.0, 0))[0]):
                             best[row, item] = (similarity, start)
             rows = [(*key, *value) for key, value in best.items()]
@@ -214,7 +289,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     holders = holders_of(pairs)
     found = None
     for first in range(0, max(1, len(pairs)), MAX_ITEMS):
-        index = spark.sparkContext.broadcast(build(pairs[first : first + MAX_ITEMS], holders))
+        index = spark.sparkContext.broadcast(build(pairs[first : first + MAX_ITEMS], holders, threshold))
         part = docs.mapInArrow(_search(index, threshold), "doc_id long, item_id long, similarity double, start_word long")
         found = part if found is None else found.union(part)
     return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.count(F.lit(1)).alias("n_rows"))

@@ -124,6 +124,40 @@ def test_leaks_on_random_texts(spark, odd, nothing):
     assert {(r.doc_id, r.item_id, r.n_rows) for r in itself.collect()} >= {(1, 2, 1), (2, 2, 2), (7, 7, 1), (8, 7, 1)}
 
 
+def test_leaks_are_found_at_every_item_length(spark):
+    """Passages edited until an edit more would leave less than 0.8 of the item's 5-word shingles."""
+    rng = random.Random(8)
+    items, docs, expected = [], [], set()
+    for n in range(15, 66):
+        for _ in range(6):
+            i = len(items)
+            words = [f"i{i}w{j}" for j in range(n)]
+            items.append((i, " ".join(words)))
+            shown, own = list(words), shingle_sets(items[-1][1], 5)
+            for _ in range(200):
+                edited = list(shown)
+                edited[rng.randrange(n)] = f"e{rng.random()}"
+                if len(own & shingle_sets(" ".join(edited), 5)) >= 0.8 * len(own):
+                    shown = edited
+            filler = [f"d{i}x{j}" for j in range(80)]
+            docs.append((i, " ".join([*filler[:40], *shown, *filler[40:]])))
+            expected.add((i, i))
+    leaks = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in leaks.collect()} == expected
+
+
+def test_best_stretch_matches_all_stretches():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        own = np.arange(6)
+        weight = 1 / rng.integers(1, 4, 6)
+        at = np.sort(rng.choice(60, rng.integers(1, 25), replace=False))
+        places = rng.integers(0, 9, len(at))
+        got = decontaminate.best_stretch(places, at, own, weight, 18)[0]
+        every = [{p for p, a in zip(places.tolist(), at.tolist()) if p < 6 and s <= a and a + 5 <= s + 18} for s in range(60)]
+        assert abs(got - max(sum(weight[list(x)]) for x in every) / weight.sum()) < 1e-12
+
+
 def test_leaks_do_not_depend_on_blocks_of_items(spark, monkeypatch):
     rng = random.Random(12)
     shared = [f"b{i}" for i in range(12)]
