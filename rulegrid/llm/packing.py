@@ -15,7 +15,7 @@ documents share nor a group of copies is gathered in one task.
 
 Padding: a sequence wastes less than ``STEP`` ids per piece, plus one sequence at the end that may stay short.
 
-Results for odd input: a null or empty text is one piece holding only ``END``; equal rows are packed each; an empty
+Results for odd input: ``<|endoftext|>`` in a text is its added token; a null or empty text is one piece holding only ``END``; equal rows are packed each; an empty
 table gives no pieces; a very long text gives its pieces one by one.
 """
 
@@ -38,6 +38,7 @@ DEPTH = 3
 END = 1
 SALT_ROWS = 50_000
 CACHE = 200_000  # chunks whose ids a worker remembers
+ADDED, ADDED_ID = "<|endoftext|>", 50256  # the one added token of byte_bpe_50k.json, special and matched as it stands
 
 _ODD_SPACE = re.compile(r" [\s\x1c-\x1f]|[\s\x1c-\x1f] ")
 
@@ -76,6 +77,11 @@ class Ids(dict):
             chunks = [first, *[" " + x for x in rest]]
         return np.frombuffer(b"".join(map(self.__getitem__, chunks)), np.uint16)
 
+    def with_added(self, text: str) -> np.ndarray:
+        """Ids as the tokeniser gives them at its defaults: the added token is found first, and ``of`` the texts between."""
+        first, *rest = map(self.of, text.split(ADDED))
+        return np.concatenate([first, *(x for ids in rest for x in (np.array([ADDED_ID], np.uint16), ids))])
+
 
 _IDS: dict[str, Ids] = {}
 
@@ -93,7 +99,7 @@ def _tokenise(vocabulary: str) -> Callable:
     """Pieces of at most ``WINDOW`` ids, as little-endian 16-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = ids_of(vocabulary).of
+        of = ids_of(vocabulary).with_added
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
             size = 0

@@ -92,6 +92,22 @@ def test_text_chunks_give_the_tokenisers_ids():
         assert own.of(text).tolist() == tokens.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_packing_gives_the_added_token_as_the_tokeniser_does(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own = packing.ids_of(queries.vocabulary())
+    rng = random.Random(7)
+    texts = ["<|endoftext|>", "a<|endoftext|>", " <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext|", "<|ENDOFTEXT|>", "x " * 3000 + "<|endoftext|> y"]
+    texts += ["".join(rng.choice(["a", "don't", " ", "  ", "\n", "é", "1", "!", "<|endoftext|>", "<|", " the"]) for _ in range(12)) for _ in range(500)]
+    expected = {i: tokens.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert all(own.with_added(t).tolist() == expected[i] for i, t in enumerate(texts))
+    for r in packing.pack(spark.createDataFrame(list(enumerate(texts[:7])), "doc_id long, text string"), queries.vocabulary()).collect():
+        ids = [*expected[r.doc_id], 1]
+        assert r.doc_tokens == len(ids) and np.frombuffer(bytes(r.ids), "<u4").tolist() == ids[r.start : r.start + r.length]
+
+
 # 2 decontamination
 
 
