@@ -378,6 +378,24 @@ def test_neighbours_of_odd_vectors(spark):
     assert neighbours.nearest(few.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.0, 1e-3])
+def test_neighbours_count_a_repeated_vec_id_once(spark, spread):
+    """Near vec_ids with 20 equal or different vectors, and a query with two vectors."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8)) for i in range(1, 46)]
+    query = rng.normal(size=8)
+    rows += [(0, query), (0, query + 0.1), (0, query)]
+    rows += [(n, query + 0.01 * (n - 70) + spread * rng.normal(size=8)) for n in (71, 72) for _ in range(20)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(3)
+    score = {}
+    for i, v in rows[:45] + rows[48:]:
+        score[i] = min([score.get(i, np.inf), *(np.sqrt(((v - q) ** 2).sum()) for n, q in rows if n == 0)])
+    got = sorted((r["rank"], r.vec_id, r.score) for r in neighbours.nearest(table).collect())
+    expected = sorted(score, key=lambda i: (score[i], i))[:10]
+    assert [r for r, _, _ in got] == list(range(1, 11)) and [i for _, i, _ in got] == expected
+    assert all(abs(s - score[i]) < 1e-12 for _, i, s in got)
+
+
 # 8 WARC
 
 
