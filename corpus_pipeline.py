@@ -7,8 +7,10 @@
 4. secret scans: rows stay, owner-specific live-looking secrets are masked in their texts;
 5. packing: the texts become sequences of tokens.
 
-Odd input: a null text counts as empty (rows with one are scored, never linked, never leaking); of equal rows with one doc_id
-one stays in stage 2; further columns are carried along; empty tables give empty results.
+Odd input: stages 2 to 4 decide by doc_id and text together, so rows of one doc_id with different texts are judged one by one (linked
+ones are one group, whose shortest text stays) and a null doc_id is judged like any other and comes last in its group; a null text counts
+as empty (rows with one are scored, never linked, never leaking); of rows equal in doc_id and text (nulls being equal) one
+stays in stage 2; further columns are carried along; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -28,28 +30,45 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score_quality(docs, model).where(F.col("_score") >= quality.KEEP).drop("_score")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``, a 64-bit identity of doc_id and text (nulls included), by which stages 2 to 4 decide."""
+    parts = [x for c, none in (("doc_id", F.lit(0)), ("text", F.lit(""))) for x in (F.coalesce(c, none), F.col(c).isNull())]
+    return docs.withColumn("_key", F.xxhash64(*parts))
+
+
+def by_key(docs: DataFrame) -> DataFrame:
+    """What an operator reads of ``keyed`` rows: the key stands for the doc_id."""
+    return docs.select(F.col("_key").alias("doc_id"), "text")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = jaccard.similar_text_classes(docs.select("doc_id", "text"), k=SHINGLE, threshold=NEAR)
-    # Few rows go, so they are the side to match: a row goes if its class has a smaller doc_id or its doc_id came before.
-    goes = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    again = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    kept = docs.join(goes, "doc_id", "left_anti")
-    twice = kept.join(again, "doc_id", "left_semi")
-    first = twice.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text"), "text"))).where("_n = 1").drop("_n")
-    return kept.join(again, "doc_id", "left_anti").unionByName(first)
+    rows = keyed(docs)
+    classes = jaccard.similar_text_classes(by_key(rows), k=SHINGLE, threshold=NEAR).withColumnRenamed("doc_id", "_key")
+    classes = stored(classes.groupBy("_key").agg(F.min("component_id").alias("component_id"), F.max("n_links").alias("links"), F.count(F.lit(1)).alias("n")), "pipeline-classes")
+    linked = classes.where("links > 0").select("_key", "component_id")
+    # A null doc_id comes last; texts of one doc_id by length.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.length("text").alias("length"), "_key")
+    first = rows.select("_key", order.alias("o")).join(linked, "_key").groupBy("component_id").agg(F.min("o").alias("o"))
+    # Few rows go, so they are the side to match: a row goes if its class has a row before it or an equal row came before.
+    goes = linked.join(first.select(F.col("o._key").alias("_key")), "_key", "left_anti").select("_key")
+    again = classes.where("n > 1").select("_key")
+    kept = rows.join(goes, "_key", "left_anti")
+    first = kept.join(again, "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.join(again, "_key", "left_anti").unionByName(first).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaks = decontaminate.find_leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+    rows = keyed(docs)
+    leaks = decontaminate.find_leaks(by_key(rows), table(spark, sf_dir, "benchmark"))
+    return rows.join(leaks.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
-    rows = docs.withColumn("_repository", F.concat_ws("/", "source", "lang"))
-    live = secrets.scan(rows, repository="_repository", owner="source", columns=["doc_id"]).where("n_live > 0")
-    spans = live.groupBy("doc_id").agg(F.max("live_spans").alias("_live"))
-    joined = docs.join(spans, "doc_id", "left")
+    rows = keyed(docs).withColumn("_repository", F.concat_ws("/", "source", "lang"))
+    live = secrets.scan(rows, repository="_repository", owner="source", columns=["_key"]).where("n_live > 0")
+    spans = live.groupBy("_key").agg(F.max("live_spans").alias("_live"))
+    joined = keyed(docs).join(spans, "_key", "left")
     masked = F.when(F.col("_live").isNotNull(), secrets.redacted(F.coalesce("text", F.lit("")), F.col("_live"))).otherwise(F.col("text"))
     out = joined.withColumn("text", masked)
     if "n_chars" in columns:

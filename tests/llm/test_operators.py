@@ -508,6 +508,28 @@ def test_pipeline_drops_near_copies_of_five_word_shingles(spark):
     assert {r.doc_id for r in kept.collect()} == expected < {d for d, _, c, _ in brute_classes(rows, 3, 90) if d == c}
 
 
+def test_pipeline_decides_by_doc_id_and_text(spark):
+    import corpus_pipeline
+
+    def text(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    leak = spark.read.parquet(f"{SMALL_DIR}/benchmark.parquet").first().text
+    secret = "password = Zq8fK2mVx7Lp4Tn9"
+    rows = [
+        (1, text("a")), (2, text("a")), (2, text("b")),  # one text of doc_id 2 is a copy, the other is clean
+        (3, text("c")), (3, text("d")), (3, None),  # three texts of one doc_id
+        (4, text("e")), (4, text("e")), (5, text("f") + " more"), (5, text("f")),
+        (None, text("a") + " end"), (None, text("g")), (None, text("g")), (None, text("h") + " " + leak), (None, text("i") + " " + secret),
+        (6, text("j") + " " + leak), (6, text("k")), (7, text("l") + " " + secret), (7, text("m")),
+    ]
+    now = spark.createDataFrame([(i, t, "en", "src") for i, t in rows], "doc_id long, text string, lang string, source string").repartition(3)
+    for name in ("near_duplicates", "decontamination", "secrets"):
+        now = dict(corpus_pipeline.STAGES)[name](spark, now, SMALL_DIR)
+    expected = [rows[i] for i in (0, 2, 3, 4, 5, 6, 9, 11, 16, 18)] + [(None, text("i") + " [SECRET]"), (7, text("l") + " [SECRET]")]
+    assert sorted(((r.doc_id, r.text) for r in now.collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_registered_queries(spark):
     import __spark_entry__ as entry
     from check_oracle import compare, duck_connection
