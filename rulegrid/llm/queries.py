@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulegrid.llm import chat, decontaminate, jaccard, licenses, lm, neighbours, packing, quality, secrets, warc
+from rulegrid.llm import align, chat, decontaminate, jaccard, licenses, lm, neighbours, packing, quality, repair, secrets, simhash, warc
 from rulegrid.llm.shared import ship
 
 
@@ -87,6 +87,24 @@ def op10_quality_network(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_glr_repair(spark: SparkSession, folder: str) -> DataFrame:
+    plans, repaired = repair.repair(repair.damaged(table(spark, folder, "conversations")), n="copies")
+    whole = chat.null_safe_join(plans, repair.digests(repaired), "conv_id", how="left")
+    return whole.withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)))
+
+
+def op12_fragment_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align(table(spark, folder, "documents"), *files, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_vantage_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.simhash_classes(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nnls_packing": op1_nnls_packing,
     "op2_simhash_decontamination": op2_simhash_decontamination,
@@ -98,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_derivatives": op8_warc_derivatives,
     "op9_deleted_interpolation": op9_deleted_interpolation,
     "op10_quality_network": op10_quality_network,
+    "op11_glr_repair": op11_glr_repair,
+    "op12_fragment_alignment": op12_fragment_alignment,
+    "op13_vantage_simhash": op13_vantage_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_warc_derivatives": warc.duckdb_sql()}

@@ -1,0 +1,390 @@
+"""Conversation repair, tokeniser alignment and SimHash classes against plain versions."""
+
+import collections
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from llm_brute import nothing, odd, space_words  # noqa: F401
+from pyspark.sql import functions as F
+
+from conftest import SMALL_DIR
+from rulegrid.llm import align, queries, repair, simhash
+
+# 11 conversation repair
+
+SOLID = re.compile("[^\x20\x09-\x0d]")
+
+
+def all_repairs(rows):
+    """The smallest (cost, audit) over every sequence of edits, by enumeration; ``rows``: (initial, must go, cut off)."""
+    best = None
+    gap = ["", "u", "a", "ua", "au"]
+    choices = []
+    for initial, gone, cut in rows:
+        own = [("D", "", 2)]
+        if not gone:
+            own += [("K", initial, 5 * cut), ("R", "u", 1 + 5 * cut), ("R", "a", 1 + 5 * cut)]
+        choices.append(own)
+    for edits in itertools.product(*choices):
+        for gaps in itertools.product(gap, repeat=len(rows) + 1):
+            roles = "".join(g + e[1] for g, e in zip(gaps, [*edits, ("", "", 0)]))
+            if re.fullmatch("(s?(ua)+)?", roles):
+                audit = "".join("I" * len(g) + e[0] for g, e in zip(gaps, [*edits, ("", "", 0)]))
+                key = (sum(e[2] for e in edits) + 5 * sum(map(len, gaps)), audit)
+                best = key if best is None or key < best else best
+    return best
+
+
+def by_states(rows):
+    """The same by a table over four states and whole audits, for longer conversations."""
+    follow = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+
+    def inserted(now):
+        for _ in range(3):
+            for q, (cost, audit) in list(now.items()):
+                for t in "ua":
+                    if t in follow[q]:
+                        k, v = follow[q][t], (cost + 5, audit + "I")
+                        now[k] = min(now.get(k, v), v)
+        return now
+
+    now = {0: (0, "")}
+    for initial, gone, cut in rows:
+        new = {}
+        for q, (cost, audit) in inserted(now).items():
+            ways = [(q, (cost + 2, audit + "D"))]
+            for t, k in follow[q].items() if not gone else ():
+                ways += [(k, (cost + 5 * cut, audit + "K"))] if t == initial else []
+                ways += [(k, (cost + 1 + 5 * cut, audit + "R"))] if t in "ua" else []
+            for k, v in ways:
+                new[k] = min(new.get(k, v), v)
+        now = new
+    now = inserted(now)
+    return min(now[q] for q in (0, 3) if q in now)
+
+
+def parse(rows):
+    own = repair.Parse()
+    for initial, gone, cut in rows:
+        own.must_delete() if gone else own.take(initial, cut)
+    return own.result()
+
+
+def test_parser_finds_the_cheapest_repair_by_enumeration():
+    rng = random.Random(2)
+    for n in (0, 1, 2, 3, 3, 3, 4):
+        for _ in range(12):
+            rows = [(rng.choice("suax"), rng.random() < 0.15, rng.random() < 0.3) for _ in range(n)]
+            assert parse(rows) == all_repairs(rows) == by_states(rows), rows
+
+
+def test_parser_on_longer_conversations_and_its_bounded_stack(monkeypatch):
+    monkeypatch.setattr(repair, "BLOCK", 7)
+    rng = random.Random(4)
+    for _ in range(3000):
+        rows = [(rng.choice(["s", "u", "a", "", "x"]), rng.random() < 0.15, rng.random() < 0.2) for _ in range(rng.randrange(5, 30))]
+        assert parse(rows) == by_states(rows), rows
+    own = repair.Parse()
+    for i in range(5000):
+        own.take("suat"[rng.randrange(4)], rng.random() < 0.1)
+        assert len(own.live) <= 6
+
+
+def plain_op11(rows):
+    """``{conv_id: result}`` of (conv_id, turn, role, text) rows, by the definition."""
+    convs = collections.defaultdict(list)
+    text_of = lambda x: " " if x is None else str(x)
+    for conv, turn, role, text in rows:
+        role, text = text_of(role), text_of(text)
+        kind = zlib.crc32(f"{text_of(conv)}:{text_of(turn)}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        convs[conv] += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    out = {}
+    for conv, own in convs.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        seen, kinds = set(), []
+        for _, role, text in own:
+            solid = SOLID.findall(text)
+            kinds.append("blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else "")
+            seen.add((role, text))
+        turns = [t for t, _, _ in own if t is not None]
+        initials = [role[:1] for _, role, _ in own]
+        cost, audit = by_states([(i, k in ("blank", "duplicate"), k == "truncated") for i, k in zip(initials, kinds)])
+        lines, at, left = [], 0, iter(own)
+        expected = None
+        for edit in audit:
+            if edit == "D":
+                next(left)
+                continue
+            role, text = next(left)[1:] if edit != "I" else ("", "")
+            if edit != "K":
+                role = "assistant" if expected == "a" else "user"
+            expected = "a" if role[0] == "u" else "u"
+            lines.append(f"{role}:{text}")
+        out[conv] = (
+            max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, kinds.count("blank"), kinds.count("duplicate"), kinds.count("truncated"),
+            sum(i + j not in ("su", "ua", "au") for i, j in zip(initials, initials[1:])), cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+    return out
+
+
+def op11(spark, monkeypatch, frame):
+    monkeypatch.setattr(queries, "table", lambda *_: frame)
+    rows = queries.op11_glr_repair(spark, "").collect()
+    assert len(rows) == len({r.conv_id for r in rows})
+    return {r.conv_id: tuple(r)[1:] for r in rows}
+
+
+def test_op11_equals_the_plain_version(spark, monkeypatch):
+    frame = spark.read.parquet(f"{SMALL_DIR}/conversations.parquet")
+    expected = plain_op11([tuple(r) for r in frame.select("conv_id", "turn", "role", "text").collect()])
+    assert op11(spark, monkeypatch, frame) == expected and len({v[6] for v in expected.values()}) > 5
+
+
+def test_op11_odd_conversations(spark, monkeypatch):
+    rng = random.Random(8)
+    said = [None, "", " \t", "Yes.", "Yes.", "no", "why?\n", "a" * 50_000 + ".", "x.y", "ﬁ!"]
+    rows = [(rng.choice([None, *range(30)]), rng.choice([None, *range(12)]), rng.choice([None, "", "system", "user", "assistant", "assistant", "user", "tool"]), rng.choice(said)) for _ in range(600)]
+    rows += [(99, i, "ua"[i % 2] + "x", "Same.") for i in range(400)]  # one text of a hot conversation
+    rows += [(100, None, "user", "Hi.")] * 5
+    frame = spark.createDataFrame([(*r, 1, "z", "c") for r in rows], "conv_id long, turn long, role string, text string, copies int, said string, audit string").repartition(5)
+    assert op11(spark, monkeypatch, frame) == plain_op11(rows)
+    assert op11(spark, monkeypatch, frame.where("false")) == {}
+    named = frame.withColumn("conv_id", F.concat(F.lit("c"), F.col("conv_id").cast("string")))
+    assert set(op11(spark, monkeypatch, named)) == {None if r[0] is None else f"c{r[0]}" for r in rows}
+
+
+def test_repaired_turns_follow_the_grammar(spark):
+    frame = spark.read.parquet(f"{SMALL_DIR}/conversations.parquet")
+    plans, turns = repair.repair(frame.withColumn("role", F.when(F.col("turn") % 3 == 1, "user").otherwise(F.col("role"))))
+    roles = collections.defaultdict(str)
+    for r in sorted(turns.collect(), key=lambda r: (r.conv_id, r.place)):
+        roles[r.conv_id] += r.role[0]
+    assert all(re.fullmatch("s?(ua)+", x) for x in roles.values())
+    assert {r.conv_id for r in plans.collect() if set(r.audit) - {"D"}} == set(roles)
+
+
+# 12 alignment
+
+
+@pytest.fixture(scope="module")
+def files():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def plain_alignment(texts, files):
+    """Per text (n_a, n_b, n_groups, n_links, n_best, count_sum, groups), with whole-text tokenisation and an interval sweep."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a_tok = Tokenizer.from_file(files[0])
+    a_tok.encode_special_tokens = True
+    b_tok = sentencepiece.SentencePieceProcessor(model_file=files[1])
+    alphabet = align._byte_alphabet()
+    found = []
+    for text in texts:
+        if not text:
+            found.append(([], [], [], []))
+            continue
+        a_ids, b_ids = a_tok.encode(" " + text, add_special_tokens=False).ids, b_tok.encode(text)
+        a_parts = [bytes(alphabet[c] for c in a_tok.id_to_token(i)) for i in a_ids]
+        pieces = [b_tok.id_to_piece(i) for i in b_ids]
+        b_parts = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode() for p in pieces]
+        whole = (" " + text).encode()
+        if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
+            found.append(([], [], [], []))
+            continue
+        a_ends, b_ends = (list(itertools.accumulate(map(len, p))) for p in (a_parts, b_parts))
+        links, groups, i, j, a_now, b_now = [], [], 0, 0, [], []
+        while i < len(a_ids):
+            if not a_now or a_now[-1][0] != i:
+                a_now.append((i, a_ids[i]))
+            if not b_now or b_now[-1][0] != j:
+                b_now.append((j, b_ids[j]))
+            links.append((a_ids[i], b_ids[j]))
+            a_end, b_end = a_ends[i], b_ends[j]
+            if a_end == b_end:
+                groups.append(",".join(str(x) for _, x in a_now) + "|" + ",".join(str(x) for _, x in b_now))
+                a_now, b_now = [], []
+            i, j = i + (a_end <= b_end), j + (b_end <= a_end)
+        found.append((a_ids, b_ids, groups, links))
+    counts = collections.Counter(p for _, _, _, links in found for p in set(links))
+    highest = collections.defaultdict(int)
+    for (a, _), n in counts.items():
+        highest[a] = max(highest[a], n)
+    return [
+        (len(a), len(b), len(g), len(k), sum(counts[p] == highest[p[0]] for p in k), sum(counts[p] for p in k), ";".join(g))
+        for a, b, g, k in found
+    ]
+
+
+ODD_TEXTS = [
+    None, "", " ", "  ", "a", " a", "a ", "a  b", "hello world", "Hello,  world!\n\n x\ty ", "<|endoftext|> </s> <s> <unk> <0x0A>", "▁ a", "a ▁b", "ﬁ é   x",
+    "中文 文本。没有空格的很长的一段话", "naïve café", "\x00 b", "🙂🙂 👩‍👩‍👧 ok", "the " * 300, "Привет мир " * 20, "ab" * 3000,
+]
+
+
+def random_texts(n, seed):
+    rng = random.Random(seed)
+    parts = ["a", "don't", " ", "  ", "\n", "é", "12", "!", " the", "я", "中", " ﬁ", " ", "\t", "_", " internationalisation", "<|endoftext|>", " x", "🙂"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 60))) for _ in range(n)]
+
+
+def test_fragments_join_in_any_order_and_give_the_whole(files):
+    pair = align.Pair(*files)
+    rng = random.Random(6)
+    texts = [t for t in [*ODD_TEXTS, *random_texts(60, 3)] if t]
+    for text, (n_a, n_b, n_groups, n_links, _, _, groups) in zip(texts, plain_alignment(texts, files)):
+        for size in (1, 3, 10, 40):
+            parts = [pair.part(*r) for r in align.ranges_of(text, size)]
+            assert sum(map(len, [text])) and "".join(r[0][: 10**9] for r in align.ranges_of(text, 10**9)) == text
+            while len(parts) > 1:
+                i = rng.randrange(len(parts) - 1)
+                parts[i : i + 2] = [parts[i].joined(parts[i + 1])]
+            whole = align.Fragment.start().joined(parts[0])
+            if not whole.ok:
+                assert n_a == 0
+                continue
+            assert (whole.n_a, whole.n_b, whole.n_groups, whole.counts.sum(), ";".join(whole.groups)) == (n_a, n_b, n_groups, n_links, groups), (text, size)
+            assert not len(whole.suffix.a) and not len(whole.suffix.b)
+
+
+def test_open_ends_of_arbitrary_pieces_close_when_joined():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        a, b = (np.append(np.flatnonzero(rng.random(60) < 0.4) + 1, 61) for _ in range(2))
+        every = align.Tokens(a % 7, a, b % 5, b)
+        whole = align.Fragment.start().joined(align.Fragment.of(every))
+        low, parts = 0, []
+        for high in [*np.sort(rng.choice(60, 4, replace=False)).tolist(), 61]:
+            parts.append(align.Fragment.of(every.until(low, high)))
+            low = high
+        left = parts[0]
+        for p in parts[1:]:
+            left = left.joined(p)
+        right = parts[-1]
+        for p in reversed(parts[:-1]):
+            right = p.joined(right)
+        for own in (left, right):
+            own = align.Fragment.start().joined(own)
+            assert ";".join(own.groups) == ";".join(whole.groups) and own.n_groups == whole.n_groups == len(np.intersect1d(a, b))
+            assert own.pairs.tolist() == whole.pairs.tolist() and own.counts.tolist() == whole.counts.tolist()
+
+
+def by_id(rows):
+    return sorted(((r[0] is None, r[0], *r[1:]) for r in rows), key=str)
+
+
+@pytest.mark.parametrize("size", [20, 1 << 16])
+def test_alignment_equals_the_plain_version(spark, files, size, monkeypatch):
+    texts = [*ODD_TEXTS, *random_texts(150, 9), "hello world", "hello world"]
+    ids = [None if i == 3 else i // 2 for i in range(len(texts))]
+    frame = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in zip(ids, texts)], "doc_id long, text string, n_a int, a int, groups string").repartition(4)
+    got = by_id(align.align(frame, *files, size=size).collect())
+    assert got == by_id([(i, *p) for i, p in zip(ids, plain_alignment(texts, files))])
+    assert align.align(frame.where("false"), *files).collect() == []
+
+
+def test_op12_on_the_small_table(spark, files):
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").select("doc_id", "text").collect()
+    plain = plain_alignment([r.text for r in docs], files)
+    expected = {r.doc_id: (*p[:6], hashlib.sha256(p[6].encode()).hexdigest() if p[6] else "") for r, p in zip(docs, plain)}
+    rows = queries.op12_fragment_alignment(spark, SMALL_DIR).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected and len(rows) == len(docs)
+
+
+# 13 SimHash classes
+
+
+def plain_simhash(texts):
+    import xxhash
+
+    out = []
+    for text in texts:
+        words = space_words(text)
+        own = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in own]
+        out.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    return out
+
+
+def plain_components(ids, prints):
+    parent = list(range(len(ids)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(ids)), 2):
+        if bin(prints[i] ^ prints[j]).count("1") <= 2:
+            parent[find(j)] = find(i)
+    smallest = {}
+    for i, doc in enumerate(ids):
+        if doc is not None:
+            smallest[find(i)] = min(smallest.get(find(i), doc), doc)
+    return [smallest.get(find(i)) for i in range(len(ids))]
+
+
+def test_fingerprints_of_odd_texts_and_blocks(odd, monkeypatch):
+    texts = [r.text for r in odd.select("text").collect() if len(r.text or "") < 10_000]
+    texts += [" ".join(f"w{i}" for i in range(500)), "Ünï  CODE\x85x ﬁ"]
+    monkeypatch.setattr(simhash, "BLOCK", 64)
+    assert list(map(simhash.fingerprint, texts)) == plain_simhash(texts)
+
+
+@pytest.mark.parametrize("leaf", [2, 40])
+def test_vantage_trees_find_every_link(leaf):
+    rng = np.random.default_rng(3)
+    points = rng.integers(0, 2**64, 600, dtype=np.uint64)
+    near = points[rng.integers(0, 600, 600)]
+    for _ in range(2):
+        near = near ^ (np.uint64(1) << rng.integers(0, 64, 600).astype(np.uint64))
+    points = np.unique(np.concatenate([points, near, np.arange(40, dtype=np.uint64)]))
+    far = np.bitwise_count(points[:, None] ^ points[None, :])
+    expected = {(i, j) for i, j in zip(*np.nonzero(far <= 2))}
+    tree = simhash.VantageTree(points, leaf)
+    place = {int(p): i for i, p in enumerate(points)}
+    assert {(i, place[int(tree.points[j])]) for a, b in tree.within(points) for i, j in zip(a, b)} == expected
+    shards = collections.defaultdict(lambda: [set(), set()])
+    for shard, visit, rows in simhash.VantageTree(points[::7], leaf).homes_and_visits(points):
+        shards[shard][visit].update(rows.tolist())
+    assert sorted(x for homes, _ in shards.values() for x in homes) == list(range(len(points)))
+    met = {frozenset(p) for homes, visits in shards.values() for p in itertools.product(homes, homes | visits)}
+    assert all(frozenset(p) in met for p in expected)
+
+
+@pytest.mark.parametrize("shard", [4, simhash.SHARD])
+def test_simhash_classes_equal_the_plain_version(spark, shard):
+    rng = random.Random(12)
+    base = [" ".join(rng.choice("abcdefghijklmnop") * 3 for _ in range(120)) for _ in range(25)]
+    texts = [None, "", " ", "one", "one two", "ONE two", *base]
+    for text in base:
+        for _ in range(4):
+            words = text.split()
+            words[rng.randrange(len(words))] = "changed"
+            texts.append(" ".join(words))
+    texts += [base[0]] * 20
+    ids = [None if i in (2, 9) else 1000 - i for i in range(len(texts))]
+    frame = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in zip(ids, texts)], "doc_id long, text string, print int, first int, component_id int").repartition(3)
+    prints = plain_simhash(texts)
+    expected = by_id(zip(ids, prints, plain_components(ids, prints)))
+    got = by_id((r[0], r[1] % 2**64, r[2]) for r in simhash.simhash_classes(frame, shard=shard).collect())
+    assert got == expected and len({x[3] for x in expected}) > 10
+    assert simhash.simhash_classes(frame.where("false")).collect() == []
+
+
+def test_op13_on_the_small_table(spark):
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").select("doc_id", "text").collect()
+    prints = plain_simhash([r.text for r in docs])
+    expected = {r.doc_id: (f"{p:016x}", c) for r, p, c in zip(docs, prints, plain_components([r.doc_id for r in docs], prints))}
+    rows = queries.op13_vantage_simhash(spark, SMALL_DIR).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected and len(rows) == len(docs)
