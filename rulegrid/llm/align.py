@@ -22,6 +22,7 @@ such as U+2581), has zeros; equal rows count each; any ``doc_id``, null too, may
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pickle
 import re
 from collections.abc import Callable, Iterator
@@ -37,9 +38,9 @@ from rulegrid.llm.shared import stored
 
 RANGE = 1 << 16
 FAN = 8
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 2 << 20
 BATCH_TEXTS = 1 << 16
-REMEMBERED = 400_000  # words
+REMEMBERED = 250_000  # words
 PAIR = 1 << 16  # an id pair is a * PAIR + b
 
 # Neither white space of any definition nor the pieces' own mark of a space.
@@ -77,9 +78,10 @@ class Tokens:
         ends = np.union1d(self.a_ends, self.b_ends)
         return self.a[np.searchsorted(self.a_ends, ends)] * PAIR + self.b[np.searchsorted(self.b_ends, ends)], ends
 
-    def groups(self, cuts: np.ndarray) -> list[str]:
-        """Each group that ends at one of ``cuts``, as ``a1,a2|b1``."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
+    def groups(self, cuts: np.ndarray, names: list[str] | None = None) -> list[str]:
+        """Each group that ends at one of ``cuts``, as ``a1,a2|b1``; ``names`` may hold the ids as text."""
+        name = names.__getitem__ if names else str
+        a, b = list(map(name, self.a.tolist())), list(map(name, self.b.tolist()))
         i, k = np.searchsorted(self.a_ends, cuts, side="right").tolist(), np.searchsorted(self.b_ends, cuts, side="right").tolist()
         return [f"{','.join(a[i0:i1])}|{','.join(b[k0:k1])}" for i0, i1, k0, k1 in zip([0, *i], i, [0, *k], k)]
 
@@ -150,6 +152,10 @@ class Fragment:
         return out
 
 
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(ids), np.int64)
+
+
 def _byte_alphabet() -> dict[str, int]:
     """The printable characters that stand for bytes in a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -161,21 +167,29 @@ class Pair:
     """The two tokenisers, their tokens' bytes, and the words a worker remembers."""
 
     def __init__(self, a_file: str, b_file: str):
+        import public_tokenizers
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_file)
-        self.a.encode_special_tokens = True  # their strings are plain text
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
+        # The ids of a byte-level vocabulary are the ranks of its merges, and its special tokens' strings are plain text here, so
+        # a plain rank encoder gives the same ids at a third of the time for single words.
+        vocabulary = Tokenizer.from_file(a_file)
+        special = set(vocabulary.get_added_tokens_decoder())
         alphabet = _byte_alphabet()
-        by_id = {i: t for t, i in self.a.get_vocab().items()}
-        self.a_bytes = [bytes(alphabet[c] for c in by_id[i]) if i in by_id and set(by_id[i]) <= alphabet.keys() else b"" for i in range(max(by_id) + 1)]
+        ranks = {bytes(alphabet[c] for c in t): i for t, i in vocabulary.get_vocab().items() if i not in special}
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
+        self.a = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("a piece of the second tokeniser crosses a space: texts cannot be cut there")
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.names = list(map(str, range(max(len(self.a_bytes), len(self.b_bytes)))))
         self.forget()
 
     def forget(self) -> None:
@@ -184,33 +198,41 @@ class Pair:
         self.numbers = np.zeros((0, 5), np.int64)  # per word: fits, tokens of A and B, groups, links
         self.first_pair, self.pairs = np.zeros(1, np.int64), _NONE  # links of word i: pairs[first_pair[i]:first_pair[i + 1]]
 
-    def _encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Ids of A over space and text, ids of B over the text, and whether both give the bytes of space and text."""
-        a = [x.ids for x in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        fits = np.zeros(len(texts), bool)
-        for i, text in enumerate(texts):
-            data = b" " + text.encode()
-            fits[i] = b"".join([self.a_bytes[x] for x in a[i]]) == data and b"".join([self.b_bytes[x] for x in b[i]]) == data
-        return a, b, fits
+    def _fits(self, words: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Whether both tokenisers' bytes are those of space and word; all words at once, one by one only if any differs."""
+        data = [b" " + w.encode() for w in words]
+        sizes, whole = np.fromiter(map(len, data), np.int64, len(data)), b"".join(data)
+        same = True
+        for ids, of, of_sizes in ((a, self.a_bytes, self.a_sizes), (b, self.b_bytes, self.b_sizes)):
+            ends = np.cumsum(of_sizes[_flat(ids)])
+            last = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            totals = np.where(last > 0, ends[np.maximum(last, 1) - 1] if len(ends) else 0, 0)
+            same = same and np.array_equal(totals, np.cumsum(sizes)) and b"".join(map(of.__getitem__, itertools.chain.from_iterable(ids))) == whole
+        if same:
+            return np.ones(len(words), bool)
+        joined = [all(b"".join(map(of.__getitem__, x)) == d for of, x in ((self.a_bytes, i), (self.b_bytes, j))) for i, j, d in zip(a, b, data)]
+        return np.array(joined, bool)
 
     def learn(self, words: list[str]) -> None:
-        a, b, fits = self._encode(words)
-        a = [x if f else () for x, f in zip(a, fits)]
-        b = [x if f else () for x, f in zip(b, fits)]
-        sizes = np.where(fits, [1 + len(w.encode()) for w in words], 0)
-        ends = np.cumsum(sizes)
-        flat_a, flat_b = (np.fromiter((i for x in ids for i in x), np.int64) for ids in (a, b))
+        a = [self.a.encode_ordinary(" " + w) for w in words]
+        b = self.b.encode(words, num_threads=1)
+        fits = self._fits(words, a, b)
+        if not fits.all():
+            a = [x if f else [] for x, f in zip(a, fits)]
+            b = [x if f else [] for x, f in zip(b, fits)]
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a, b))
+        flat_a, flat_b = _flat(a), _flat(b)
         tokens = Tokens(flat_a, np.cumsum(self.a_sizes[flat_a]), flat_b, np.cumsum(self.b_sizes[flat_b]))
+        ends = np.concatenate([[0], tokens.a_ends])[np.cumsum(n_a)]
         cuts = tokens.cuts()
         pairs, link_ends = tokens.links()
         n_groups = np.diff(np.searchsorted(cuts, ends, side="right"), prepend=0)
         n_links = np.diff(np.searchsorted(link_ends, ends, side="right"), prepend=0)
-        numbers = np.stack([fits, [len(x) for x in a], [len(x) for x in b], n_groups, n_links], axis=1).astype(np.int64)
-        groups, at = tokens.groups(cuts), 0
-        for word, n in zip(words, n_groups.tolist()):
-            self.codes[word] = len(self.groups)
-            self.groups.append(";".join(groups[at : at + n]))
+        numbers = np.stack([fits, n_a, n_b, n_groups, n_links], axis=1).astype(np.int64)
+        groups, at = tokens.groups(cuts, self.names), 0
+        self.codes.update(zip(words, range(len(self.groups), len(self.groups) + len(words))))
+        for n in n_groups.tolist():
+            self.groups.append(groups[at] if n == 1 else ";".join(groups[at : at + n]))
             at += n
         self.numbers = np.concatenate([self.numbers, numbers])
         self.first_pair = np.concatenate([self.first_pair, self.first_pair[-1] + np.cumsum(n_links)])
@@ -222,7 +244,7 @@ class Pair:
         shift = 0 if start else 1
         a_text = whole[a_from + (shift if a_from else 0) : a_to + shift]
         b_text = whole[b_from + (shift if b_from else 0) : b_to + shift]
-        a = np.array(self.a.encode(a_text, add_special_tokens=False).ids, np.int64)
+        a = np.array(self.a.encode_ordinary(a_text), np.int64)
         b = np.array(self.b.encode(b_text[1:]) if b_text else [], np.int64)  # B adds the space it starts with
         ok = b"".join([self.a_bytes[i] for i in a]) == a_text.encode() and b"".join([self.b_bytes[i] for i in b]) == b_text.encode()
         a_start = start + len(whole[: a_from + (shift if a_from else 0)].encode())
