@@ -122,7 +122,51 @@ SELECT event_id, try_cast(text1 AS INTEGER) AS p_cast, CAST(try_cast(trim(string
 FROM ({_CTX}) AS ctx
 """
 
+def _element(k: str) -> str:
+    parts = "string_split(text1, ':')"
+    return f"(CASE WHEN {k} <> 0 AND abs({k}) <= len({parts}) THEN {parts}[{k}] END)"
+
+
+def _steps(start: str, stop: str, step: str) -> str:
+    """Numbers in a sequence; null where it is illegal."""
+    return (
+        f"CAST(CASE WHEN {step} = 0 AND {start} = {stop} THEN 1 WHEN {step} > 0 AND {start} <= {stop} "
+        f"OR {step} < 0 AND {start} >= {stop} THEN ({stop} - {start}) // {step} + 1 END AS INTEGER)"
+    )
+
+
+# Rules that raise: null on the records on which Spark's functions raise, their value on all others.
+_RAISING = f"""
+SELECT event_id, {_element('(a - 1)')} AS v_index, CASE WHEN a <> 1 THEN split_part(text1, '2', a - 1) END AS v_part,
+  {_steps('2', '8', '(a - 1)')} AS v_size, CAST(NULL AS DECIMAL(3, 0)) AS v_number, CASE WHEN a <> 1 THEN a END AS v_branch,
+  {_element('c')} AS v_zero, {_element('c')} || '.step' AS v_zero_too, {_steps('1', 'a', 'c')} AS v_step,
+  CASE WHEN c NOT IN (0, 1) THEN string_split(text1, ':')[1] END AS v_pattern, {_split_at(_element('c'), 'e', 0)} AS v_nested
+FROM ({_CTX}) AS ctx
+"""
+
+
+def _reasons() -> str:
+    no_element = f"({_split_at('text1', ':', 1)}) IS NULL"
+    short = "length(CAST(event_id * 37 AS VARCHAR)) < 4"
+    cases = [
+        ("r1", no_element, "NO_SUCH_ELEMENT"),
+        ("r4", short, "SUBSTRING_OUT_OF_RANGE"),
+        ("r5", "text5 LIKE 'a: %'", "NUMBER_FORMAT"),
+        ("r6", "event_id * 400000 > 2147483647", "NUMBER_FORMAT"),
+        ("x_cast", "try_cast(text1 AS INTEGER) IS NULL", "CAST_INVALID_INPUT"),
+        ("x_zero", "b = 0", "DIVIDE_BY_ZERO"),
+        ("x_index", "c = 0", "INVALID_INDEX_OF_ZERO"),
+        ("x_branch", "a = 1", "USER_RAISED_EXCEPTION"),
+        ("x_inner", f"b = 0 AND NOT {no_element}", "DIVIDE_BY_ZERO"),
+        ("x_inner", f"b = 0 AND {no_element}", "NO_SUCH_ELEMENT"),
+        ("x_bad", "true", "DOES_NOT_COMPILE"),
+    ]
+    return " UNION ALL ".join(f"SELECT event_id, '{r}' AS rule_id, '{why}' AS reason FROM ({_CTX}) AS ctx WHERE {when}" for r, when, why in cases)
+
+
 ORACLE_SQL = {
+    "rules_raising": _RAISING,
+    "rules_reasons": _reasons(),
     "join_two_keys": f"""
 SELECT a.sch_org_id, a.org_id, a.inv_item_id, b.shuju, count(*) AS n_pairs
 FROM ({_A}) AS a, ({_B}) AS b

@@ -17,6 +17,7 @@ from rulegrid.operators.rules import (
     project_rules,
     rules_failures,
     rules_long,
+    rules_reasons,
     rules_wide,
 )
 
@@ -37,5 +38,6 @@ __all__ = [
     "join_two_keys",
     "rules_failures",
     "rules_long",
+    "rules_reasons",
     "rules_wide",
 ]

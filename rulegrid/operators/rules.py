@@ -10,13 +10,12 @@ Failure is null, at two levels:
 * a rule that does not compile (syntax, unknown column, wrong types, a bad
   constant pattern, aggregates, generators or window functions, which are not
   row-wise) is reported by :func:`check_rules` and evaluates to a typed null column;
-* a rule that fails on one record gives null there: rules are analysed with
-  ``spark.sql.ansi.enabled=false`` (restored at once), so casts, division by zero
-  and indexes past the end give null, and integer ``+ - *`` wrap as in the JVM.
-  Only ``raise_error`` and patterns computed per record can still stop a job.
+* a rule that fails on one record gives null there, whatever raised: each rule that may raise is evaluated inside the
+  null-on-error expression of Spark's ``try_*`` functions (:mod:`rulegrid.operators.attempts`).  Rules are analysed without ANSI
+  mode, in a session of their own, so casts and division by zero give null and integer ``+ - *`` wrap as in the JVM.
 
-A null result is all that is kept of a failure: a rule that yields null on
-purpose (``CASE`` without ``ELSE``) counts as failed too.
+:func:`rules_reasons` tells failures from nulls that a rule means to give, with a reason for each.  :func:`rules_failures`
+only counts nulls.  A Python UDF inside a rule runs outside of the JVM's expressions, so its errors are not caught.
 """
 
 from __future__ import annotations
@@ -24,16 +23,16 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType
+from pyspark.sql.types import DataType, StringType
 
 from rulegrid.functions import register_functions
+from rulegrid.operators.attempts import NOT_COMPILED, Reasons, back, bad_pattern, forgiving, lenient, parse, strict
 
 log = logging.getLogger(__name__)
 
@@ -50,57 +49,33 @@ class RuleProjection:
     frame: DataFrame  # keys (if any) + one typed column per rule, in rule order
     types: dict[str, DataType]
     problems: tuple[RuleProblem, ...]
+    own: tuple[str, ...] = ()  # the rules' columns while they are not named by rule id
 
     @property
     def rule_ids(self) -> list[str]:
         return list(self.types)
 
 
-@contextmanager
-def _lenient(spark):
-    """Analyse expressions so that failures on a record give null."""
-    key = "spark.sql.ansi.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str]) -> DataFrame:
+def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str], also: Sequence[str] = ()) -> DataFrame:
     """``keys`` + one struct per rule, holding the rule's value in field ``v``.
 
     A rule inside a struct next to a real column cannot be an aggregate or a
     generator (Spark rejects both there); window functions are looked for in the
     analysed plan, so only row-wise expressions pass.
     The struct costs nothing at run time: Catalyst folds ``struct(x).v`` to ``x``.
+    ``also``: columns passed through under names of their own.
     """
     anchor = [F.col(_quoted(k)) for k in keys] or [F.col(_quoted(df.columns[0]))]
-    with _lenient(df.sparkSession):
-        wrapped = [
-            F.struct((F.expr(t) if isinstance(t, str) else t).alias("v")).alias(f"_rule{i}")
-            for i, t in enumerate(texts)
-        ]
-        out = df.select(*anchor, *wrapped)
-        if re.search(r"^[\s:+|-]*Window \[", out._jdf.queryExecution().analyzed().toString(), re.M):
-            raise AnalysisException("window functions are not row-wise rules")
-        if not df.isStreaming:
-            _project_probe(df, texts)
+    wrapped = [F.struct((forgiving(df, t) if isinstance(t, str) else t).alias("v")).alias(f"{_prefix(df)}rule{i}") for i, t in enumerate(texts)]
+    out = df.select(*anchor, *(F.col(_quoted(c)).alias(f"{_prefix(df)}var{i}") for i, c in enumerate(also)), *wrapped)
+    if re.search(r"^[\s:+|-]*Window \[", out._jdf.queryExecution().analyzed().toString(), re.M):
+        raise AnalysisException("window functions are not row-wise rules")
     return out
 
 
-def _project_probe(df: DataFrame, texts: list[Column | str]) -> None:
-    """Evaluate the rules on one made-up record (empty strings, ones): bad constant patterns show here, not in the job."""
-    samples = {"string": "''", "boolean": "true", "date": "date'2000-01-01'", "timestamp": "timestamp'2000-01-01'", "binary": "X''"}
-    row = []
-    for field in df.schema:
-        kind = field.dataType.simpleString()
-        numeric = isinstance(field.dataType, NumericType)
-        value = samples.get(kind, f"cast(1 as {kind})" if numeric else f"cast(null as {kind})")
-        row.append(f"{value} as {_quoted(field.name)}")
-    one = df.sparkSession.sql(f"select {', '.join(row)}")
-    one.select(*[F.expr(t).alias(f"_rule{i}") for i, t in enumerate(texts) if isinstance(t, str)]).collect()
+def _prefix(df: DataFrame) -> str:
+    """What no column of ``df`` starts with: the start of helper columns' names."""
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in df.columns), default=0))
 
 
 def _quoted(name: str) -> str:
@@ -108,29 +83,42 @@ def _quoted(name: str) -> str:
 
 
 def _compiled(
-    df: DataFrame, rules: Mapping[str, str], keys: Sequence[str], fallback_types: Mapping[str, DataType] | None
+    df: DataFrame, rules: Mapping[str, str], keys: Sequence[str], fallback_types: Mapping[str, DataType] | None, also: Sequence[str] = ()
 ) -> RuleProjection:
-    """``keys`` + one column ``_r<i>`` per rule in rule order: names that no key or rule id can equal or break."""
-    register_functions(df.sparkSession)
+    """``keys`` + one column per rule in rule order, by names that no key or rule id can equal or break."""
+    spark = df.sparkSession
+    register_functions(spark)
+    own = lenient(df)
     fallback_types = dict(fallback_types or {})
     problems: list[RuleProblem] = []
+    texts: list[Column | str] = []
+
+    def compiled(rule_id: str, text: str, alone: bool) -> Column | str:
+        try:
+            message = bad_pattern(spark, parse(spark, text))
+            if not message and alone:
+                _project(own, keys, [text])
+        except PySparkException as exc:  # parse or analysis error
+            message = str(exc).strip().splitlines()[0]
+        if not message:
+            return text
+        problems.append(RuleProblem(rule_id, text, message))
+        log.info("rule %s does not compile: %s", rule_id, message)
+        return F.lit(None).cast(fallback_types.get(rule_id, StringType()))
+
     try:
-        wrapped = _project(df, keys, list(rules.values()))
+        texts = [compiled(r, t, False) for r, t in rules.items()]
+        wrapped = _project(own, keys, texts, also)
     except PySparkException:
-        texts: list[Column | str] = []
-        for rule_id, text in rules.items():
-            try:
-                _project(df, keys, [text])
-                texts.append(text)
-            except PySparkException as exc:  # parse or analysis error
-                problems.append(RuleProblem(rule_id, text, str(exc).strip().splitlines()[0]))
-                log.info("rule %s does not compile: %s", rule_id, problems[-1].message)
-                texts.append(F.lit(None).cast(fallback_types.get(rule_id, StringType())))
-        wrapped = _project(df, keys, texts)
-    own = [F.col(f"_rule{i}.v").alias(f"_r{i}") for i in range(len(rules))]
-    frame = wrapped.select(*[F.col(_quoted(k)) for k in keys], *own)
-    types = {r: frame.schema[f"_r{i}"].dataType for i, r in enumerate(rules)}
-    return RuleProjection(frame, types, tuple(problems))
+        problems.clear()
+        texts = [compiled(r, t, True) for r, t in rules.items()]
+        wrapped = _project(own, keys, texts, also)
+    wrapped = back(wrapped, df)
+    names = tuple(f"{_prefix(df)}r{i}" for i in range(len(rules)))
+    values = [F.col(f"{_prefix(df)}rule{i}.v").alias(n) for i, n in enumerate(names)]
+    frame = wrapped.select(*[F.col(_quoted(k)) for k in keys], *[f"{_prefix(df)}var{i}" for i in range(len(also))], *values)
+    types = {r: frame.schema[n].dataType for n, r in zip(names, rules)}
+    return RuleProjection(frame, types, tuple(problems), names)
 
 
 def project_rules(
@@ -171,9 +159,13 @@ def rules_wide(
     return project_rules(df, rules, keys, fallback_types).frame
 
 
-def _rule_name(rules: Mapping[str, str], column: str) -> Column:
-    """The id of the rule whose internal column is named in ``column``."""
-    return F.get(F.array(*[F.lit(r) for r in rules]), F.substring(column, 3, 10).cast("int"))
+def _unpivoted(frame: DataFrame, rules: Mapping[str, str], keys: list[str], own: Sequence[str], result: str) -> DataFrame:
+    """``(keys..., rule_id, result)``: the columns ``own`` of the rules as rows."""
+    names = F.create_map(*[F.lit(x) for pair in zip(own, rules) for x in pair])
+    label = f"{_prefix(frame)}rule"
+    kept = [F.col(_quoted(k)) for k in keys]
+    long = frame.unpivot([_quoted(k) for k in keys], list(own), label, result)
+    return long.select(*kept, names[F.col(label)].alias("rule_id"), F.col(_quoted(result)))
 
 
 def rules_long(
@@ -195,10 +187,8 @@ def rules_long(
     if not rules:
         empty = [F.lit(None).cast("string").alias("rule_id"), F.lit(None).cast("string").alias(result_col)]
         return found.frame.select(*kept, *empty).where(F.lit(False))
-    own = [f"_r{i}" for i in range(len(rules))]
-    as_text = [F.col(r).cast("string").alias(r) for r in own]
-    long = found.frame.select(*kept, *as_text).unpivot([_quoted(k) for k in keys], own, "_rule", result_col)
-    return long.select(*kept, _rule_name(rules, "_rule").alias("rule_id"), F.col(_quoted(result_col)))
+    as_text = [F.col(r).cast("string").alias(r) for r in found.own]
+    return _unpivoted(found.frame.select(*kept, *as_text), rules, list(keys), found.own, result_col)
 
 
 def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -212,9 +202,44 @@ def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     if not rules:
         schema = "n bigint, rule_id string, n_failed bigint"
         return df.sparkSession.createDataFrame([], schema)
-    own = [f"_r{i}" for i in range(len(rules))]
-    counts = found.frame.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(r).isNull()).alias(r) for r in own])
-    return counts.unpivot(["n"], own, "_rule", "n_failed").select("n", _rule_name(rules, "_rule").alias("rule_id"), "n_failed")
+    counts = found.frame.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(r).isNull()).alias(r) for r in found.own])
+    return _unpivoted(counts, rules, ["n"], found.own, "n_failed")
+
+
+def rules_reasons(df: DataFrame, rules: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+    """``(keys..., rule_id, reason)``: one row per record and rule that fails on it.
+
+    Two evaluations: the forgiving one of :func:`rules_wide`, and, only where it gave null, a strict one (ANSI mode, helpers that
+    raise) which tells an error from a null the rule means to give.  The reason names the innermost part that raises (an error
+    class of Spark where there is one; ``NO_SUCH_ELEMENT``, ``SUBSTRING_OUT_OF_RANGE``, ``NUMBER_FORMAT``,
+    ``NULL_ARGUMENT`` for the helpers; ``DOES_NOT_COMPILE`` for a rule that does not).  One narrow pass; records on which
+    no rule is null are dropped before the strict evaluation.
+    """
+    found = _compiled(df, rules, keys, None, also=df.columns)
+    bad = {p.rule_id for p in found.problems}
+    if not rules:
+        return found.frame.select(*[F.col(_quoted(k)) for k in keys], F.lit("").alias("rule_id"), F.lit("").alias("reason")).where(F.lit(False))
+    free = _prefix(df)
+    key_names = [f"{free}key{i}" for i in range(len(keys))]
+    failing = found.frame.where(" or ".join(f"{r} is null" for r in found.own))
+    # The record's own names again, so that the rules' text finds them; nulls of the forgiving pass beside them.
+    variables = [F.col(f"{free}var{i}").alias(c) for i, c in enumerate(df.columns)]
+    kept = [F.col(f"{free}var{df.columns.index(k)}").alias(n) for k, n in zip(keys, key_names)]
+    spread = strict(failing.select(*kept, *variables, *[F.col(r).isNull().alias(f"{free}null{i}") for i, r in enumerate(found.own)]))
+    reasons = Reasons(df.sparkSession)
+    columns = []
+    for i, (rule_id, text) in enumerate(rules.items()):
+        why = F.lit(NOT_COMPILED) if rule_id in bad else reasons.column(parse(spread.sparkSession, text, with_expressions=True))
+        column = F.when(F.col(f"{free}null{i}"), why).cast("string").alias(found.own[i])
+        if rule_id not in bad:
+            try:
+                spread.select(column)
+            except PySparkException:  # compiles without ANSI mode only, where nothing tells its nulls apart
+                column = F.lit(None).cast("string").alias(found.own[i])
+        columns.append(column)
+    wide = back(spread.select(*key_names, *columns), df)
+    named = wide.select(*[F.col(n).alias(k) for n, k in zip(key_names, keys)], *found.own)
+    return _unpivoted(named, rules, list(keys), found.own, "reason").where("reason is not null")
 
 
 def evaluate_record(

@@ -61,6 +61,33 @@ PLAIN_RULES = {
 }
 
 
+# Valid rules that raise on some records: there they give null, elsewhere their value.
+RAISING_RULES = {
+    "v_index": r"element_at(split(text1, ':'), cast(a - 1 AS int))",
+    "v_part": r"split_part(text1, '2', cast(a - 1 AS int))",
+    "v_size": r"size(sequence(2L, 8L, a - 1))",
+    "v_number": r"to_number(text1, '999')",
+    "v_branch": r"CASE WHEN a = 1 THEN raise_error('one') ELSE a END",
+    "v_zero": r"element_at(split(text1, ':'), cast(c AS int))",
+    "v_zero_too": r"element_at(split(text1, ':'), cast(c AS int)) || '.step'",
+    "v_step": r"size(sequence(1L, a, c))",
+    "v_pattern": r"split(text1, substring('(:', cast(c AS int), 1))[0]",
+    "v_nested": r"split_at(element_at(split(text1, ':'), cast(c AS int)), 'e', 0)",
+}
+
+# Rules whose failures are explained, beside some that give null on purpose.
+EXPLAINED_RULES = {
+    "x_cast": r"cast(text1 AS int)",
+    "x_zero": r"d div b",
+    "x_index": RAISING_RULES["v_zero"],
+    "x_branch": RAISING_RULES["v_branch"],
+    "x_inner": r"coalesce(upper(split_at(text1, ':', 1)), 'none') || cast(d div b AS string)",
+    "x_meant": r"CASE WHEN a > 3 THEN a END",
+    "x_meant_too": r"nullif(a, 3)",
+    "x_bad": r"no_such_variable + 1",
+}
+
+
 def pick(*rule_ids: str) -> dict[str, str]:
     merged = {**EXAMPLE_RULES, **EXAMPLE_RULES_DECIMAL, **EXAMPLE_RULES_LONG}
     return {rule_id: merged[rule_id] for rule_id in rule_ids}
