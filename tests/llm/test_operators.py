@@ -478,7 +478,7 @@ def test_pipeline_stage_by_stage(spark, odd, nothing):
     stages = dict(corpus_pipeline.STAGES)
     kept = stages["near_duplicates"](spark, docs, SMALL_DIR)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    expected = {d for d, _, c, _ in brute_classes(rows, 3, 90) if d == c}
+    expected = {d for d, _, c, _ in brute_classes(rows, corpus_pipeline.SHINGLE, corpus_pipeline.NEAR) if d == c}
     assert {r.doc_id for r in kept.collect()} == expected and kept.columns == docs.columns
     clean = stages["decontamination"](spark, kept, SMALL_DIR)
     items = [shingle_sets(t, 5) for t in benchmark]
