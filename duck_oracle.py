@@ -167,6 +167,14 @@ def _reasons() -> str:
 ORACLE_SQL = {
     "rules_raising": _RAISING,
     "rules_reasons": _reasons(),
+    "join_rows": f"""
+SELECT a.sch_org_id, a.org_id, a.inv_item_id, b.shuju
+FROM ({_A}) AS a, ({_B}) AS b
+WHERE b.item_id = a.inv_item_id AND b.org_id = a.sch_org_id
+""",
+    "filter_in_key_sets": f"""
+SELECT b.org_id, b.item_id, b.shuju FROM ({_B}) AS b WHERE {_IN_LISTS}
+""",
     "join_two_keys": f"""
 SELECT a.sch_org_id, a.org_id, a.inv_item_id, b.shuju, count(*) AS n_pairs
 FROM ({_A}) AS a, ({_B}) AS b

@@ -1,3 +1,4 @@
+from rulegrid.operators.joined_rows import join_rows
 from rulegrid.operators.keyed_sums import (
     DEFAULT_ORG_CONSTANT,
     RESULT_COLUMNS,
@@ -35,6 +36,7 @@ __all__ = [
     "in_list_group_sum",
     "in_list_group_sum_from_keys",
     "join_group_sum",
+    "join_rows",
     "join_two_keys",
     "rules_failures",
     "rules_long",

@@ -38,6 +38,7 @@ from pyspark.sql.types import (
     ShortType,
 )
 
+from rulegrid.operators.bloom import bloom_prefilter
 from rulegrid.plans.keysets import (
     BROADCAST_MAX_BYTES,
     BROADCAST_MAX_KEYS,
@@ -52,10 +53,6 @@ RESULT_COLUMNS = ("sch_org_id", "org_id", "inv_item_id", "m")
 # Fixed value: the constant org_id of the IN-list statement.
 DEFAULT_ORG_CONSTANT = "oi001"
 
-# Hash buckets of the prefilter for key sets too large to broadcast.
-PREFILTER_BUCKETS = 1 << 20
-
-
 def join_two_keys(a: DataFrame, b: DataFrame) -> DataFrame:
     """Inner equi-join ``b.item_id = a.inv_item_id and b.org_id = a.sch_org_id``, as a bag.
 
@@ -192,26 +189,15 @@ def _semi_join(rows: DataFrame, keys: DataFrame, column: str, small: bool = Fals
 
 
 def _semi_join_sets(rows: DataFrame, sets: KeySets, broadcast_max_keys: int) -> DataFrame:
-    for keys, column, _, small in _each_set(sets, broadcast_max_keys):
-        rows = _semi_join(rows, keys, column, small)
+    judged = _each_set(sets, broadcast_max_keys)
+    for keys, column, n, small in judged:
+        rows = _semi_join(rows, keys, column, True) if small else bloom_prefilter(rows, keys, column, n)
+    for keys, column, _, small in judged:
+        if not small:
+            rows = _semi_join(rows, keys, column)
     return rows
 
 
-def _prefilter(rows: DataFrame, keys: DataFrame, column: str, n: int) -> DataFrame:
-    """Drop, before any shuffle, rows whose key's hash bucket holds no key of a large set.
-
-    The buckets are a broadcast of at most ``PREFILTER_BUCKETS`` numbers
-    whatever the set's size; a set of more keys than that fills nearly every
-    bucket, so it is not tried.  The exact semi-join follows.
-    """
-    if n > PREFILTER_BUCKETS or rows.schema[column].dataType != keys.schema[0].dataType:
-        return rows
-    bucket = F.pmod(F.xxhash64(keys.columns[0]), F.lit(PREFILTER_BUCKETS)).cast("int")
-    buckets = keys.select(bucket.alias("_bucket")).distinct()
-    own = F.pmod(F.xxhash64(column), F.lit(PREFILTER_BUCKETS)).cast("int")
-    return rows.join(F.broadcast(buckets), own == F.col("_bucket"), "left_semi")
-
-
 def filter_in_lists_from_keys(
     b: DataFrame,
     keys: DataFrame,
@@ -224,7 +210,8 @@ def filter_in_lists_from_keys(
 
     Lists within ``literal_max_keys`` (measured) become IN literals pushed into
     the scan; larger ones are applied as semi-joins, broadcast when within
-    ``broadcast_max_keys`` and shuffled otherwise.
+    ``broadcast_max_keys`` and shuffled otherwise; then a Bloom filter of each drops
+    most unwanted rows where ``b`` is scanned.
     """
     found = key_lists_or_sets(keys, item_col, org_col, literal_max_keys)
     if isinstance(found, KeySets):
@@ -274,13 +261,13 @@ def _sum_by_key_sets(b: DataFrame, sets: KeySets, org_constant: str, broadcast_m
     applied to raw ``b`` rows before the aggregation shuffle (a map-side
     filter).  A larger set is applied after the aggregation, to one row per
     key: filtering on the grouping keys commutes with summing per those keys,
-    and the aggregated side is skew-free.  Before that, :func:`_prefilter` drops
+    and the aggregated side is skew-free.  Before that, a Bloom filter drops
     most unwanted rows without a shuffle.  AQE chooses that join's strategy
     from measured sizes.
     """
     rows = b
     for keys, column, n, small in _each_set(sets, broadcast_max_keys):
-        rows = _semi_join(rows, keys, column, True) if small else _prefilter(rows, keys, column, n)
+        rows = _semi_join(rows, keys, column, True) if small else bloom_prefilter(rows, keys, column, n)
     summed = group_sum(rows, ["org_id", "item_id"])
     for keys, column, _, small in _each_set(sets, broadcast_max_keys):
         if not small:
