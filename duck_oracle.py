@@ -164,7 +164,14 @@ def _reasons() -> str:
     return " UNION ALL ".join(f"SELECT event_id, '{r}' AS rule_id, '{why}' AS reason FROM ({_CTX}) AS ctx WHERE {when}" for r, when, why in cases)
 
 
+_PRECISE_RULES = {
+    **{r: RULES_DUCKDB[r] for r in ("r1", "r2", "r3", "r4")},
+    **{r: f"CAST({RULES_DUCKDB[r]} AS DECIMAL(38, 10))" for r in ("r5", "r6")},
+    "r7_int": RULES_DUCKDB["r7_dec"], "r8": RULES_DUCKDB["r8"], "r9": RULES_DUCKDB["r9_dec"], "r10": RULES_DUCKDB["r10"],
+}
+
 ORACLE_SQL = {
+    "rules_precise": "SELECT event_id, " + ", ".join(f"{x} AS {r}" for r, x in _PRECISE_RULES.items()) + f" FROM ({_CTX}) AS ctx",
     "rules_raising": _RAISING,
     "rules_reasons": _reasons(),
     "join_rows": f"""

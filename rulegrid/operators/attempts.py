@@ -40,7 +40,7 @@ class Node:
 
     kind: str
     name: str = ""  # of a function
-    value: str | None = None  # of a literal
+    value: str | None = None  # of a literal; the name of a column
     type: str = ""
     parts: list[Node] = field(default_factory=list)
     expression: object = None  # its own parsed expression, where asked for
@@ -59,7 +59,11 @@ def parse(spark: SparkSession, text: str, with_expressions: bool = False) -> Nod
     def read(expression) -> Node:
         row = next(rows)
         name = str(row.get("nameParts", ""))[1:-1].lower() if row["class"].endswith("UnresolvedFunction") else ""
-        node = Node(row["class"].rsplit(".", 1)[-1], name, row.get("value") if isinstance(row.get("value"), str) else None, str(row.get("dataType", "")), [], expression)
+        kind = row["class"].rsplit(".", 1)[-1]
+        value = row.get("value") if isinstance(row.get("value"), str) else None
+        if kind == "UnresolvedAttribute":
+            value = str(row.get("nameParts", ""))[1:-1].lower()
+        node = Node(kind, name, value, str(row.get("dataType", "")), [], expression)
         children = expression.children() if expression is not None else None
         node.parts = [read(children.apply(i) if children is not None else None) for i in range(row["num-children"])]
         return node
@@ -185,12 +189,74 @@ class Inlined:
         return self._as_column(self._expression(node))
 
 
-def forgiving(df: DataFrame, text: str) -> Column:
+_WHOLE, _FRACTIONAL = "decimal(20,0)", "decimal(30,10)"
+_SUMS = {
+    "Add": lambda x, y: x + y, "Subtract": lambda x, y: x - y, "Multiply": lambda x, y: x * y, "Remainder": lambda x, y: x % y,
+    "try_add": F.try_add, "try_subtract": F.try_subtract, "try_multiply": F.try_multiply,
+}
+_ADDED, _TERM = {"Add", "Subtract", "try_add", "try_subtract"}, "decimal(37,10)"
+_QUOTIENTS = {"Divide", "IntegralDivide", "div", "try_divide"}
+PLACES = 10
+
+
+class Precise:
+    """A parsed rule with decimal arithmetic: its literals, columns and division, not its text.
+
+    Operands of arithmetic become decimals (whole numbers ``decimal(20,0)``, floating ones ``decimal(30,10)``), ``/`` and ``div`` divide
+    exactly, rounded to ten places, and an arithmetic result is ``decimal(38,10)``.  A product with fractions keeps six places at least.  What is no operand (positions in a text, list
+    members, branches of other types) stays as it is.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.utils, self.spark = _utils(df.sparkSession), df.sparkSession
+        self.types = {f.name.lower(): f.dataType for f in df.schema.fields}
+
+    def column(self, rule: Node) -> Column:
+        own = self._column(rule)
+        return own.cast(f"decimal(38,{PLACES})") if self._arithmetic(rule) else own
+
+    def _arithmetic(self, node: Node) -> bool:
+        return (node.name or node.kind) in _SUMS.keys() | _QUOTIENTS | {"UnaryMinus"}
+
+    def _operand(self, node: Node) -> Column:
+        own = self._column(node)
+        if self._arithmetic(node):
+            return own
+        kind = node.type
+        if node.kind == "UnresolvedAttribute":
+            found = self.types.get(node.value or "")
+            kind = found.simpleString() if found else ""
+        if kind.startswith("decimal"):
+            return own
+        whole = kind in ("tinyint", "smallint", "int", "integer", "bigint", "long") or node.name in ("parse_int", "parse_long", "length", "char_length", "size")
+        return own.cast(_WHOLE if whole else _FRACTIONAL)
+
+    def _column(self, node: Node) -> Column:
+        name = node.name or node.kind
+        if name in _SUMS and len(node.parts) == 2:
+            x, y = map(self._operand, node.parts)
+            if name in _ADDED:  # a sum of two such numbers has room for all ten places
+                x, y = (v.cast(_TERM) if self._arithmetic(p) else v for v, p in zip((x, y), node.parts))
+            return _SUMS[name](x, y)
+        if name in _QUOTIENTS and len(node.parts) == 2:
+            x, y = map(self._operand, node.parts)
+            return F.round(x / y, PLACES)
+        if name == "UnaryMinus":
+            return -self._operand(node.parts[0])
+        if not node.parts:
+            return Column(self.utils.column(node.expression))
+        parts = [self.utils.expression(self._column(p)._jc) for p in node.parts]
+        return Column(self.utils.column(node.expression.withNewChildren(self.spark._jvm.PythonUtils.toSeq(parts))))
+
+
+def forgiving(df: DataFrame, text: str, precise: bool = False) -> Column:
     """The column of a rule that gives null where it raises; for use on ``lenient(df)``."""
     spark = df.sparkSession
     rule = parse(spark, text)
     if is_total(df, rule):
-        return F.expr(text)
+        return Precise(df).column(parse(spark, text, with_expressions=True)) if precise else F.expr(text)
+    if precise:
+        return guarded(Precise(df).column(parse(spark, text, with_expressions=True)))
     hoisted = any(n.name in HELPERS and not all(_total(x) for p in n.parts for x in p.walk()) for n in rule.walk())
     return guarded(Inlined(spark, False).column(parse(spark, text, with_expressions=True)) if hoisted else F.expr(text))
 

@@ -56,7 +56,7 @@ class RuleProjection:
         return list(self.types)
 
 
-def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str], also: Sequence[str] = ()) -> DataFrame:
+def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str], also: Sequence[str] = (), precise: bool = False) -> DataFrame:
     """``keys`` + one struct per rule, holding the rule's value in field ``v``.
 
     A rule inside a struct next to a real column cannot be an aggregate or a
@@ -66,7 +66,7 @@ def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str], also
     ``also``: columns passed through under names of their own.
     """
     anchor = [F.col(_quoted(k)) for k in keys] or [F.col(_quoted(df.columns[0]))]
-    wrapped = [F.struct((forgiving(df, t) if isinstance(t, str) else t).alias("v")).alias(f"{_prefix(df)}rule{i}") for i, t in enumerate(texts)]
+    wrapped = [F.struct((forgiving(df, t, precise) if isinstance(t, str) else t).alias("v")).alias(f"{_prefix(df)}rule{i}") for i, t in enumerate(texts)]
     out = df.select(*anchor, *(F.col(_quoted(c)).alias(f"{_prefix(df)}var{i}") for i, c in enumerate(also)), *wrapped)
     if re.search(r"^[\s:+|-]*Window \[", out._jdf.queryExecution().analyzed().toString(), re.M):
         raise AnalysisException("window functions are not row-wise rules")
@@ -83,7 +83,7 @@ def _quoted(name: str) -> str:
 
 
 def _compiled(
-    df: DataFrame, rules: Mapping[str, str], keys: Sequence[str], fallback_types: Mapping[str, DataType] | None, also: Sequence[str] = ()
+    df: DataFrame, rules: Mapping[str, str], keys: Sequence[str], fallback_types: Mapping[str, DataType] | None, also: Sequence[str] = (), precise: bool = False
 ) -> RuleProjection:
     """``keys`` + one column per rule in rule order, by names that no key or rule id can equal or break."""
     spark = df.sparkSession
@@ -97,7 +97,7 @@ def _compiled(
         try:
             message = bad_pattern(spark, parse(spark, text))
             if not message and alone:
-                _project(own, keys, [text])
+                _project(own, keys, [text], (), precise)
         except PySparkException as exc:  # parse or analysis error
             message = str(exc).strip().splitlines()[0]
         if not message:
@@ -108,11 +108,11 @@ def _compiled(
 
     try:
         texts = [compiled(r, t, False) for r, t in rules.items()]
-        wrapped = _project(own, keys, texts, also)
+        wrapped = _project(own, keys, texts, also, precise)
     except PySparkException:
         problems.clear()
         texts = [compiled(r, t, True) for r, t in rules.items()]
-        wrapped = _project(own, keys, texts, also)
+        wrapped = _project(own, keys, texts, also, precise)
     wrapped = back(wrapped, df)
     names = tuple(f"{_prefix(df)}r{i}" for i in range(len(rules)))
     values = [F.col(f"{_prefix(df)}rule{i}.v").alias(n) for i, n in enumerate(names)]
@@ -126,6 +126,7 @@ def project_rules(
     rules: Mapping[str, str],
     keys: Sequence[str] = (),
     fallback_types: Mapping[str, DataType] | None = None,
+    precise: bool = False,
 ) -> RuleProjection:
     """Project every rule over ``df`` and report the rules that do not compile.
 
@@ -140,7 +141,7 @@ def project_rules(
     clash = sorted({x for x in names if names.count(x) > 1})
     if clash:
         raise ValueError(f"rule ids and key columns clash: {clash}")
-    found = _compiled(df, rules, keys, fallback_types)
+    found = _compiled(df, rules, keys, fallback_types, precise=precise)
     return RuleProjection(found.frame.toDF(*keys, *rules), found.types, found.problems)
 
 
@@ -154,9 +155,10 @@ def rules_wide(
     rules: Mapping[str, str],
     keys: Sequence[str] = (),
     fallback_types: Mapping[str, DataType] | None = None,
+    precise: bool = False,
 ) -> DataFrame:
-    """``keys`` + one typed column per rule, one row per input row."""
-    return project_rules(df, rules, keys, fallback_types).frame
+    """``keys`` + one typed column per rule, one row per input row; ``precise``: with decimal arithmetic in every rule."""
+    return project_rules(df, rules, keys, fallback_types, precise).frame
 
 
 def _unpivoted(frame: DataFrame, rules: Mapping[str, str], keys: list[str], own: Sequence[str], result: str) -> DataFrame:

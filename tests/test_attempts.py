@@ -96,3 +96,15 @@ def test_reasons_of_odd_input(spark, records):
     long = rules_long(clashing, {"x": "element_at(split(_key0, ':'), _null0)"}, ["id"])
     assert long.where("result is not null").count() == 1
     assert rules_failures(records, {"x": "element_at(split(t, ':'), c)"}).first().n_failed == 3
+
+
+def test_precise_arithmetic_of_any_rule(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([(1, 7, 2, 0.1, "a:5")], "id int, x int, y bigint, f double, t string")
+    rules = {"q": "x / 3", "d": "x div y", "m": "-x * 3 + y", "f": "f + f + f", "p": "parse_int(split_at(t, ':', 1)) / 8", "c": "CASE WHEN x / 3 > 2.3333333332 THEN 'more' ELSE 'less' END",
+             "s": "substr_strict(t, 0, 1)", "n": "x IN (7, 8)", "z": "x / (y - 2)", "e": "element_at(split(t, ':'), x - 7)", "l": "1.5 * y"}
+    row = rules_wide(df, rules, precise=True).first()
+    assert (row.q, row.d, row.m, row.f, row.p) == tuple(map(Decimal, ("2.3333333333", "3.5000000000", "-19.0000000000", "0.3000000000", "0.6250000000")))
+    assert (row.c, row.s, row.n, row.z, row.e, row.l) == ("more", "a", True, None, None, Decimal("3.0000000000"))
+    assert rules_wide(df, {"q": "x / 3"}).first().q == 7 / 3
