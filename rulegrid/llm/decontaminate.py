@@ -249,24 +249,40 @@ def _row_windows(part: Words, indexes: list[Index], known: dict, anchors: Anchor
         yield part.first + row, item, similarity, start
 
 
+def _best(text: pa.Array, indexes, threshold: float) -> dict[tuple[int, int], tuple[float, int]]:
+    """``(row, item): (similarity, start)`` of the matches in a column of texts."""
+    classes, known, anchors, _ = indexes.value
+    best: dict[tuple[int, int], tuple[float, int]] = {}  # pieces of one row overlap
+    for part in words_of(text) if classes else ():
+        for piece in _pieces(part, max((x.longest for x in classes), default=0)):
+            for row, item, similarity, start in _row_windows(piece, classes, known, anchors, threshold):
+                if similarity >= max(threshold, best.get((row, item), (0.0, 0))[0]):
+                    best[row, item] = (similarity, start)
+    return best
+
+
 def _search(indexes, threshold: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, known, anchors = indexes.value
+        names = indexes.value[3]
         for batch in batches:
-            best: dict[tuple[int, int], tuple[float, int]] = {}  # pieces of one row overlap
-            for part in words_of(batch["text"]) if classes else ():
-                for piece in _pieces(part, max((x.longest for x in classes), default=0)):
-                    for row, item, similarity, start in _row_windows(piece, classes, known, anchors, threshold):
-                        if similarity >= max(threshold, best.get((row, item), (0.0, 0))[0]):
-                            best[row, item] = (similarity, start)
-            rows = [(*key, *value) for key, value in best.items()]
+            rows = [(*key, *value) for key, value in _best(batch["text"], indexes, threshold).items()]
             ids = batch["doc_id"].take(pa.array([x[0] for x in rows], pa.int64())).cast(pa.int64())
-            columns = [pa.array([x[i] for x in rows], k) for i, k in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()))]
+            columns = [pa.array([names[x[1]] for x in rows], pa.int64()), pa.array([x[2] for x in rows], pa.float64()), pa.array([x[3] for x in rows], pa.int64())]
             yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "item_id", "similarity", "start_word"])
 
     return run
 
 
+def _without(indexes, threshold: float) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            clean[[row for row, _ in _best(batch["text"].cast(pa.string()), indexes, threshold)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
 def _pieces(part: Words, longest: int, most: int = 200_000) -> Iterator[Words]:
     """A very long row in overlapping runs of words, so that the running counts stay small."""
     if len(part.bounds) > 2 or len(part.hashes) <= most:
@@ -281,15 +297,29 @@ def _pieces(part: Words, longest: int, most: int = 200_000) -> Iterator[Words]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, item_id, similarity, n_rows)``: every document with a passage like a benchmark item, per item with the best
     similarity.  ``docs (doc_id, text)``, ``benchmark (item_id, text)``."""
-    spark = ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null").orderBy("item_id", "text").toArrow()
-    words = [hashes for part in words_of(items["text"]) for _, hashes in part.rows()]
-    pairs = list(zip(items["item_id"].to_pylist(), words))
-    holders = holders_of(pairs)
     found = None
-    for first in range(0, max(1, len(pairs)), MAX_ITEMS):
-        index = spark.sparkContext.broadcast(build(pairs[first : first + MAX_ITEMS], holders, threshold))
+    for index in _indexes(docs, benchmark, threshold):
         part = docs.mapInArrow(_search(index, threshold), "doc_id long, item_id long, similarity double, start_word long")
         found = part if found is None else found.union(part)
     return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def _indexes(docs: DataFrame, benchmark: DataFrame, threshold: float) -> Iterator:
+    """The index of each block of items, sent to the tasks.  Items go by number, so a null or repeated ``item_id`` is as good as any."""
+    spark = ship(docs.sparkSession)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct().orderBy("item_id", "text").toArrow()
+    pairs = list(enumerate(hashes for part in words_of(items["text"]) for _, hashes in part.rows()))
+    names = dict(enumerate(items["item_id"].to_pylist()))
+    holders = holders_of(pairs)
+    for first in range(0, max(1, len(pairs)), MAX_ITEMS):
+        yield spark.sparkContext.broadcast((*build(pairs[first : first + MAX_ITEMS], holders, threshold), names))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without a passage like a benchmark item: what ``find_leaks`` finds, decided row by row where the row is
+    read, so no row is shuffled or joined.  All columns and repeated rows stay."""
+    clean = docs
+    for index in _indexes(docs, benchmark, threshold):
+        clean = clean.mapInArrow(_without(index, threshold), docs.schema)
+    return clean

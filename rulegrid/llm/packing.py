@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ STEP = 16
 DEPTH = 3
 END = 1
 SALT_ROWS = 50_000
-CACHE = 200_000  # chunks whose ids a worker remembers
+CACHE = 800_000  # chunks whose ids a worker remembers; it forgets all when it holds more
 ADDED, ADDED_ID = "<|endoftext|>", 50256  # the one added token of byte_bpe_50k.json, special and matched as it stands
 
 _ODD_SPACE = re.compile(r" [\s\x1c-\x1f]|[\s\x1c-\x1f] ")
@@ -62,12 +63,14 @@ class Ids(dict):
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.encoding.encode_ordinary(chunk), np.uint16).tobytes()
-        if len(self) < CACHE and len(chunk) < 64:
+        ids = array("H", self.encoding.encode_ordinary(chunk)).tobytes()
+        if len(chunk) < 64:
             self[chunk] = ids
         return ids
 
     def of(self, text: str) -> np.ndarray:
+        if len(self) > CACHE:
+            self.clear()
         if not text:
             return np.zeros(0, np.uint16)
         if _ODD_SPACE.search(text) or text[0] == " " or text[-1] == " ":
@@ -283,7 +286,8 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
     order = Window.partitionBy("seq").orderBy("ord")
     placed = plan.withColumn("offset", F.coalesce(F.sum("take").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     sequences = max((at + n for _, _, _, _, n, at, _ in slots), default=0)
-    parts = rests.join(placed, "piece").select(
+    # Both sides grow with the documents: one way to join them at every size.
+    parts = rests.join(placed.hint("merge"), "piece").select(
         "doc_id", (F.col("start") + F.col("skip")).alias("start"), F.col("take").cast("long").alias("length"), "doc_tokens",
         F.col("seq").alias("sequence_id"), F.col("offset").cast("long").alias("offset"),
         F.expr("substring(ids, 2 * skip + 1, 2 * take)").alias("ids"),

@@ -67,8 +67,17 @@ def find_spans(text: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """``columns``, a row number ``_row`` and ``_spans`` of every row of ``docs``, stored without the texts."""
-    return stored(with_row_id(docs, "_row").select(*columns, "_row", find_spans(F.col("text")).alias("_spans")), name)
+    """``columns``, a row number ``_row`` and ``_spans`` of every row of ``docs``, stored without the texts.
+
+    Of a span's value only its hash and whether it is diverse are stored, so no secret is written to the shared folder."""
+    hashed = F.transform(
+        find_spans(F.col("text")),
+        lambda s: F.struct(
+            s["start"].alias("start"), s["place"].alias("place"), s["end"].alias("end"), s["kind"].alias("kind"),
+            F.sha2(s["value"], 256).alias("value_hash"), (F.size(F.array_distinct(F.split(s["value"], ""))) >= DIVERSE).alias("diverse"),
+        ),
+    )
+    return stored(with_row_id(docs, "_row").select(*columns, "_row", hashed.alias("_spans")), name)
 
 
 def ownership(spans: DataFrame, repository: str, owner: str, copied: int = COPIED) -> DataFrame:
@@ -76,7 +85,7 @@ def ownership(spans: DataFrame, repository: str, owner: str, copied: int = COPIE
     held = spans.select(F.explode("_spans").alias("s"), F.col(repository).cast("string").alias("r"), F.col(owner).cast("string").alias("o"))
     unknown = F.lit("")
     each = held.select(
-        F.sha2("s.value", 256).alias("value_hash"), (F.size(F.array_distinct(F.split("s.value", ""))) >= DIVERSE).alias("diverse"),
+        "s.value_hash", "s.diverse",
         F.coalesce("r", unknown).alias("r"), F.coalesce("o", unknown).alias("o"),
     ).distinct()
     by_owner = each.groupBy("value_hash", "diverse", "o").agg(F.count(F.lit(1)).alias("repositories"))
@@ -94,7 +103,7 @@ def scan(docs: DataFrame, repository: str, owner: str, columns: list[str], copie
     keep = list(dict.fromkeys([*columns, repository, owner]))
     spans = with_spans(docs, keep, "secret-spans")
     known = ownership(spans, repository, owner, copied)
-    each = spans.where(F.size("_spans") > 0).select("_row", F.explode("_spans").alias("s")).withColumn("value_hash", F.sha2("s.value", 256))
+    each = spans.where(F.size("_spans") > 0).select("_row", F.explode("_spans").alias("s")).withColumn("value_hash", F.col("s.value_hash"))
     judged = each.join(known, "value_hash").groupBy("_row").agg(
         F.count_if("example").alias("n_example"), F.count_if("live").alias("n_live"), F.max("n_owners").alias("most_owners"),
         F.array_sort(F.collect_list(F.when(F.col("live"), F.struct("s.start", "s.end")))).alias("live_spans"),

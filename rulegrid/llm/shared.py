@@ -6,6 +6,7 @@ a lost executor costs a re-read of those files and nothing that only it held.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -45,9 +46,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = ship(df.sparkSession)
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []  # tables that this driver wrote, oldest first
+
+
+def tables_written() -> int:
+    return len(_WRITTEN)
+
+
+def delete_tables(spark: SparkSession, since: int, until: int) -> None:
+    """Delete tables ``since`` to ``until`` (numbers by ``tables_written``), which nothing reads any more, and let
+    Spark clean up after the plans that read them (it drops their shuffle files once they are collected)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for i in range(since, until):
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN[i])
+        path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """Add a clash-free ``name`` column that tells equal rows apart (fixed once the result is stored)."""
     return df.withColumn(name, F.monotonically_increasing_id())
