@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from rulegrid.llm import decontaminate, jaccard, packing, quality, secrets
 from rulegrid.llm.queries import table, vocabulary
-from rulegrid.llm.shared import stored
+from rulegrid.llm.shared import delete_tables, stored, tables_written
+from rulegrid.operators.bloom import bloom_filter, might_hold
 
 SHINGLE, NEAR = 5, 80  # the query op3 has a contract of its own: 3 words, 90 %
 
@@ -49,31 +50,38 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     # A null doc_id comes last; texts of one doc_id by length.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.length("text").alias("length"), "_key")
     first = rows.select("_key", order.alias("o")).join(linked, "_key").groupBy("component_id").agg(F.min("o").alias("o"))
-    # Few rows go, so they are the side to match: a row goes if its class has a row before it or an equal row came before.
-    goes = linked.join(first.select(F.col("o._key").alias("_key")), "_key", "left_anti").select("_key")
-    again = classes.where("n > 1").select("_key")
-    kept = rows.join(goes, "_key", "left_anti")
-    first = kept.join(again, "_key", "left_semi").dropDuplicates(["_key"])
-    return kept.join(again, "_key", "left_anti").unionByName(first).select(*docs.columns)
+    # Few rows go: those whose class has a row before them, and equal rows after the first.
+    goes = linked.join(first.select(F.col("o._key").alias("_key")), "_key", "left_anti").select("_key", F.lit(True).alias("goes"))
+    again = classes.where("n > 1").select("_key", F.lit(False).alias("goes"))
+    judged = stored(goes.union(again).groupBy("_key").agg(F.max("goes").alias("goes")), "pipeline-judged")
+    met, others = met_and_others(rows, judged.select("_key"))
+    kept = met.join(judged, "_key", "left").where("not coalesce(goes, false)")
+    first = kept.where("goes is not null").dropDuplicates(["_key"])
+    return others.select(*docs.columns).unionByName(kept.where("goes is null").select(*docs.columns)).unionByName(first.select(*docs.columns))
+
+
+def met_and_others(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``_key`` may be one of the distinct ``keys`` (a Bloom filter says so), and all others, which need no join."""
+    may = F.coalesce(might_hold(bloom_filter(keys, keys.count()), "_key"), F.lit(False))
+    return rows.where(may), rows.where(~may)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = keyed(docs)
-    leaks = decontaminate.find_leaks(by_key(rows), table(spark, sf_dir, "benchmark"))
-    return rows.join(leaks.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     rows = keyed(docs).withColumn("_repository", F.concat_ws("/", "source", "lang"))
     live = secrets.scan(rows, repository="_repository", owner="source", columns=["_key"]).where("n_live > 0")
-    spans = live.groupBy("_key").agg(F.max("live_spans").alias("_live"))
-    joined = keyed(docs).join(spans, "_key", "left")
+    spans = stored(live.groupBy("_key").agg(F.max("live_spans").alias("_live")), "pipeline-spans")
+    met, others = met_and_others(keyed(docs), spans.select("_key"))
+    joined = met.join(spans, "_key", "left")
     masked = F.when(F.col("_live").isNotNull(), secrets.redacted(F.coalesce("text", F.lit("")), F.col("_live"))).otherwise(F.col("text"))
     out = joined.withColumn("text", masked)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.col("_live").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    return out.select(*columns).unionByName(others.select(*columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -93,8 +101,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of ``sf_dir``, each written to the shared folder and read again by the next."""
+    """All stages on the documents of ``sf_dir``, each written to the shared folder and read again by the next.
+
+    Once a stage's result is written, its intermediate tables and the result of the stage before are deleted.
+    """
     docs = table(spark, sf_dir, "documents")
+    done = tables_written()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        delete_tables(spark, done, tables_written() - 1)
+        done = tables_written() - 1
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    delete_tables(spark, done, done + 1)  # packing has read it once, into tables of its own
+    return out
