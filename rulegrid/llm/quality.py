@@ -4,12 +4,13 @@ A document's UTF-8 bytes are covered by chunks of ``CHUNK`` bytes whose filter w
 is a learned vector and one plane that marks words equal to the word before.  Learned filters of ``WIDTH`` bytes every
 ``STRIDE`` bytes are max-pooled within each chunk; the maximum and the mean over all chunks of the document feed one logistic unit.
 
-Training uses at most ``SAMPLE`` labelled rows of either label (those of the smallest hash of doc_id) and at most
-``SAMPLE_CHUNKS`` chunks of each, spread over its text; these bounds keep the training set on the driver under 30 MB.  Scoring reads every byte of every text.
+Training uses a bounded sample of labelled rows: of either label the ``SAMPLE`` rows of the smallest hash of doc_id, whole texts of at most
+``SAMPLE_TEXT`` bytes each, taken in that order as long as they fit in ``SAMPLE_BYTES``.  Equal rows count once, and every byte of a
+sampled row is read.  Scoring reads every byte of every text.
 
 Results for odd input: a null or empty text is one chunk of zero bytes and gets the score of that; equal rows get equal
 scores; without labelled rows of both labels every score is the share of label 1 (0.5 without labels); a very long text is
-scored in slices; an empty table gives an empty result.
+read in slices and scored as if whole (repeated words are followed across slices); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,16 +19,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulegrid.llm.shared import ship
+from rulegrid.llm.shared import ship, stored
 from rulegrid.llm.words import groups, text_bytes, word_spans
 
 CHUNK, WIDTH, STRIDE = 512, 12, 4
 REACH = WIDTH - STRIDE
 FILTERS, VECTOR = 16, 4
-SAMPLE, SAMPLE_CHUNKS = 700, 12
+SAMPLE, SAMPLE_TEXT, SAMPLE_BYTES = 700, 1 << 18, 1 << 24
 EPOCHS, BATCH, RATE = 8, 50, 0.01
 KEEP = 0.3
 SLICE = 1 << 20
@@ -39,12 +40,14 @@ Model = dict[str, np.ndarray]
 
 
 def padded(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts in one zero-padded buffer, the plane of repeated words, and each text's number of chunks."""
+    """All texts in one zero-padded buffer, the plane of repeated words, and each text's number of chunks.
+
+    A text stands after ``REACH`` zero bytes, so the windows of the chunk before it see nothing of it."""
     chunks = np.array([-(-(len(t) + REACH) // CHUNK) for t in texts], np.int64)
     at = np.concatenate([[0], np.cumsum(chunks)]) * CHUNK
     data = np.zeros(at[-1] + REACH, np.uint8)
     for start, text in zip(at, texts):
-        data[start : start + len(text)] = text
+        data[start + REACH : start + REACH + len(text)] = text
     starts, ends, hashes = word_spans(data, at[:-1], _SEPARATORS)
     owner = np.searchsorted(at, starts, side="right")
     again = np.zeros(len(starts), bool)
@@ -82,20 +85,55 @@ def scores(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     return _combined(model, np.maximum.reduceat(each, first), np.add.reduceat(each, first) / chunks[:, None])
 
 
+def repeats(text: np.ndarray) -> np.ndarray:
+    """1 for every byte of a word that equals the word before it, else 0; read in parts that end at separators.
+
+    A word of ``SLICE`` or more bytes is a part of its own, compared byte by byte.
+    """
+    plane = np.zeros(len(text), np.uint8)
+    last: np.uint64 | None = None
+    long_word: tuple[int, int] | None = None
+    at = 0
+    while at < len(text):
+        gaps = np.flatnonzero(~_SEPARATORS[text[at : at + SLICE]])
+        if not len(gaps) and len(text) - at >= SLICE:
+            end = at + SLICE
+            while end < len(text) and not len(gaps := np.flatnonzero(~_SEPARATORS[text[end : end + SLICE]])):
+                end += SLICE
+            end = min(len(text), end + int(gaps[0])) if len(gaps) else len(text)
+            if long_word and long_word[1] - long_word[0] == end - at and _same_word(text, long_word[0], at, end - at):
+                plane[at:end] = 1
+            last, long_word, at = None, (at, end), end
+            continue
+        end = len(text) if at + SLICE >= len(text) else at + int(gaps[-1]) + 1
+        starts, ends, hashes = word_spans(text[at:end], np.zeros(1, np.int64), _SEPARATORS)
+        if len(hashes):
+            again = np.concatenate([[last is not None and last == hashes[0]], hashes[1:] == hashes[:-1]])
+            for s, e in zip(starts[again].tolist(), ends[again].tolist()):
+                plane[at + s : at + e] = 1
+            last, long_word = hashes[-1], None
+        at = end
+    return plane
+
+
+def _same_word(text: np.ndarray, a: int, b: int, size: int) -> bool:
+    parts = ((k, min(size, k + SLICE)) for k in range(0, size, SLICE))
+    return all(text[a + k : a + m].tobytes().lower() == text[b + k : b + m].tobytes().lower() for k, m in parts)
+
+
 def long_score(model: Model, text: np.ndarray) -> float:
-    """The score of one very long text, read in slices."""
+    """The score of one very long text, read in slices: that of ``scores``."""
     most, total, n = np.zeros(FILTERS), np.zeros(FILTERS), 0
-    data, plane, _ = padded([text]) if len(text) <= SLICE else (None, None, None)
-    for start in range(0, len(text) + REACH, SLICE):
-        part = text[start : start + SLICE + REACH]
-        if data is None:
-            size = min(SLICE, -(-(len(text) + REACH - start) // CHUNK) * CHUNK)
-            buffer = np.zeros(size + REACH, np.uint8)
-            buffer[: len(part)] = part[: size + REACH]
-            each = pooled(model, buffer, padded([part])[1][: size + REACH])
-        else:
-            each = pooled(model, data, plane)
-        most, total, n = np.maximum(most, each.max(axis=0)), total + each.sum(axis=0), n + len(each)
+    again = repeats(text)
+    whole = -(-(len(text) + REACH) // CHUNK) * CHUNK
+    for start in range(0, whole, SLICE):
+        size = min(SLICE, whole - start) + REACH
+        data, plane = np.zeros(size, np.uint8), np.zeros(size, np.float32)
+        first, last = max(0, start - REACH), min(len(text), start - REACH + size)
+        inside = slice(first + REACH - start, last + REACH - start)
+        data[inside], plane[inside] = text[first:last], again[first:last]
+        each = pooled(model, data, plane)
+        most, total, n = np.maximum(most, each.max(axis=0)), total + each.sum(axis=0, dtype=np.float64), n + len(each)
     return float(_combined(model, most[None], total[None] / n)[0])
 
 
@@ -125,11 +163,19 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     return model
 
 
+def _tops(model: Model, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and value of every filter's maximum in every chunk, by ``SLICE`` bytes at a time."""
+    best, raw = [], []
+    for at in range(0, len(windows), SLICE // STRIDE):
+        out = (windows[at : at + SLICE // STRIDE] @ model["filters"]).reshape(-1, CHUNK // STRIDE, FILTERS)
+        best.append(out.argmax(axis=1))
+        raw.append(np.take_along_axis(out, best[-1][:, None], 1)[:, 0] + model["shift"])
+    return np.concatenate(best), np.concatenate(raw)
+
+
 def _gradients(model: Model, data: np.ndarray, plane: np.ndarray, chunks: np.ndarray, y: np.ndarray) -> Model:
     windows = _windows(model, data, plane)
-    out = (windows @ model["filters"]).reshape(-1, CHUNK // STRIDE, FILTERS)
-    best = out.argmax(axis=1)
-    raw = np.take_along_axis(out, best[:, None], 1)[:, 0] + model["shift"]
+    best, raw = _tops(model, windows)
     each = np.maximum(raw, 0)
     first = np.concatenate([[0], np.cumsum(chunks)[:-1]])
     owner = np.repeat(np.arange(len(chunks)), chunks)
@@ -154,29 +200,24 @@ def _gradients(model: Model, data: np.ndarray, plane: np.ndarray, chunks: np.nda
     }
 
 
-def _chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """At most ``SAMPLE_CHUNKS`` chunks of every text, spread evenly."""
-    for batch in batches:
-        offsets, data = text_bytes(batch["text"])
-        out = []
-        for i in range(len(offsets) - 1):
-            text = data[offsets[i] : offsets[i + 1]]
-            n = max(1, -(-len(text) // CHUNK))
-            kept = np.unique(np.linspace(0, n - 1, min(n, SAMPLE_CHUNKS)).astype(int))
-            out.append(b"".join(text[k * CHUNK : (k + 1) * CHUNK].tobytes() for k in kept))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch["label"]], names=["text", "label"])
-
-
 def bucket(doc_id: Column, of: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(of))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out: int = 5) -> Model | float:
     """The model, learned from rows whose crc32(doc_id as text) mod ``held_out`` is not 0; a constant where it can't be learned."""
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1) and doc_id is not null").where(bucket(F.col("doc_id"), held_out) != 0)
+    ship(docs.sparkSession)
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1) and doc_id is not null").where(bucket(F.col("doc_id"), held_out) != 0).distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = known.where("label = 0").orderBy(*order).limit(SAMPLE).union(known.where("label = 1").orderBy(*order).limit(SAMPLE))
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "label").mapInArrow(_chunks_of, "text binary, label int").limit(4 * SAMPLE).toArrow()
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= SAMPLE_TEXT).join(F.broadcast(picked), "doc_id")
+    name = ["doc_id", "label", "digest"]
+    rows = stored(texts.withColumn("digest", F.xxhash64("text")).dropDuplicates(name), "quality-sample")
+    sizes = rows.select(*name, F.octet_length("text").cast("long").alias("size"))
+    first = [sizes.where(F.col("label") == k).orderBy(*order, "digest").limit(SAMPLE) for k in (0, 1)]
+    so_far = F.sum("size").over(Window.partitionBy("label").orderBy(*order, "digest").rowsBetween(Window.unboundedPreceding, 0))
+    chosen = first[0].union(first[1]).withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_BYTES).select(*name)
+    rows = rows.join(F.broadcast(chosen), name).select(F.col("text").cast("binary").alias("text"), "label").toArrow()
     y = np.array(rows["label"].to_pylist(), np.float32)
     if not (y == 0).any() or not (y == 1).any():
         return float(y.mean()) if len(y) else 0.5
@@ -185,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out: in
     return train([texts[i] for i in order], y[order])
 
 
-def _score(model: Model | float) -> Callable:
+def _score(model: Model | float, column: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, data = text_bytes(batch["text"])
@@ -198,13 +239,15 @@ def _score(model: Model | float) -> Callable:
                     out[first] = long_score(model, texts[0])
                 else:
                     out[first:last] = scores(model, texts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, column])
 
     return run
 
 
-def score_quality(docs: DataFrame, model: Model | float) -> DataFrame:
-    """``docs`` with ``_score``, the probability of label 1."""
+def score_quality(docs: DataFrame, model: Model | float, column: str = "_score") -> DataFrame:
+    """``docs`` with ``column``, the probability of label 1; a name that ``docs`` has already is an error (``shared.free_name`` gives one)."""
     ship(docs.sparkSession)
-    schema = docs.select("*", F.lit(0.0).alias("_score")).schema
-    return docs.mapInArrow(_score(model), schema)
+    if column.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"column {column} is there already")
+    schema = docs.select("*", F.lit(0.0).alias(column)).schema
+    return docs.mapInArrow(_score(model, column), schema)

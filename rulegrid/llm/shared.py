@@ -68,6 +68,14 @@ def delete_tables(spark: SparkSession, since: int, until: int) -> None:
     jvm.System.gc()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, after as many underscores as no column of ``df`` has it by then, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """Add a clash-free ``name`` column that tells equal rows apart (fixed once the result is stored)."""
     return df.withColumn(name, F.monotonically_increasing_id())

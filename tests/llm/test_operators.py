@@ -455,18 +455,82 @@ def test_quality_network_separates_labels_and_reads_whole_texts(spark, odd, noth
     model = quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     text = np.frombuffer((("good words and more " * 9 + "\n") * 800).encode(), np.uint8)
     assert abs(quality.scores(model, [text])[0] - quality.scores(model, [text, text[:50]])[0]) < 1e-6
-    before = quality.SLICE
-    quality.SLICE = 1 << 14
-    try:
-        assert abs(quality.long_score(model, text) - quality.scores(model, [text])[0]) < 1e-5
-    finally:
-        quality.SLICE = before
     out = quality.score_quality(odd, model).collect()
     assert len(out) == odd.count() and all(0 <= r._score <= 1 for r in out)
     assert quality.score_quality(nothing, model).count() == 0
     assert quality.fit(nothing, spark.createDataFrame([], "doc_id long, quality int")) == 0.5
 
 
+def plain_network(model, text):
+    """One text by loops: every window of every chunk, the plane of repeated words, maximum and mean, logistic unit."""
+    seps = {0, 9, 10, 11, 12, 13, 32}
+    spans, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] not in seps:
+            end += 1
+        if end > at:
+            spans.append((at, end))
+        at = end + 1
+    plane = [0.0] * len(text)
+    for (a, b), (c, d) in zip(spans, spans[1:]):
+        if bytes(text[a:b]).lower() == bytes(text[c:d]).lower():
+            plane[c:d] = [1.0] * (d - c)
+    chunks = -(-(len(text) + quality.REACH) // quality.CHUNK)
+    data = [*[0] * quality.REACH, *text, *[0] * (chunks * quality.CHUNK - len(text))]
+    plane = [*[0.0] * quality.REACH, *plane, *[0.0] * (chunks * quality.CHUNK - len(text))]
+    tops = []
+    for c in range(chunks):
+        best = np.full(quality.FILTERS, -np.inf)
+        for w in range(c * quality.CHUNK, (c + 1) * quality.CHUNK, quality.STRIDE):
+            window = np.concatenate([[*model["vectors"][data[i]], plane[i]] for i in range(w, w + quality.WIDTH)])
+            best = np.maximum(best, window @ model["filters"])
+        tops.append(np.maximum(best + model["shift"], 0))
+    features = np.concatenate([np.max(tops, axis=0), np.mean(tops, axis=0)])
+    return 1 / (1 + np.exp(-(features @ model["weights"] + model["bias"][0])))
+
+
+def test_quality_scores_equal_plain_loops_whole_and_in_slices(monkeypatch):
+    rng = random.Random(5)
+    samples = ["", "a", "Same same SAME other\tother", "no repeats here " * 70, "tick tick " * 200, "x" * 1500 + " " + "x" * 1500 + " y", "  \n " * 300,
+               " ".join(rng.choice(["bad", "bad", "Bad", "w" * 600, "héé", "tail"]) for _ in range(120))]
+    texts = [np.frombuffer(t.encode(), np.uint8) for t in samples]
+    model = quality.train(texts, np.array([i % 2 for i in range(len(texts))], np.float32))
+    plain = [plain_network(model, t) for t in texts]
+    assert np.allclose(quality.scores(model, texts), plain, atol=1e-5)
+    planes = [quality.repeats(t).tolist() for t in texts]
+    for size in (512, 1024, 2048):  # words as long as a slice or longer, repeats across its border
+        monkeypatch.setattr(quality, "SLICE", size)
+        assert [quality.repeats(t).tolist() for t in texts] == planes
+        assert np.allclose([quality.long_score(model, t) for t in texts], plain, atol=1e-5)
+
+
+def test_quality_sample_counts_equal_rows_once_and_keeps_user_columns(spark):
+    good, bad = "calm and clear sentence number ", "spam spam buy buy now now "
+    rows = [(i, (good if i % 2 else bad) + str(i), "mine") for i in range(200)]
+    hot = next(i for i in range(200, 300) if zlib.crc32(str(i).encode()) % 5)
+    docs = spark.createDataFrame(rows + [(hot, bad + "hot", "mine")] * 5000 + [(hot + 1000, None, None)], "doc_id long, text string, _score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(hot, 0)] * 300, "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert isinstance(model, dict)
+    again = quality.fit(docs.repartition(7), labels.union(labels))
+    assert all(np.array_equal(model[k], again[k]) for k in model)
+    out = quality.score_quality(docs.where("doc_id < 200"), model, "score").collect()
+    assert all(r._score == "mine" and (r.score >= 0.5) == bool(r.doc_id % 2) for r in out) and len(out) == 200
+    with pytest.raises(ValueError):
+        quality.score_quality(docs, model)
+
+
+def test_quality_sample_is_bounded_in_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda texts, y: seen.append([len(t) for t in texts]) or {})
+    monkeypatch.setattr(quality, "SAMPLE_TEXT", 1000)
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 4000)
+    docs = spark.createDataFrame([(i, "w" * (900 if i % 3 else 1001)) for i in range(120)], "doc_id long, text string")
+    quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int"))
+    assert seen == [[900] * 8]
+
+
 # the pipeline
 
 
@@ -544,3 +608,15 @@ def test_registered_queries(spark):
     text = "</s>[INST] ok [/INST]"
     assert turns.loss_chars == len(text) and turns.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert zlib.crc32(b"1") and re and low("A") == "a"
+
+
+def test_pipeline_stages_keep_columns_named_like_their_own(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet")
+    clashing = {c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in ("_key", "_goes", "_live", "_repository", "_score", "_row", "_spans", "goes", "n", "links")}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = {r.doc_id: r.text for r in stage(spark, docs, SMALL_DIR).collect()}
+        out = stage(spark, docs.withColumns(clashing), SMALL_DIR).collect()
+        assert {r.doc_id: r.text for r in out} == plain, name
+        assert all(r[c] == f"{c}{r.doc_id}" for r in out for c in clashing), name
