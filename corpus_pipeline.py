@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from rulegrid.llm import decontaminate, jaccard, packing, quality, secrets
 from rulegrid.llm.queries import table, vocabulary
-from rulegrid.llm.shared import delete_tables, stored, tables_written
+from rulegrid.llm.shared import delete_tables, free_name, stored, tables_written
 from rulegrid.operators.bloom import bloom_filter, might_hold
 
 SHINGLE, NEAR = 5, 80  # the query op3 has a contract of its own: 3 words, 90 %
@@ -28,41 +28,40 @@ SHINGLE, NEAR = 5, 80  # the query op3 has a contract of its own: 3 words, 90 %
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).where(F.col("_score") >= quality.KEEP).drop("_score")
+    score = free_name(docs, "_score")
+    return quality.score_quality(docs, model, score).where(F.col(score) >= quality.KEEP).drop(score)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``, a 64-bit identity of doc_id and text (nulls included), by which stages 2 to 4 decide."""
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a 64-bit identity of doc_id and text (nulls included), by which stages 2 to 4 decide, and that column's name."""
+    key = free_name(docs, "_key")
     parts = [x for c, none in (("doc_id", F.lit(0)), ("text", F.lit(""))) for x in (F.coalesce(c, none), F.col(c).isNull())]
-    return docs.withColumn("_key", F.xxhash64(*parts))
-
-
-def by_key(docs: DataFrame) -> DataFrame:
-    """What an operator reads of ``keyed`` rows: the key stands for the doc_id."""
-    return docs.select(F.col("_key").alias("doc_id"), "text")
+    return docs.withColumn(key, F.xxhash64(*parts)), key
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = keyed(docs)
-    classes = jaccard.similar_text_classes(by_key(rows), k=SHINGLE, threshold=NEAR).withColumnRenamed("doc_id", "_key")
-    classes = stored(classes.groupBy("_key").agg(F.min("component_id").alias("component_id"), F.max("n_links").alias("links"), F.count(F.lit(1)).alias("n")), "pipeline-classes")
-    linked = classes.where("links > 0").select("_key", "component_id")
+    rows, key = keyed(docs)
+    goes = free_name(docs, "_goes")
+    # What the operator reads: the key stands for the doc_id.
+    classes = jaccard.similar_text_classes(rows.select(F.col(key).alias("doc_id"), "text"), k=SHINGLE, threshold=NEAR).withColumnRenamed("doc_id", key)
+    classes = stored(classes.groupBy(key).agg(F.min("component_id").alias("component_id"), F.max("n_links").alias("links"), F.count(F.lit(1)).alias("n")), "pipeline-classes")
+    linked = classes.where("links > 0").select(key, "component_id")
     # A null doc_id comes last; texts of one doc_id by length.
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.length("text").alias("length"), "_key")
-    first = rows.select("_key", order.alias("o")).join(linked, "_key").groupBy("component_id").agg(F.min("o").alias("o"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.length("text").alias("length"), F.col(key).alias("key"))
+    first = rows.select(key, order.alias("o")).join(linked, key).groupBy("component_id").agg(F.min("o").alias("o"))
     # Few rows go: those whose class has a row before them, and equal rows after the first.
-    goes = linked.join(first.select(F.col("o._key").alias("_key")), "_key", "left_anti").select("_key", F.lit(True).alias("goes"))
-    again = classes.where("n > 1").select("_key", F.lit(False).alias("goes"))
-    judged = stored(goes.union(again).groupBy("_key").agg(F.max("goes").alias("goes")), "pipeline-judged")
-    met, others = met_and_others(rows, judged.select("_key"))
-    kept = met.join(judged, "_key", "left").where("not coalesce(goes, false)")
-    first = kept.where("goes is not null").dropDuplicates(["_key"])
-    return others.select(*docs.columns).unionByName(kept.where("goes is null").select(*docs.columns)).unionByName(first.select(*docs.columns))
-
-
-def met_and_others(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``rows`` whose ``_key`` may be one of the distinct ``keys`` (a Bloom filter says so), and all others, which need no join."""
-    may = F.coalesce(might_hold(bloom_filter(keys, keys.count()), "_key"), F.lit(False))
+    later = linked.join(first.select(F.col("o.key").alias(key)), key, "left_anti").select(key, F.lit(True).alias(goes))
+    again = classes.where("n > 1").select(key, F.lit(False).alias(goes))
+    judged = stored(later.union(again).groupBy(key).agg(F.max(goes).alias(goes)), "pipeline-judged")
+    met, others = met_and_others(rows, judged.select(key), key)
+    kept = met.join(judged, key, "left").where(~F.coalesce(goes, F.lit(False)))
+    once = kept.where(F.col(goes).isNotNull()).dropDuplicates([key])
+    return others.select(*docs.columns).unionByName(kept.where(F.col(goes).isNull()).select(*docs.columns)).unionByName(once.select(*docs.columns))
+
+
+def met_and_others(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key`` may be one of the distinct ``keys`` (a Bloom filter says so), and all others, which need no join."""
+    may = F.coalesce(might_hold(bloom_filter(keys, keys.count()), key), F.lit(False))
     return rows.where(may), rows.where(~may)
 
 
@@ -72,15 +71,17 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
-    rows = keyed(docs).withColumn("_repository", F.concat_ws("/", "source", "lang"))
-    live = secrets.scan(rows, repository="_repository", owner="source", columns=["_key"]).where("n_live > 0")
-    spans = stored(live.groupBy("_key").agg(F.max("live_spans").alias("_live")), "pipeline-spans")
-    met, others = met_and_others(keyed(docs), spans.select("_key"))
-    joined = met.join(spans, "_key", "left")
-    masked = F.when(F.col("_live").isNotNull(), secrets.redacted(F.coalesce("text", F.lit("")), F.col("_live"))).otherwise(F.col("text"))
-    out = joined.withColumn("text", masked)
+    rows, key = keyed(docs)
+    live, repository = free_name(docs, "_live"), free_name(docs, "_repository")
+    held = rows.select(key, "text", "source", F.concat_ws("/", "source", "lang").alias(repository))
+    found = secrets.scan(held, repository=repository, owner="source", columns=[key]).where("n_live > 0")
+    spans = stored(found.groupBy(key).agg(F.max("live_spans").alias(live)), "pipeline-spans")
+    met, others = met_and_others(rows, spans.select(key), key)
+    joined = met.join(spans, key, "left")
+    hit = F.col(live).isNotNull()
+    out = joined.withColumn("text", F.when(hit, secrets.redacted(F.coalesce("text", F.lit("")), F.col(live))).otherwise(F.col("text")))
     if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("_live").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(hit, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*columns).unionByName(others.select(*columns))
 
 
