@@ -164,6 +164,44 @@ def _reasons() -> str:
     return " UNION ALL ".join(f"SELECT event_id, '{r}' AS rule_id, '{why}' AS reason FROM ({_CTX}) AS ctx WHERE {when}" for r, when, why in cases)
 
 
+def _typed_rows(cases: list[tuple[str, str, str, str]]) -> str:
+    """``(event_id, rule_id, type, result)`` of cases: rule, when it has a result, its type and its text."""
+    return " UNION ALL ".join(
+        f"SELECT event_id, '{r}' AS rule_id, CASE WHEN {when} THEN {kind} END AS type, CASE WHEN {when} THEN CAST({text} AS VARCHAR) END AS result FROM ({_CTX}) AS ctx"
+        for r, when, kind, text in cases
+    )
+
+
+def _rules_long_typed() -> str:
+    kinds = {"r1": "string", "r2": "string", "r3": "string", "r4": "string", "r5": "bigint", "r6": "bigint", "r7_int": "bigint", "r9": "bigint", "r10": "boolean"}
+    own = [(r, f"({RULES_DUCKDB[r]}) IS NOT NULL", f"'{kind}'", f"({RULES_DUCKDB[r]})") for r, kind in kinds.items()]
+    first, number = _split_at("text5", ":", 1), _parse(_split_at("text5", ":", 1), "INTEGER")
+    return _typed_rows([
+        *own,
+        ("r7_dec", "true", "'decimal'", f"rtrim(rtrim(CAST({RULES_DUCKDB['r7_dec']} AS VARCHAR), '0'), '.')"),
+        ("m8", "true", f"CASE WHEN {_X} > 0 THEN 'bigint' ELSE 'string' END", RULES_DUCKDB["r8"]),
+        ("m_if", "true", "CASE WHEN f IS NULL THEN 'boolean' WHEN f > 4 THEN 'bigint' ELSE 'string' END",
+         "CASE WHEN f IS NULL THEN 'false' WHEN f > 4 THEN CAST(f AS VARCHAR) ELSE 'few' END"),
+        ("m_first", f"({first}) IS NOT NULL", f"CASE WHEN {number} IS NULL THEN 'string' ELSE 'bigint' END", f"coalesce(CAST({number} AS VARCHAR), {first})"),
+    ])
+
+
+def _rules_variant() -> str:
+    kind = "event_id % 4"  # 0: d is a number, 1: a text, 2: a decimal and f is missing, 3: d is a truth value and text1 a number
+    d = f"CASE {kind} WHEN 2 THEN CAST(CAST(d + 0.25 AS DECIMAL(38, 10)) AS VARCHAR) WHEN 3 THEN CAST(d > 5 AS VARCHAR) ELSE CAST(d AS VARCHAR) END"
+    return _typed_rows([
+        ("y_add", f"{kind} <> 3", f"CASE {kind} WHEN 0 THEN 'bigint' WHEN 1 THEN 'double' ELSE 'decimal' END",
+         f"CASE {kind} WHEN 0 THEN CAST(d + 1 AS VARCHAR) WHEN 1 THEN CAST(CAST(d + 1 AS DOUBLE) AS VARCHAR) ELSE CAST(d + 1.25 AS VARCHAR) END"),
+        ("y_text", f"{kind} <> 3 AND ({_split_at('text1', ':', 1)}) IS NOT NULL", "'string'", f"{_split_at('text1', ':', 1)} || '.step'"),
+        ("y_join", "true", "'string'", f"{d} || '/' || CASE {kind} WHEN 3 THEN CAST(d AS VARCHAR) ELSE text1 END"),
+        ("y_member", f"{kind} <> 2 AND f IS NOT NULL", "'boolean'", "f IN (1, 2, 3, 4, 5)"),
+        ("y_mixed", "true", f"CASE WHEN {kind} = 1 THEN 'string' ELSE 'bigint' END",
+         f"CASE {kind} WHEN 1 THEN text1 WHEN 3 THEN CAST(d AS VARCHAR) ELSE CAST(length // 3 AS VARCHAR) END"),
+        ("y_part", f"{kind} <> 3", "'bigint'", "d + 5"),
+        ("y_missing", "false", "''", "''"),
+    ])
+
+
 _PRECISE_RULES = {
     **{r: RULES_DUCKDB[r] for r in ("r1", "r2", "r3", "r4")},
     **{r: f"CAST({RULES_DUCKDB[r]} AS DECIMAL(38, 10))" for r in ("r5", "r6")},
@@ -214,6 +252,8 @@ GROUP BY a.sch_org_id, a.org_id, a.inv_item_id
 """,
     "rules_wide": _rules_select(ALL_RULES),
     "rules_long": _rules_long(),
+    "rules_long_typed": _rules_long_typed(),
+    "rules_variant": _rules_variant(),
     "rules_failures": _rules_failures(),
     "rule_split_index": _rules_select(("r1", "r2")),
     "rule_nested_split": _rules_select(("r3", "r4")),

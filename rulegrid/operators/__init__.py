@@ -1,3 +1,4 @@
+from rulegrid.operators.dynamic import rules_variant
 from rulegrid.operators.joined_rows import join_rows
 from rulegrid.operators.keyed_sums import (
     DEFAULT_ORG_CONSTANT,
@@ -18,6 +19,7 @@ from rulegrid.operators.rules import (
     project_rules,
     rules_failures,
     rules_long,
+    rules_long_typed,
     rules_reasons,
     rules_wide,
 )
@@ -40,6 +42,8 @@ __all__ = [
     "join_two_keys",
     "rules_failures",
     "rules_long",
+    "rules_long_typed",
     "rules_reasons",
+    "rules_variant",
     "rules_wide",
 ]

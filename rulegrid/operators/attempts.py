@@ -166,17 +166,35 @@ def _parse(kind: str) -> Callable:
 HELPERS: dict[str, Callable[..., Column]] = {"split_at": _split_at, "substr_strict": _substr_strict, "parse_int": _parse("int"), "parse_long": _parse("bigint")}
 
 
+def variables(rule: Node, taken: frozenset[str] = frozenset()) -> list[tuple[Node, str]]:
+    """The places of ``rule``'s variables with their names as written; arguments of its lambda functions (``taken``) are none.
+
+    Inside a lambda function, Spark's parser makes no difference between its arguments and variables."""
+    if rule.kind in ("UnresolvedAttribute", "UnresolvedNamedLambdaVariable"):
+        parts = rule.expression.nameParts()
+        name = ".".join(parts.apply(i) for i in range(parts.size()))
+        return [] if name.lower() in taken else [(rule, name)]
+    if rule.kind == "LambdaFunction":
+        own = frozenset(p.expression.nameParts().apply(0).lower() for p in rule.parts[1:])
+        return variables(rule.parts[0], taken | own)
+    return [x for p in rule.parts for x in variables(p, taken)]
+
+
 class Inlined:
-    """A parsed rule as a column without SQL functions; with ``strict`` its helpers raise where the JDK's calls throw."""
+    """A parsed rule as a column without SQL functions; with ``strict`` its helpers raise where the JDK's calls throw.
 
-    def __init__(self, spark: SparkSession, strict: bool):
-        self.spark, self.strict = spark, strict
+    ``bound``: columns that stand for parts of the rule."""
+
+    def __init__(self, spark: SparkSession, strict: bool, bound: dict[Node, Column] | None = None):
+        self.spark, self.strict, self.bound = spark, strict, bound or {}
         self.built: dict[Node, object] = {}
 
     def _expression(self, node: Node):
         if node not in self.built:
             own = [self._expression(p) for p in node.parts]
-            if node.name in HELPERS:
+            if node in self.bound:
+                self.built[node] = _utils(self.spark).expression(self.bound[node]._jc)
+            elif node.name in HELPERS:
                 self.built[node] = _utils(self.spark).expression(HELPERS[node.name](self.strict, *map(self._as_column, own))._jc)
             else:
                 self.built[node] = node.expression.withNewChildren(self.spark._jvm.PythonUtils.toSeq(own)) if own else node.expression
@@ -249,10 +267,28 @@ class Precise:
         return Column(self.utils.column(node.expression.withNewChildren(self.spark._jvm.PythonUtils.toSeq(parts))))
 
 
-def forgiving(df: DataFrame, text: str, precise: bool = False) -> Column:
-    """The column of a rule that gives null where it raises; for use on ``lenient(df)``."""
+def typed(rule: Node, build: Callable[[Node], Column]) -> Column:
+    """``rule`` as a VARIANT: every branch that may give the result keeps its own type.  ``build`` makes the parts' columns."""
+    name = rule.name or rule.kind
+    if name == "CaseWhen" or name == "if":
+        *pairs, last = rule.parts if len(rule.parts) % 2 else [*rule.parts, None]
+        out = F
+        for condition, value in zip(pairs[::2], pairs[1::2]):
+            out = out.when(build(condition), typed(value, build))
+        return out.otherwise(typed(last, build)) if last else out
+    if name in ("coalesce", "nvl", "ifnull"):
+        return F.coalesce(*[typed(p, build) for p in rule.parts])
+    return build(rule).cast("variant")
+
+
+def forgiving(df: DataFrame, text: str, precise: bool = False, variant: bool = False) -> Column:
+    """The column of a rule that gives null where it raises; for use on ``lenient(df)``.  ``variant``: with its type in the value."""
     spark = df.sparkSession
     rule = parse(spark, text)
+    if variant:
+        build = (Precise(df) if precise else Inlined(spark, False)).column
+        column = typed(parse(spark, text, with_expressions=True), build)
+        return column if is_total(df, rule) else guarded(column)
     if is_total(df, rule):
         return Precise(df).column(parse(spark, text, with_expressions=True)) if precise else F.expr(text)
     if precise:

@@ -29,7 +29,7 @@ from typing import Any
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, StringType, VariantType
 
 from rulegrid.functions import register_functions
 from rulegrid.operators.attempts import NOT_COMPILED, Reasons, back, bad_pattern, forgiving, lenient, parse, strict
@@ -56,7 +56,7 @@ class RuleProjection:
         return list(self.types)
 
 
-def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str], also: Sequence[str] = (), precise: bool = False) -> DataFrame:
+def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str], also: Sequence[str] = (), precise: bool = False, variant: bool = False) -> DataFrame:
     """``keys`` + one struct per rule, holding the rule's value in field ``v``.
 
     A rule inside a struct next to a real column cannot be an aggregate or a
@@ -66,7 +66,7 @@ def _project(df: DataFrame, keys: Sequence[str], texts: list[Column | str], also
     ``also``: columns passed through under names of their own.
     """
     anchor = [F.col(_quoted(k)) for k in keys] or [F.col(_quoted(df.columns[0]))]
-    wrapped = [F.struct((forgiving(df, t, precise) if isinstance(t, str) else t).alias("v")).alias(f"{_prefix(df)}rule{i}") for i, t in enumerate(texts)]
+    wrapped = [F.struct((forgiving(df, t, precise, variant) if isinstance(t, str) else t).alias("v")).alias(f"{_prefix(df)}rule{i}") for i, t in enumerate(texts)]
     out = df.select(*anchor, *(F.col(_quoted(c)).alias(f"{_prefix(df)}var{i}") for i, c in enumerate(also)), *wrapped)
     if re.search(r"^[\s:+|-]*Window \[", out._jdf.queryExecution().analyzed().toString(), re.M):
         raise AnalysisException("window functions are not row-wise rules")
@@ -83,8 +83,9 @@ def _quoted(name: str) -> str:
 
 
 def _compiled(
-    df: DataFrame, rules: Mapping[str, str], keys: Sequence[str], fallback_types: Mapping[str, DataType] | None, also: Sequence[str] = (), precise: bool = False
-) -> RuleProjection:
+    df: DataFrame, rules: Mapping[str, str], keys: Sequence[str], fallback_types: Mapping[str, DataType] | None, also: Sequence[str] = (), precise: bool = False,
+    variant: bool = False,
+) -> RuleProjection:
     """``keys`` + one column per rule in rule order, by names that no key or rule id can equal or break."""
     spark = df.sparkSession
     register_functions(spark)
@@ -97,7 +98,7 @@ def _compiled(
         try:
             message = bad_pattern(spark, parse(spark, text))
             if not message and alone:
-                _project(own, keys, [text], (), precise)
+                _project(own, keys, [text], (), precise, variant)
         except PySparkException as exc:  # parse or analysis error
             message = str(exc).strip().splitlines()[0]
         if not message:
@@ -108,11 +109,11 @@ def _compiled(
 
     try:
         texts = [compiled(r, t, False) for r, t in rules.items()]
-        wrapped = _project(own, keys, texts, also, precise)
+        wrapped = _project(own, keys, texts, also, precise, variant)
     except PySparkException:
         problems.clear()
         texts = [compiled(r, t, True) for r, t in rules.items()]
-        wrapped = _project(own, keys, texts, also, precise)
+        wrapped = _project(own, keys, texts, also, precise, variant)
     wrapped = back(wrapped, df)
     names = tuple(f"{_prefix(df)}r{i}" for i in range(len(rules)))
     values = [F.col(f"{_prefix(df)}rule{i}.v").alias(n) for i, n in enumerate(names)]
@@ -193,6 +194,32 @@ def rules_long(
     return _unpivoted(found.frame.select(*kept, *as_text), rules, list(keys), found.own, result_col)
 
 
+def rules_long_typed(df: DataFrame, rules: Mapping[str, str], keys: Sequence[str], precise: bool = False) -> DataFrame:
+    """``(keys..., rule_id, type, result)``: as :func:`rules_long`, with results as VARIANTs that keep their types.
+
+    The branches of a ``CASE``, ``if`` or ``coalesce`` that gives a rule's result are not brought to one type: of
+    ``if(a > 0, 2, 'none')`` the 2 stays a number.  ``type`` names the value's type (:func:`variant_kind`); both are null
+    where a rule fails.  A rule whose result has no VARIANT form (a struct, a map) is reported as not compiling.
+    """
+    found = _compiled(df, rules, keys, {r: VariantType() for r in rules}, precise=precise, variant=True)
+    return typed_rows(found.frame, rules, keys, found.own)
+
+
+def variant_kind(value: Column) -> Column:
+    """The type of a VARIANT value in one word: bigint, decimal, double, string, boolean, date, array, object, ..; void: a null inside."""
+    return F.lower(F.regexp_extract(F.schema_of_variant(value), "^[A-Z_]+", 0))
+
+
+def typed_rows(frame: DataFrame, rules: Mapping[str, str], keys: Sequence[str], own: Sequence[str]) -> DataFrame:
+    """``(keys..., rule_id, type, result)`` of a frame of keys and one VARIANT column per rule, named ``own``."""
+    kept = [F.col(_quoted(k)) for k in keys]
+    if not rules:
+        empty = [F.lit(None).cast(t).alias(c) for c, t in (("rule_id", "string"), ("type", "string"), ("result", "variant"))]
+        return frame.select(*kept, *empty).where(F.lit(False))
+    long = _unpivoted(frame, rules, list(keys), own, "result")
+    return long.select(*kept, "rule_id", variant_kind(F.col("result")).alias("type"), "result")
+
+
 def rules_failures(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """``(n, rule_id, n_failed)``: records seen and records where the rule gave null.
 

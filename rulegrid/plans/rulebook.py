@@ -88,6 +88,25 @@ EXPLAINED_RULES = {
 }
 
 
+# Rules with results of mixed types; rule 8 as the source has it, a number or a text.
+MIXED_RULES = {
+    "m8": f"CASE WHEN {_DISCRIMINANT} > 0 THEN 2 WHEN {_DISCRIMINANT} <= 0 THEN '1 or 0' END",
+    "m_if": r"if(f IS NULL, false, if(f > 4, f, 'few'))",
+    "m_first": r"coalesce(parse_int(split_at(text5, ':', 1)), split_at(text5, ':', 1))",
+}
+
+# Rules over records whose variables differ in type from record to record.
+DYNAMIC_RULES = {
+    "y_add": "d + 1",
+    "y_text": r"split_at(text1, ':', 1) || '.step'",
+    "y_join": "concat(d, '/', text1)",
+    "y_member": "f IN (1, 2, 3, 4, 5)",
+    "y_mixed": "CASE WHEN length % 2 = 0 THEN length div 3 ELSE text1 END",
+    "y_part": "try_add(parse_int(split_at(d, '[.]', 0)), 5)",
+    "y_missing": "no_such_variable + 1",
+}
+
+
 def pick(*rule_ids: str) -> dict[str, str]:
     merged = {**EXAMPLE_RULES, **EXAMPLE_RULES_DECIMAL, **EXAMPLE_RULES_LONG}
     return {rule_id: merged[rule_id] for rule_id in rule_ids}

@@ -63,6 +63,16 @@ SELECT
 FROM {events}
 """
 
+# The variables of a record, one VARIANT each: d is a number, a text, a decimal or a truth value.  To be selected from records.
+DYNAMIC_SQL = """
+SELECT event_id, CASE event_id % 4
+  WHEN 0 THEN to_variant_object(named_struct('d', d, 'text1', text1, 'length', length, 'f', f))
+  WHEN 1 THEN to_variant_object(named_struct('d', cast(d AS string), 'text1', text1, 'length', length, 'f', f))
+  WHEN 2 THEN to_variant_object(named_struct('d', cast(d + 0.25BD AS decimal(10, 2)), 'text1', text1, 'length', length))
+  ELSE to_variant_object(named_struct('d', d > 5, 'text1', d, 'length', length, 'f', f)) END AS record
+FROM {contexts}
+"""
+
 
 def for_duckdb(template: str, **subqueries: str) -> str:
     """Fill a template for DuckDB: base tables by view name, derived ones as subqueries."""
@@ -105,3 +115,8 @@ def key_list(spark: SparkSession, data_dir: str, nation: int = 7) -> DataFrame:
 def contexts(spark: SparkSession, data_dir: str) -> DataFrame:
     """Evaluation records: a projection of the events, with the events' own partitions."""
     return spark.sql(CONTEXTS_SQL, events=read_table(spark, data_dir, "events"))
+
+
+def dynamic_contexts(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The evaluation records with their variables in one VARIANT column, ``record``, of types that differ by record."""
+    return spark.sql(DYNAMIC_SQL, contexts=contexts(spark, data_dir))
