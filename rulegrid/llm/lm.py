@@ -1,21 +1,23 @@
-"""A language model by deleted interpolation, and its scores of texts.
+"""A language model by deleted interpolation over words, and its scores of texts.
 
-Tokens are the words of a text, then one end.  Word counts are taken over all training texts and grow with them; they stay
-distributed.  A word's class is the word itself for the ``HEAD`` most frequent ones, else its last two bytes (folded into ``ENDINGS`` classes), so
-the n-gram tables have a fixed size however large the corpus and can be sent to every task:
+Tokens are the words of a text, then one end; two ends stand before it.  Orders 0 to 3 are 1 / (V + 1), and the maximum-likelihood
+estimates c(w) / N, c(v w) / c(v) and c(u v w) / c(u v) from the counts of every word, pair and triple of all training texts, so what is
+gathered grows with the corpus.  They are mixed by weights per bucket: the power of two of the triple's context frequency, or, where that
+context was never seen, whether the pair's context was.  The weights come from expectation-maximisation on a tenth of the training texts,
+against the counts without these texts.  An order whose context was never seen has no weight, so the mixture adds up to 1.
 
-* order 0: 1 / classes; order 1: class counts; order 2: counts of class pairs;
-* order 3: counts of triples of ``COARSE`` coarser classes, times the share of the class in its coarse class.
+How the counts reach the texts:
 
-All are maximum-likelihood estimates over the whole training part.  They are mixed by weights that depend on the bucket (power of two) of the
-frequency of the third order's context; the weights come from expectation-maximisation on the counts of a held-out tenth of the training texts, against
-the tables with those texts' counts deleted.  The probability of a word is that of its class times (c + 0.1) / (class count + 0.1 * (class words + 1)).
+* texts are cut into blocks of ``BLOCK_TOKENS`` tokens, written once (a longer text is spread over blocks, two tokens repeated in front);
+* a block sends its distinct n-grams with their counts, cut by ranges of the n-gram's hash; one task adds up one range.  An n-gram comes
+  from a block once, however frequent it is, so no key is hot, and ranges of a hash hold equal shares;
+* the totals go back to their block in the order in which it sent the n-grams, without them, and are written beside its tokens.
 
-Scoring looks the ``KNOWN`` most frequent words up in a broadcast table of fixed size; the others' counts come from a join of (document, word) rows with the
-word counts, so no frequent word is a key of that shuffle.
+N-grams are known by 62 bits of a hash and their order.  ``RANGE`` n-grams are added up in one task.
 
 Results for odd input: a null or empty text is one end token; equal rows are scored each; a null doc_id is in the training part;
-without any training text every count is 0; an empty table gives no rows; very long texts are read in parts; other columns are ignored.
+without any training text every count is 0 and every token has probability 1; without texts in the deleted tenth the weights are equal;
+an empty table gives no rows; very long texts are read in parts and held as 8 bytes a word while they are cut; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,15 +34,13 @@ from pyspark.sql import functions as F
 from rulegrid.llm.shared import ship, stored
 from rulegrid.llm.words import mix, words_of
 
-HEAD, ENDINGS, COARSE = 767, 256, 96
-CLASSES = HEAD + ENDINGS + 1
-END_CLASS = CLASSES - 1
 END = np.uint64(0x5EED0E4D)
-KNOWN = 100_000
-BLOCK_TOKENS = 2_000_000
-BUCKETS, STEPS = 24, 64
+BLOCK_TOKENS = 1 << 20
+RANGE = 1 << 22
+CONTEXTS = 48  # buckets of contexts seen, by the power of two of their frequency
+PAIR_ONLY, UNSEEN = CONTEXTS, CONTEXTS + 1
+BUCKETS, STEPS = CONTEXTS + 2, 128
 HELD_OUT, DELETED = 0, 1
-PAIRS = CLASSES * CLASSES
 
 
 def part_of(doc_id: int | None) -> int:
@@ -48,156 +48,229 @@ def part_of(doc_id: int | None) -> int:
     return -1 if doc_id is None else zlib.crc32(str(doc_id).encode()) % 10
 
 
-def _tokens(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per group of rows: part of each row, tokens, their endings, and the row borders; an end closes every row."""
-    parts = np.array([part_of(x) for x in batch["doc_id"].to_pylist()], np.int64)
-    for group in words_of(batch["text"]):
-        n = len(group.bounds) - 1
-        bounds = group.bounds + np.arange(n + 1)
-        tokens = np.insert(group.hashes, group.bounds[1:], END)
-        endings = np.insert(group.endings, group.bounds[1:], 0)
-        yield parts[group.first : group.first + n], tokens, endings, bounds
+def squeeze(values: np.ndarray) -> bytes:
+    """64-bit numbers as compressed bytes, those of equal place in their numbers together."""
+    raw = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _ending_class(endings: np.ndarray) -> np.ndarray:
-    return (endings.astype(np.int64) * 40503 >> 7) % ENDINGS
+def unsqueeze(data: bytes, kind: type = np.int64) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(word, ending, n)`` of the training texts, summed over blocks of about ``BLOCK_TOKENS`` tokens."""
-    held: list[np.ndarray] = []
-    ends: list[np.ndarray] = []
-    size = 0
+# Blocks: fragments of texts, each after two tokens of history.
 
-    def emit() -> pa.RecordBatch:
-        words, first, n = np.unique(np.concatenate(held), return_index=True, return_counts=True)
-        ending = _ending_class(np.concatenate(ends)[first])
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(ending.astype(np.int32)), pa.array(n)], names=["word", "ending", "n"])
+_BLOCK = "block long, train long, deleted long, train_ends long, deleted_ends long, words binary, tokens binary, bounds binary, rids binary, parts binary, doc_ids array<long>"
+_BLOCK_NAMES = [c.split()[0] for c in _BLOCK.split(", ")]
 
-    for batch in batches:
-        for part, tokens, endings, bounds in _tokens(batch):
-            train = np.repeat(part != HELD_OUT, np.diff(bounds))
-            held.append(tokens[train])
-            ends.append(endings[train])
-            size += len(held[-1])
-            if size >= BLOCK_TOKENS:
-                yield emit()
-                held, ends, size = [], [], 0
-    if held:
-        yield emit()
-
-
-class Classes:
-    """The class of every token, from the most frequent words."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray):
-        """words: by falling count."""
-        head = words[: HEAD + 1]
-        head = head[head != END][:HEAD]
-        self.head, self.number = np.sort(head), np.argsort(head)
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-
-    def of(self, tokens: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        out = HEAD + _ending_class(endings)
-        if len(self.head):
-            at = np.minimum(np.searchsorted(self.head, tokens), len(self.head) - 1)
-            hit = self.head[at] == tokens
-            out[hit] = self.number[at[hit]]
-        out[tokens == END] = END_CLASS
-        return out
-
-    def known(self, tokens: np.ndarray) -> np.ndarray:
-        """Counts of tokens in the broadcast table, -1 for others."""
-        if not len(self.words):
-            return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return np.where(self.words[at] == tokens, self.counts[at], -1)
-
-
-def coarse(classes: np.ndarray) -> np.ndarray:
-    """The 63 most frequent words and the end stand for themselves, other classes share 32."""
-    return np.where(classes < 63, classes, np.where(classes == END_CLASS, 63, 64 + classes % (COARSE - 64)))
-
-
-def _histories(classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The classes one and two tokens before; before a text stand ends."""
-    one = np.concatenate([[END_CLASS], classes[:-1]])
-    two = np.concatenate([[END_CLASS, END_CLASS], classes[:-2]])[: len(classes)]
-    two[bounds[:-1]] = END_CLASS
-    second = bounds[:-1] + 1
-    two[second[second < len(two)]] = END_CLASS
-    return one, two
-
-
-def _cells(classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    one, two = _histories(classes, bounds)
-    return one * CLASSES + classes, (coarse(two) * COARSE + coarse(one)) * COARSE + coarse(classes)
-
-
-def _count_cells(shared) -> Callable:
-    """``(cell, n, deleted)`` of class pairs, then triples, of the training texts: one row per cell and task."""
 
+class _Block:
+    def __init__(self, number: int):
+        self.number, self.size = number, 0
+        self.tokens: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+        self.rids: list[np.ndarray] = []
+        self.parts: list[np.ndarray] = []
+        self.ids: list[pa.Array] = []
+
+    def add(self, tokens: np.ndarray, sizes: np.ndarray, rids: np.ndarray, parts: np.ndarray, ids: pa.Array) -> None:
+        for held, new in ((self.tokens, tokens), (self.sizes, sizes), (self.rids, rids), (self.parts, parts), (self.ids, ids)):
+            held.append(new)
+        self.size += len(tokens)
+
+    def row(self) -> pa.RecordBatch:
+        tokens, parts = np.concatenate(self.tokens), np.concatenate(self.parts)
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate(self.sizes))])
+        _, real = _places(bounds)
+        of = np.repeat(parts, np.diff(bounds))
+        chosen = [real & (of != HELD_OUT), real & (of == DELETED)]
+        words, index = np.unique(tokens, return_inverse=True)
+        numbers = [self.number, *(int(c.sum()) for c in chosen), *(int((tokens[c] == END).sum()) for c in chosen)]
+        arrays = [squeeze(x) for x in (words, index.astype(np.int64), bounds, np.concatenate(self.rids), parts)]
+        ids = pa.concat_arrays(self.ids)
+        columns = [*[pa.array([x], pa.int64()) for x in numbers], *[pa.array([x], pa.binary()) for x in arrays], pa.ListArray.from_arrays([0, len(ids)], ids)]
+        return pa.RecordBatch.from_arrays(columns, names=_BLOCK_NAMES)
+
+
+def _places(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places after the first of each fragment, and those of its own tokens (after the two of history)."""
+    later = np.ones(int(bounds[-1]), bool)
+    later[bounds[:-1]] = False
+    real = later.copy()
+    real[bounds[:-1] + 1] = False
+    return later, real
+
+
+def _blocks(size: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = shared.value
-        totals = np.zeros((2, PAIRS + COARSE**3), np.int32)
+        rid = number = TaskContext.get().partitionId() << 33
+        block = _Block(number)
         for batch in batches:
-            for part, tokens, endings, bounds in _tokens(batch):
-                pair, triple = _cells(classes.of(tokens, endings), bounds)
-                of = np.repeat(part, np.diff(bounds))
-                for row, chosen in ((0, of != HELD_OUT), (1, of == DELETED)):
-                    for cells, offset in ((pair, 0), (triple, PAIRS)):
-                        cell, n = np.unique(cells[chosen], return_counts=True)
-                        totals[row, cell + offset] += n.astype(np.int32)
-        used = np.flatnonzero(totals[0])
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[0, used].astype(np.int64)), pa.array(totals[1, used].astype(np.int64))], names=["cell", "n", "deleted"])
+            ids = batch["doc_id"].cast(pa.int64())
+            parts = np.array([part_of(x) for x in ids.to_pylist()], np.int64)
+            for group in words_of(batch["text"]):
+                n = len(group.bounds) - 1
+                tokens = np.full(len(group.hashes) + 3 * n, END)
+                tokens[np.arange(len(group.hashes)) + 3 * group.row_of_word() + 2] = group.hashes
+                part, own = parts[group.first : group.first + n], ids.slice(group.first, n)
+                if n > 1 or len(tokens) <= size:
+                    fragments = [(tokens, np.diff(group.bounds) + 3)]
+                else:
+                    cuts = [tokens[at - 2 : at + size] for at in range(2, len(tokens), size)]
+                    fragments = [(x, np.array([len(x)])) for x in cuts]
+                for piece, sizes in fragments:
+                    block.add(piece, sizes, np.arange(rid, rid + n), part, own)
+                    if block.size >= size:
+                        yield block.row()
+                        number += 1
+                        block = _Block(number)
+                rid += n
+        if block.size:
+            yield block.row()
 
     return run
 
 
-class Orders:
-    """Maximum-likelihood estimates of all orders from pair and triple counts."""
+# Counts.
+
+
+def _ngrams(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words and pairs that end after the first place of a fragment, and triples that end at its own tokens."""
+    later, real = _places(bounds)
+    pair = tokens.copy()
+    pair[1:] = mix(tokens[:-1] * np.uint64(0x9E3779B185EBCA87) + tokens[1:])
+    triple = tokens.copy()
+    triple[1:] = mix(pair[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + tokens[1:])
+    return tuple((x[at] & ~np.uint64(3)) | np.uint64(order) for order, x, at in ((1, tokens, later), (2, pair, later), (3, triple, real)))
 
-    def __init__(self, cells: np.ndarray):
-        pairs = cells[:PAIRS].reshape(CLASSES, CLASSES)
-        triples = cells[PAIRS:].reshape(COARSE * COARSE, COARSE)
-        single = pairs.sum(0)
-        self.one = single / max(1, single.sum())
-        self.two = (pairs / np.maximum(pairs.sum(1, keepdims=True), 1)).astype(np.float32).ravel()
-        context = triples.sum(1)
-        self.three = (triples / np.maximum(context, 1)[:, None]).astype(np.float32).ravel()
-        of = coarse(np.arange(CLASSES))
-        total = np.bincount(of, single, COARSE)
-        self.inside = single / np.maximum(total[of], 1)
-        self.bucket = np.minimum(np.log2(context + 1).astype(np.int64), BUCKETS - 1)
 
-    def estimates(self, classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket of every token, and its probability by orders 0 to 3."""
-        pair, triple = _cells(classes, bounds)
-        p = np.stack([np.full(len(classes), 1 / CLASSES), self.one[classes], self.two[pair], self.three[triple] * self.inside[classes]])
-        return self.bucket[triple // COARSE], p
+def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, fragment bounds and parts of a block."""
+    tokens = unsqueeze(row["words"], np.uint64)[unsqueeze(row["tokens"])]
+    return tokens, unsqueeze(row["bounds"]), unsqueeze(row["parts"])
 
 
-def _events(shared) -> Callable:
-    """``(event, n)`` over the deleted texts: bucket and the estimates in half steps of a power of two (0: impossible)."""
+def _send(bits: int) -> Callable:
+    """``(part, block, grams, n, deleted)``: a block's distinct n-grams of one range of hashes, and their counts in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, orders = shared.value
         for batch in batches:
-            for part, tokens, endings, bounds in _tokens(batch):
-                chosen = np.repeat(part == DELETED, np.diff(bounds))
-                if not chosen.any():
-                    continue
-                bucket, p = orders.estimates(classes.of(tokens, endings), bounds)
-                with np.errstate(divide="ignore"):
-                    step = np.where(p > 0, np.minimum(np.floor(-2 * np.log2(np.maximum(p, 1e-30))) + 1, STEPS - 1), 0).astype(np.int64)
-                event, n = np.unique((((bucket * STEPS + step[1]) * STEPS + step[2]) * STEPS + step[3])[chosen], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(event), pa.array(n)], names=["event", "n"])
+            for row in range(len(batch)):
+                one = {c: batch[c][row].as_py() for c in ("block", "words", "tokens", "bounds", "parts")}
+                tokens, bounds, parts = _open(one)
+                grams, inverse = np.unique(np.concatenate(_ngrams(tokens, bounds)), return_inverse=True)
+                later, real = _places(bounds)
+                of = np.repeat(parts, np.diff(bounds))
+                counts = []
+                for chosen in (real & (of != HELD_OUT), real & (of == DELETED)):
+                    weight = np.concatenate([chosen[later], chosen[later], chosen[real]])
+                    counts.append(np.bincount(inverse[weight], minlength=len(grams)).astype(np.int64))
+                ranges = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+                first = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
+                cuts = [slice(a, b) for a, b in zip(first, [*first[1:], len(grams)])]
+                sent = [[squeeze(np.diff(grams[c], prepend=np.uint64(0))) for c in cuts], *[[squeeze(x[c]) for c in cuts] for x in counts]]
+                columns = [pa.array(ranges[first].astype(np.int32)), pa.array([one["block"]] * len(cuts), pa.int64()), *[pa.array(x, pa.binary()) for x in sent]]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "grams", "n", "deleted"])
+
+    return run
+
+
+_TOTALS = "part int, block long, known long, n binary, deleted binary"
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One range of hashes: the totals of every block's n-grams in the order sent; a row without a block holds the number of known words."""
+    rows = [x for batch in batches for x in batch.to_pylist()]
+    if not rows:
+        return
+    sent = [np.cumsum(unsqueeze(x["grams"], np.uint64), dtype=np.uint64) for x in rows]
+    grams, inverse = np.unique(np.concatenate(sent), return_inverse=True)
+    totals = []
+    for name in ("n", "deleted"):
+        # Sums of whole numbers in doubles are exact below 2 ** 53.
+        totals.append(np.bincount(inverse, np.concatenate([unsqueeze(x.pop(name)) for x in rows]), len(grams)).astype(np.int64))
+    known = int((((grams & np.uint64(3)) == 1) & (totals[0] > 0)).sum())
+    names = [c.split()[0] for c in _TOTALS.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((rows[0]["part"], None, known, None, None), kinds)], names=names)
+    at = 0
+    for row, own in zip(rows, sent):
+        back = inverse[at : at + len(own)]
+        at += len(own)
+        values = (row["part"], row["block"], None, *(squeeze(x[back]) for x in totals))
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds)], names=names)
+
+
+_COUNTED = "block long, n binary, deleted binary, bounds binary, fresh binary, rids binary, parts binary, doc_ids array<long>"
+
+
+def _give_back(block: pa.Table, totals: pa.Table) -> pa.Table:
+    """A block's counts at every place of its fragments: words, pairs and triples that end there (0 where there is none)."""
+    row = block.to_pylist()[0]
+    tokens, bounds, parts = _open(row)
+    words, pairs, triples = _ngrams(tokens, bounds)
+    _, inverse = np.unique(np.concatenate([words, pairs, triples]), return_inverse=True)
+    later, real = _places(bounds)
+    order = totals.sort_by("part")
+
+    def spread(name: str) -> bytes:
+        total = np.concatenate([unsqueeze(x) for x in order[name].to_pylist()])[inverse]
+        out = np.zeros((3, len(tokens)), np.int64)
+        out[0, later], out[1, later], out[2, real] = np.split(total, [len(words), len(words) + len(pairs)])
+        return squeeze(out.ravel())
+
+    fresh = ((tokens[bounds[:-1]] == END) & (tokens[bounds[:-1] + 1] == END)).astype(np.int64)
+    out = [row["block"], spread("n"), spread("deleted") if (parts == DELETED).any() else None, row["bounds"], squeeze(fresh), row["rids"], row["parts"], row["doc_ids"]]
+    kinds = [pa.int64(), *[pa.binary()] * 6, pa.list_(pa.int64())]
+    return pa.Table.from_arrays([pa.array([x], k) for x, k in zip(out, kinds)], names=[c.split()[0] for c in _COUNTED.split(", ")])
+
+
+# The model.
+
+
+def estimates(counts: np.ndarray, bounds: np.ndarray, fresh: np.ndarray, tokens: int, texts: int, known: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of every own token of the fragments, and its probability by orders 0 to 3."""
+    _, real = _places(bounds)
+    before = np.zeros_like(counts[:2])
+    before[:, 1:] = counts[:2, :-1]
+    before[1, bounds[:-1][fresh > 0] + 2] = texts  # two ends, the history of a text's first token
+    own, pair, triple = counts[:, real], before[0, real], before[1, real]
+    ratios = [x / np.maximum(y, 1) for x, y in ((own[0], np.int64(tokens)), (own[1], pair), (own[2], triple))]
+    bucket = np.minimum(np.log2(np.maximum(triple, 1)).astype(np.int64), CONTEXTS - 1)
+    bucket = np.where(triple > 0, bucket, np.where(pair > 0, PAIR_ONLY, UNSEEN))
+    return bucket, np.stack([np.full(own.shape[1], 1 / (known + 1)), *ratios])
+
+
+def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(len(batch)):
+            row = {c: batch[c][i].as_py() for c in batch.schema.names}
+            yield {**row, **{c: unsqueeze(row[c]) for c in ("bounds", "fresh", "rids", "parts")}}
+
+
+def event_of(bucket: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Bucket and the estimates of orders 1 to 3 in half steps of a power of two (0: impossible), as one number."""
+    step = np.where(p > 0, np.minimum(np.floor(-2 * np.log2(np.maximum(p, 1e-30))) + 1, STEPS - 1), 0).astype(np.int64)
+    return ((bucket * STEPS + step[1]) * STEPS + step[2]) * STEPS + step[3]
+
+
+def _events(tokens: int, texts: int, known: int) -> Callable:
+    """``(event, n)`` over the deleted texts, against the counts without them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _fragments(batches):
+            counts = (unsqueeze(block["n"]) - unsqueeze(block["deleted"])).reshape(3, -1)
+            bucket, p = estimates(counts, block["bounds"], block["fresh"], tokens, texts, known)
+            chosen = np.repeat(block["parts"] == DELETED, np.diff(block["bounds"]) - 2)
+            event, n = np.unique(event_of(bucket, p)[chosen], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(event), pa.array(n)], names=["event", "n"])
 
     return run
 
 
-def mixture(event: np.ndarray, n: np.ndarray, rounds: int = 40) -> np.ndarray:
+def mixture(event: np.ndarray, n: np.ndarray, known: int, rounds: int = 40) -> np.ndarray:
     """Weights of the orders per bucket, by expectation-maximisation; a bucket without events takes the weights over all."""
 
     def learn(p: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -210,101 +283,60 @@ def mixture(event: np.ndarray, n: np.ndarray, rounds: int = 40) -> np.ndarray:
         return weights
 
     steps = np.stack([(event // STEPS**k) % STEPS for k in (2, 1, 0)])
-    p = np.concatenate([np.full((1, len(event)), 1 / CLASSES), np.where(steps > 0, 2.0 ** (-(steps - 0.5) / 2), 0)])
+    p = np.concatenate([np.full((1, len(event)), 1 / (known + 1)), np.where(steps > 0, 2.0 ** (-(steps - 0.5) / 2), 0)])
     bucket = event // STEPS**3
     out = np.tile(learn(p, n) if len(event) else np.full(4, 0.25), (BUCKETS, 1))
     for b in np.unique(bucket):
         out[b] = learn(p[:, bucket == b], n[bucket == b])
-    return out
+    out[PAIR_ONLY, 3] = 0
+    out[UNSEEN, 2:] = 0
+    if not known:
+        out[:, 1:] = 0
+    return out / out.sum(1, keepdims=True)
 
 
-_SCORED = "rid long, doc_id long, part int, n_tokens long, n_known long, head_log double, tail_log double, mix_log double, word long, m long"
+_SCORED = "rid long, doc_id long, part long, n_tokens long, n_known long, base_log double, score double"
 
 
-def _score(shared) -> Callable:
-    """One row per document (m 0) with what is known in the task, and one per word whose count must be looked up."""
+def _score(weights: np.ndarray, tokens: int, texts: int, known: int) -> Callable:
+    """One row per fragment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, orders, weights, tail_log = shared.value
-        rid = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            ids = batch["doc_id"]
-            first = 0
-            for part, tokens, endings, bounds in _tokens(batch):
-                rows = len(bounds) - 1
-                cls = classes.of(tokens, endings)
-                bucket, p = orders.estimates(cls, bounds)
-                logs = np.log10(np.maximum((weights[bucket].T * p).sum(0), 1e-300)) - tail_log[cls]
-                count = classes.known(tokens)
-                tail = (cls >= HEAD) & (cls != END_CLASS)
-                local = np.where(count >= 0, np.log10(np.maximum(count, 0) + 0.1), 0)
-                starts = bounds[:-1]
-                sums = [np.add.reduceat(x, starts) for x in (np.where(~tail, local, 0), np.where(tail, local, 0), logs)]
-                known = np.add.reduceat((count > 0).astype(np.int64), starts)
-                rids = rid + np.arange(rows)
-                rid += rows
-                of = np.repeat(np.arange(rows), np.diff(bounds))
-                asked = np.flatnonzero(count < 0)
-                order = asked[np.lexsort((tokens[asked], of[asked]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (tokens[order][1:] != tokens[order][:-1]) | (of[order][1:] != of[order][:-1])
-                m = np.diff(np.append(np.flatnonzero(new), len(order)))
-                order = order[new]
-                k = len(order)
-                end_log = (cls[order] == END_CLASS) if k else np.zeros(0, bool)
-                columns = [
-                    pa.array(np.concatenate([rids, rids[of[order]]])),
-                    pa.concat_arrays([ids.slice(first, rows).cast(pa.int64()), pa.nulls(k, pa.int64())]),
-                    pa.array(np.concatenate([part, np.zeros(k, np.int64)]).astype(np.int32)),
-                    pa.array(np.concatenate([np.diff(bounds), np.zeros(k, np.int64)])),
-                    pa.array(np.concatenate([known, np.zeros(k, np.int64)])),
-                    *[pa.array(np.concatenate([x, np.zeros(k)])) for x in sums],
-                    pa.array(np.concatenate([mix(rids.astype(np.uint64)), tokens[order]]).view(np.int64)),
-                    pa.array(np.concatenate([np.zeros(rows, np.int64), np.where(end_log, -m, m)])),
-                ]
-                first += rows
-                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _SCORED.split(", ")])
+        for block in _fragments(batches):
+            bounds, counts = block["bounds"], unsqueeze(block["n"]).reshape(3, -1)
+            bucket, p = estimates(counts, bounds, block["fresh"], tokens, texts, known)
+            own = counts[0, _places(bounds)[1]]
+            starts = bounds[:-1] - 2 * np.arange(len(bounds) - 1)
+            sums = [np.add.reduceat(x, starts) for x in ((own > 0).astype(np.int64), np.log10(own + 0.1), np.log10((weights[bucket].T * p).sum(0)))]
+            columns = [block["rids"], pa.array(block["doc_ids"], pa.int64()), block["parts"], np.diff(bounds) - 2, *sums]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[c.split()[0] for c in _SCORED.split(", ")])
 
     return run
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs (doc_id, text)``."""
-    spark = ship(docs.sparkSession)
-    send = spark.sparkContext.broadcast
+    ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = docs.mapInArrow(_count_words, "word long, ending int, n long").groupBy("word").agg(F.sum("n").alias("n"), F.first("ending").alias("ending"))
-    counts = stored(counted, "lm-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "n").toArrow()
-    classes = Classes(top["word"].to_numpy().astype(np.int64).view(np.uint64), top["n"].to_numpy().astype(np.int64))
-    own = [int(x) for x in np.append(classes.head, END).view(np.int64)]
-    tails = counts.join(F.broadcast(spark.createDataFrame([(x,) for x in own], "word long")), "word", "left_anti").groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    tail_log = np.zeros(CLASSES)
-    tail_log[HEAD:END_CLASS] = np.log10(0.1)
-    for row in tails:
-        tail_log[HEAD + row["ending"]] = np.log10(row["n"] + 0.1 * (row["v"] + 1))
-
-    shared_classes = send(classes)
-    rows = docs.mapInArrow(_count_cells(shared_classes), "cell long, n long, deleted long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("deleted").alias("deleted")).toArrow()
-    cells = np.zeros((2, PAIRS + COARSE**3), np.int64)
-    cells[:, rows["cell"].to_numpy()] = rows["n"].to_numpy(), rows["deleted"].to_numpy()
-    events = docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == DELETED)
-    events = events.mapInArrow(_events(send((classes, Orders(cells[0] - cells[1])))), "event long, n long").groupBy("event").agg(F.sum("n").alias("n")).toArrow()
-    weights = mixture(events["event"].to_numpy().astype(np.int64), events["n"].to_numpy().astype(float))
-
-    scored = docs.mapInArrow(_score(send((classes, Orders(cells[0]), weights, tail_log))), _SCORED)
-    looked = scored.join(counts.select("word", F.col("n").alias("c")), "word", "left")
-    asked, c = F.abs("m"), F.coalesce("c", F.lit(0))
-    looked_log = asked * F.log10(c + F.lit(0.1))
-    per_row = looked.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"), F.max(F.when(F.col("m") == 0, F.col("part"))).alias("part"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(c > 0, asked).otherwise(0)).alias("n_known"),
-        F.sum(F.col("head_log") + F.col("tail_log") + looked_log).alias("all_log"),
-        F.sum(F.col("tail_log") + F.col("mix_log") + F.when(F.col("m") > 0, looked_log).otherwise(0.0)).alias("score"),
-    )
-    scale = float(np.log10(total + 0.1 * (distinct + 1)))
+    blocks = stored(docs.mapInArrow(_blocks(BLOCK_TOKENS), _BLOCK), "lm-blocks")
+    total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("train", "deleted", "train_ends", "deleted_ends")]
+    size = blocks.agg(*total, F.count(F.lit(1)).alias("blocks")).first()
+    # Upper bound of the n-grams: three a token, held-out ones being a tenth more.
+    bits = max(0, int(np.ceil(np.log2(max(1, 3.4 * size["train"] / RANGE)))))
+    sent = blocks.mapInArrow(_send(bits), "part int, block long, grams binary, n binary, deleted binary")
+    totals = stored(sent.repartitionById(2**bits, F.col("part")).mapInArrow(_add_up, _TOTALS), "lm-totals")
+    known = int(totals.where("block is null").agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0])
+    back = totals.where("block is not null").groupBy("block")
+    counted = stored(blocks.groupBy("block").cogroup(back).applyInArrow(_give_back, _COUNTED), "lm-counted")
+
+    lessened = int(size["train"] - size["deleted"]), int(size["train_ends"] - size["deleted_ends"]), known
+    events = counted.where("deleted is not null").mapInArrow(_events(*lessened), "event long, n long").groupBy("event").agg(F.sum("n").alias("n")).toArrow()
+    weights = mixture(events["event"].to_numpy().astype(np.int64), events["n"].to_numpy().astype(float), known)
+
+    scored = counted.mapInArrow(_score(weights, int(size["train"]), int(size["train_ends"]), known), _SCORED)
+    per_row = scored.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), F.max("part").alias("part"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_log", "score")])
+    scale = float(np.log10(size["train"] + 0.1 * (known + 1)))
     return per_row.select(
-        "doc_id", (F.col("part") == HELD_OUT).alias("held_out"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("all_log") - F.col("n_tokens") * F.lit(scale)).alias("base_score"), "score",
+        "doc_id", (F.col("part") == HELD_OUT).alias("held_out"), "n_tokens", "n_known", F.lit(int(size["train"])).cast("long").alias("train_tokens"),
+        (F.col("base_log") - F.col("n_tokens") * F.lit(scale)).alias("base_score"), "score",
     )

@@ -415,31 +415,106 @@ def test_records_are_linked_and_digested(spark):
 # 9 language model
 
 
-def test_language_model_counts_and_improves(spark, odd, nothing, monkeypatch):
+class PlainModel:
+    """Counts of words, pairs, triples and of what stands before them, over the texts chosen."""
+
+    def __init__(self, texts, chosen):
+        self.grams, self.before = collections.Counter(), collections.Counter()
+        for text, take in zip(texts, chosen):
+            for i in range(len(text) if take else 0):
+                for history in self.histories(text, i):
+                    self.grams[*history, text[i]] += 1
+                    self.before[history] += 1
+
+    @staticmethod
+    def histories(text, i):
+        last = text[i - 1] if i else None
+        return (), (last,), (text[i - 2] if i > 1 else None, last)
+
+    def estimates(self, text, i, known):
+        """The bucket of a token, and its probability by the four orders."""
+        seen = [self.before[h] for h in self.histories(text, i)]
+        bucket = min(int(math.log2(seen[2])), lm.CONTEXTS - 1) if seen[2] else lm.PAIR_ONLY if seen[1] else lm.UNSEEN
+        return bucket, [1 / (known + 1), *(self.grams[*h, text[i]] / n if n else 0.0 for h, n in zip(self.histories(text, i), seen))]
+
+
+def plain_scores(rows):
+    texts = [[*space_words(r.text), None] for r in rows]
+    parts = [lm.part_of(r.doc_id) for r in rows]
+    train = PlainModel(texts, [p != 0 for p in parts])
+    rest = PlainModel(texts, [p not in (0, 1) for p in parts])
+    known = sum(len(g) == 1 for g in train.grams)
+    events = collections.Counter()
+    for text, part in zip(texts, parts):
+        for i in range(len(text) if part == 1 else 0):
+            bucket, p = rest.estimates(text, i, known)
+            events[int(lm.event_of(np.array([bucket]), np.array(p)[:, None])[0])] += 1
+    weights = lm.mixture(np.array(list(events), np.int64), np.array(list(events.values()), float), known)
+    total = train.before[()]
+    scale = math.log10(total + 0.1 * (known + 1))
+    out = []
+    for r, text in zip(rows, texts):
+        score = 0.0
+        for i in range(len(text)):
+            bucket, p = train.estimates(text, i, known)
+            score += math.log10(weights[bucket] @ p)
+        count = [train.grams[w,] for w in text]
+        out.append((repr(r.doc_id), len(text), sum(c > 0 for c in count), total, round(sum(math.log10(c + 0.1) - scale for c in count), 3), round(score, 3)))
+    return sorted(out)
+
+
+def lm_rows(table):
+    return sorted((repr(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3), round(r.score, 3)) for r in lm.score_texts(table).collect())
+
+
+def same_scores(got, expected):
+    return len(got) == len(expected) and all(g[:4] == e[:4] and np.allclose(g[4:], e[4:], rtol=1e-7, atol=0.01) for g, e in zip(got, expected))
+
+
+@pytest.mark.parametrize("block, span", [(1 << 20, 1 << 22), (20_000, 50_000)])
+def test_language_model_equals_plain_version(spark, odd, nothing, monkeypatch, block, span):
     docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet")
-    monkeypatch.setattr(lm, "KNOWN", 1000)
-    for table in (docs.select("doc_id", "text").union(odd.select("doc_id", "text")),):
-        rows = table.collect()
-        tokens = [[*space_words(r.text), None] for r in rows]
-        counts = collections.Counter()
-        for r, t in zip(rows, tokens):
-            if lm.part_of(r.doc_id) != 0:
-                counts.update(t)
-        total, distinct = sum(counts.values()), len(counts)
-        scale = math.log10(total + 0.1 * (distinct + 1))
-        expected = sorted((repr(r.doc_id), len(t), sum(counts[w] > 0 for w in t), round(sum(math.log10(counts[w] + 0.1) - scale for w in t), 4)) for r, t in zip(rows, tokens))
-        got = lm.score_texts(table).collect()
-        assert expected == sorted((repr(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 4)) for r in got)
-        assert {r.train_tokens for r in got} == {total}
-        held = [r for r in got if r.held_out]
-        assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", block)  # the small ones cut long texts and use many ranges
+    monkeypatch.setattr(lm, "RANGE", span)
+    table = docs.select("doc_id", "text").union(odd.select("doc_id", "text"))
+    assert same_scores(lm_rows(table), plain_scores(table.collect()))
+    held = [r for r in lm.score_texts(docs).collect() if r.held_out]
+    assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
     assert lm.score_texts(nothing).count() == 0
 
 
+def test_language_model_without_some_part(spark):
+    def numbers(*parts):
+        return [i for i in range(400) if lm.part_of(i) in parts][:12]
+
+    for ids in (numbers(0), numbers(2, 3), numbers(0, 1), numbers(1)):
+        rows = [(i, None if i % 5 == 0 else "a b a c a b"[: i % 12]) for i in ids]
+        table = spark.createDataFrame(rows, "doc_id long, text string")
+        assert same_scores(lm_rows(table), plain_scores(table.collect()))
+
+
+def test_language_model_adds_up_to_one(spark):
+    """Over all known words, the end and one unknown word, whatever the history."""
+    words = ["a", "b", "c", "d"]
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 9)))) for i in range(300)]
+    texts = [([*t.split(), None], lm.part_of(i)) for i, t in rows]
+    model = PlainModel([t for t, _ in texts], [p != 0 for _, p in texts])
+    weights = lm.mixture(np.zeros(0, np.int64), np.zeros(0), 5)
+    for text in (["a", "b"], ["zz", "a"], ["a", "zz"], ["zz", "yy"], []):
+        total = 0.0
+        for word in [*words, None, "unknown"]:
+            bucket, p = model.estimates([*text, word], len(text), 5)
+            total += weights[bucket] @ p
+        assert abs(total - 1) < 1e-9
+
+
 def test_mixture_finds_the_better_order():
-    event = np.array([(3 * 64 + 20) * 64 * 64 + 2 * 64 + 0], np.int64)  # bucket 3, order 2 likely, order 3 impossible
-    weights = lm.mixture(event, np.array([100.0]))
+    s = lm.STEPS
+    event = np.array([((3 * s + 20) * s + 2) * s + 0], np.int64)  # bucket 3, order 2 likely, order 3 impossible
+    weights = lm.mixture(event, np.array([100.0]), 50)
     assert weights[3].argmax() == 2 and np.allclose(weights.sum(1), 1)
+    assert weights[lm.PAIR_ONLY, 3] == 0 and not weights[lm.UNSEEN, 2:].any()
 
 
 # 10 quality
