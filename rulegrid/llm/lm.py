@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrid.llm.shared import ship, stored
+from rulegrid.llm.shared import delete_tables, ship, stored, tables_written
 from rulegrid.llm.words import mix, words_of
 
 END = np.uint64(0x5EED0E4D)
@@ -316,7 +316,8 @@ def _score(weights: np.ndarray, tokens: int, texts: int, known: int) -> Callable
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs (doc_id, text)``."""
-    ship(docs.sparkSession)
+    spark = ship(docs.sparkSession)
+    done = tables_written()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = stored(docs.mapInArrow(_blocks(BLOCK_TOKENS), _BLOCK), "lm-blocks")
     total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("train", "deleted", "train_ends", "deleted_ends")]
@@ -325,9 +326,11 @@ def score_texts(docs: DataFrame) -> DataFrame:
     bits = max(0, int(np.ceil(np.log2(max(1, 3.4 * size["train"] / RANGE)))))
     sent = blocks.mapInArrow(_send(bits), "part int, block long, grams binary, n binary, deleted binary")
     totals = stored(sent.repartitionById(2**bits, F.col("part")).mapInArrow(_add_up, _TOTALS), "lm-totals")
+    delete_tables(spark, done, done)  # none yet, but the n-grams' shuffle files go
     known = int(totals.where("block is null").agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0])
     back = totals.where("block is not null").groupBy("block")
     counted = stored(blocks.groupBy("block").cogroup(back).applyInArrow(_give_back, _COUNTED), "lm-counted")
+    delete_tables(spark, done, done + 2)  # blocks and totals
 
     lessened = int(size["train"] - size["deleted"]), int(size["train_ends"] - size["deleted_ends"]), known
     events = counted.where("deleted is not null").mapInArrow(_events(*lessened), "event long, n long").groupBy("event").agg(F.sum("n").alias("n")).toArrow()
