@@ -13,7 +13,8 @@ How the counts reach the texts:
   from a block once, however frequent it is, so no key is hot, and ranges of a hash hold equal shares;
 * the totals go back to their block in the order in which it sent the n-grams, without them, and are written beside its tokens.
 
-N-grams are known by 62 bits of a hash and their order.  ``RANGE`` n-grams are added up in one task.
+N-grams are known by their order and a hash of ``SPARE - 2`` more bits than it takes to number them all, so one in 2 ** 26 or fewer, at every
+size, shares its number with another.  ``RANGE`` n-grams are added up in one task.
 
 Results for odd input: a null or empty text is one end token; equal rows are scored each; a null doc_id is in the training part;
 without any training text every count is 0 and every token has probability 1; without texts in the deleted tenth the weights are equal;
@@ -37,6 +38,7 @@ from rulegrid.llm.words import mix, words_of
 END = np.uint64(0x5EED0E4D)
 BLOCK_TOKENS = 1 << 20
 RANGE = 1 << 22
+SPARE = 28
 CONTEXTS = 48  # buckets of contexts seen, by the power of two of their frequency
 PAIR_ONLY, UNSEEN = CONTEXTS, CONTEXTS + 1
 BUCKETS, STEPS = CONTEXTS + 2, 128
@@ -136,14 +138,14 @@ def _blocks(size: int) -> Callable:
 # Counts.
 
 
-def _ngrams(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words and pairs that end after the first place of a fragment, and triples that end at its own tokens."""
+def _ngrams(tokens: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words and pairs that end after the first place of a fragment, and triples that end at its own tokens, as numbers of ``width`` bits."""
     later, real = _places(bounds)
     pair = tokens.copy()
     pair[1:] = mix(tokens[:-1] * np.uint64(0x9E3779B185EBCA87) + tokens[1:])
     triple = tokens.copy()
     triple[1:] = mix(pair[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + tokens[1:])
-    return tuple((x[at] & ~np.uint64(3)) | np.uint64(order) for order, x, at in ((1, tokens, later), (2, pair, later), (3, triple, real)))
+    return tuple((mix(x[at]) >> np.uint64(64 - width) & ~np.uint64(3)) | np.uint64(order) for order, x, at in ((1, tokens, later), (2, pair, later), (3, triple, real)))
 
 
 def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,7 +154,7 @@ def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tokens, unsqueeze(row["bounds"]), unsqueeze(row["parts"])
 
 
-def _send(bits: int) -> Callable:
+def _send(bits: int, width: int) -> Callable:
     """``(part, block, grams, n, deleted)``: a block's distinct n-grams of one range of hashes, and their counts in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,14 +162,14 @@ def _send(bits: int) -> Callable:
             for row in range(len(batch)):
                 one = {c: batch[c][row].as_py() for c in ("block", "words", "tokens", "bounds", "parts")}
                 tokens, bounds, parts = _open(one)
-                grams, inverse = np.unique(np.concatenate(_ngrams(tokens, bounds)), return_inverse=True)
+                grams, inverse = np.unique(np.concatenate(_ngrams(tokens, bounds, width)), return_inverse=True)
                 later, real = _places(bounds)
                 of = np.repeat(parts, np.diff(bounds))
                 counts = []
                 for chosen in (real & (of != HELD_OUT), real & (of == DELETED)):
                     weight = np.concatenate([chosen[later], chosen[later], chosen[real]])
                     counts.append(np.bincount(inverse[weight], minlength=len(grams)).astype(np.int64))
-                ranges = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+                ranges = (grams >> np.uint64(width - bits)).astype(np.int64)
                 first = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
                 cuts = [slice(a, b) for a, b in zip(first, [*first[1:], len(grams)])]
                 sent = [[squeeze(np.diff(grams[c], prepend=np.uint64(0))) for c in cuts], *[[squeeze(x[c]) for c in cuts] for x in counts]]
@@ -206,11 +208,11 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _COUNTED = "block long, n binary, deleted binary, bounds binary, fresh binary, rids binary, parts binary, doc_ids array<long>"
 
 
-def _give_back(block: pa.Table, totals: pa.Table) -> pa.Table:
+def _give_back(width: int, block: pa.Table, totals: pa.Table) -> pa.Table:
     """A block's counts at every place of its fragments: words, pairs and triples that end there (0 where there is none)."""
     row = block.to_pylist()[0]
     tokens, bounds, parts = _open(row)
-    words, pairs, triples = _ngrams(tokens, bounds)
+    words, pairs, triples = _ngrams(tokens, bounds, width)
     _, inverse = np.unique(np.concatenate([words, pairs, triples]), return_inverse=True)
     later, real = _places(bounds)
     order = totals.sort_by("part")
@@ -321,15 +323,16 @@ def score_texts(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = stored(docs.mapInArrow(_blocks(BLOCK_TOKENS), _BLOCK), "lm-blocks")
     total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("train", "deleted", "train_ends", "deleted_ends")]
-    size = blocks.agg(*total, F.count(F.lit(1)).alias("blocks")).first()
+    size = blocks.agg(*total).first()
     # Upper bound of the n-grams: three a token, held-out ones being a tenth more.
-    bits = max(0, int(np.ceil(np.log2(max(1, 3.4 * size["train"] / RANGE)))))
-    sent = blocks.mapInArrow(_send(bits), "part int, block long, grams binary, n binary, deleted binary")
+    grams = max(1, 3.4 * size["train"])
+    bits, width = max(0, int(np.ceil(np.log2(grams / RANGE)))), min(64, int(np.ceil(np.log2(grams))) + SPARE)
+    sent = blocks.mapInArrow(_send(bits, width), "part int, block long, grams binary, n binary, deleted binary")
     totals = stored(sent.repartitionById(2**bits, F.col("part")).mapInArrow(_add_up, _TOTALS), "lm-totals")
     delete_tables(spark, done, done)  # none yet, but the n-grams' shuffle files go
     known = int(totals.where("block is null").agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0])
     back = totals.where("block is not null").groupBy("block")
-    counted = stored(blocks.groupBy("block").cogroup(back).applyInArrow(_give_back, _COUNTED), "lm-counted")
+    counted = stored(blocks.groupBy("block").cogroup(back).applyInArrow(lambda block, sums: _give_back(width, block, sums), _COUNTED), "lm-counted")
     delete_tables(spark, done, done + 2)  # blocks and totals
 
     lessened = int(size["train"] - size["deleted"]), int(size["train_ends"] - size["deleted_ends"]), known
