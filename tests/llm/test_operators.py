@@ -313,10 +313,42 @@ def test_license_blocks_match_all_windows(spark):
     got = {r.doc_id: r.n_blocks for r in licenses.find_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), template).collect()}
     for i, text in enumerate(texts):
         w = text.split()
-        blocks = [w[s : s + licenses.BLOCK] for s in range(0, max(1, len(w)), licenses.BLOCK // 2)]
+        blocks = [w[s : s + 30] for s in range(0, max(1, len(w)), 10)]
         assert got[i] == sum(len(set(b) & set(template["t"].split())) >= 8 for b in blocks), text
 
 
+def test_license_templates_of_any_length_are_found_whole(spark):
+    long = " ".join(f"clause{i}" for i in range(400))
+    templates = {**licenses.TEMPLATES, "long": long}
+    filler = " ".join(f"word{i}" for i in range(331))
+    names = sorted(templates)
+    rows = [(i, f"{filler} {templates[n]} {filler}") for i, n in enumerate(names)]
+    rows += [(100, "This code is released under the Apache License"), (101, "The license covers it; patches released late fall under no warranty.")]
+    got = {r.doc_id: r for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string"), templates, names=licenses.NAMES).collect()}
+    for i, name in enumerate(names):
+        assert name in got[i].labels.split(",") and got[i].score == 1.0, name
+    assert got[100].labels == "apache" and got[101].labels == ""
+
+
+def test_license_filters_lose_nothing_and_spare_work(spark):
+    rng = random.Random(8)
+    words = [f"t{i}" for i in range(20)]
+    vocabulary, (template,) = licenses.template_sets({"t": " ".join(words)}, 0.8, {}, {})
+    texts = [" ".join(rng.choice(words + [f"x{i}" for i in range(rng.choice([2, 30, 200]))]) for _ in range(rng.randrange(1, 400))) for _ in range(80)]
+    total, blocks = collections.Counter(), 0
+    for text in texts:
+        part = next(W.words_of(pa.array([text]), W.ALNUM_WORDS))
+        code = np.minimum(np.searchsorted(vocabulary, part.hashes), len(vocabulary) - 1)
+        hits = np.flatnonzero(vocabulary[code] == part.hashes)
+        rows, _, counts = licenses.blocks_with(template, hits, code[hits], part.row_of_word(), part.bounds)
+        w = text.split()
+        own = [w[s : s + 60] for s in range(0, len(w), 20)]
+        assert len(rows) == counts["match"] == sum(len(set(b) & set(words)) >= 16 for b in own)
+        total.update(counts)
+        blocks += len(own)
+    assert blocks > total["prefix"] >= total["length"] >= total["position"] >= total["match"] > 0
+
+
 # 6 chat
 
 
