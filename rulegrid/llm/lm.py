@@ -11,7 +11,10 @@ How the counts reach the texts:
 * texts are cut into blocks of ``BLOCK_TOKENS`` tokens, written once (a longer text is spread over blocks, two tokens repeated in front);
 * a block sends its distinct n-grams with their counts, cut by ranges of the n-gram's hash; one task adds up one range.  An n-gram comes
   from a block once, however frequent it is, so no key is hot, and ranges of a hash hold equal shares;
-* the totals go back to their block in the order in which it sent the n-grams, without them, and are written beside its tokens.
+* the totals go back to their block in the order in which it sent the n-grams, without them; the counts at each of its tokens are written,
+  with the events of its deleted texts;
+* both ways are gone in ``2 ** TURN_BITS`` turns, by hash range and by block, each of which drops its shuffle files before the next: disk
+  holds blocks, totals, counts and one turn's shuffle.
 
 N-grams are known by their order and a hash of ``SPARE - 2`` more bits than it takes to number them all, so one in 2 ** 26 or fewer, at every
 size, shares its number with another.  ``RANGE`` n-grams are added up in one task.
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +36,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrid.llm.shared import delete_tables, ship, stored, tables_written
+from rulegrid.llm.shared import delete_tables, dropping_shuffles, ship, stored, tables_written
 from rulegrid.llm.words import mix, words_of
 
 END = np.uint64(0x5EED0E4D)
 BLOCK_TOKENS = 1 << 20
 RANGE = 1 << 22
 SPARE = 28
+TURN_BITS = 2
 CONTEXTS = 48  # buckets of contexts seen, by the power of two of their frequency
 PAIR_ONLY, UNSEEN = CONTEXTS, CONTEXTS + 1
 BUCKETS, STEPS = CONTEXTS + 2, 128
@@ -154,21 +159,35 @@ def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tokens, unsqueeze(row["bounds"]), unsqueeze(row["parts"])
 
 
-def _send(bits: int, width: int) -> Callable:
-    """``(part, block, grams, n, deleted)``: a block's distinct n-grams of one range of hashes, and their counts in its training texts."""
+def _runs(order: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``values`` in the order given, which sorts them, and where each new one starts."""
+    values = values[order]
+    return values, np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+
+
+def _send(bits: int, width: int, turn: int = 0, turn_bits: int = 0) -> Callable:
+    """``(part, block, grams, n, deleted)``: a block's distinct n-grams of one range of hashes, and their counts in its training texts.
+
+    Of 2 ** bits ranges, those whose first ``turn_bits`` bits are ``turn``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
                 one = {c: batch[c][row].as_py() for c in ("block", "words", "tokens", "bounds", "parts")}
                 tokens, bounds, parts = _open(one)
-                grams, inverse = np.unique(np.concatenate(_ngrams(tokens, bounds, width)), return_inverse=True)
+                grams = np.concatenate(_ngrams(tokens, bounds, width))
                 later, real = _places(bounds)
-                of = np.repeat(parts, np.diff(bounds))
-                counts = []
-                for chosen in (real & (of != HELD_OUT), real & (of == DELETED)):
-                    weight = np.concatenate([chosen[later], chosen[later], chosen[real]])
-                    counts.append(np.bincount(inverse[weight], minlength=len(grams)).astype(np.int64))
+                of = np.where(real, np.repeat(parts, np.diff(bounds)), HELD_OUT)
+                of = np.concatenate([of[later], of[later], of[real]])
+                if turn_bits:
+                    own = grams >> np.uint64(width - turn_bits) == turn
+                    grams, of = grams[own], of[own]
+                if not len(grams):
+                    continue
+                order = np.argsort(grams)
+                grams, first = _runs(order, grams)
+                grams, of = grams[first], of[order]
+                counts = [np.add.reduceat(chosen.astype(np.int64), first) for chosen in (of != HELD_OUT, of == DELETED)]
                 ranges = (grams >> np.uint64(width - bits)).astype(np.int64)
                 first = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
                 cuts = [slice(a, b) for a, b in zip(first, [*first[1:], len(grams)])]
@@ -205,27 +224,35 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds)], names=names)
 
 
-_COUNTED = "block long, n binary, deleted binary, bounds binary, fresh binary, rids binary, parts binary, doc_ids array<long>"
+_COUNTED = "block long, n binary, bounds binary, fresh binary, rids binary, parts binary, doc_ids array<long>, event array<long>, events array<long>"
 
 
-def _give_back(width: int, block: pa.Table, totals: pa.Table) -> pa.Table:
-    """A block's counts at every place of its fragments: words, pairs and triples that end there (0 where there is none)."""
+def _give_back(width: int, lessened: tuple[int, int, int], block: pa.Table, totals: pa.Table) -> pa.Table:
+    """A block's counts at every place of its fragments: words, pairs and triples that end there (0 where there is none); and the
+    events of its deleted texts, against the counts without them."""
     row = block.to_pylist()[0]
     tokens, bounds, parts = _open(row)
     words, pairs, triples = _ngrams(tokens, bounds, width)
-    _, inverse = np.unique(np.concatenate([words, pairs, triples]), return_inverse=True)
+    grams = np.concatenate([words, pairs, triples])
+    order = np.argsort(grams)
+    sizes = np.diff(_runs(order, grams)[1], append=len(grams))
     later, real = _places(bounds)
-    order = totals.sort_by("part")
+    by_part = totals.sort_by("part")
 
-    def spread(name: str) -> bytes:
-        total = np.concatenate([unsqueeze(x) for x in order[name].to_pylist()])[inverse]
+    def spread(name: str) -> np.ndarray:
+        total = np.empty(len(grams), np.int64)
+        total[order] = np.repeat(np.concatenate([unsqueeze(x) for x in by_part[name].to_pylist()]), sizes)
         out = np.zeros((3, len(tokens)), np.int64)
         out[0, later], out[1, later], out[2, real] = np.split(total, [len(words), len(words) + len(pairs)])
-        return squeeze(out.ravel())
+        return out
 
     fresh = ((tokens[bounds[:-1]] == END) & (tokens[bounds[:-1] + 1] == END)).astype(np.int64)
-    out = [row["block"], spread("n"), spread("deleted") if (parts == DELETED).any() else None, row["bounds"], squeeze(fresh), row["rids"], row["parts"], row["doc_ids"]]
-    kinds = [pa.int64(), *[pa.binary()] * 6, pa.list_(pa.int64())]
+    n, event, events = spread("n"), [], []
+    if (parts == DELETED).any():
+        bucket, p = estimates(n - spread("deleted"), bounds, fresh, *lessened)
+        event, events = np.unique(event_of(bucket, p)[np.repeat(parts == DELETED, np.diff(bounds) - 2)], return_counts=True)
+    out = [row["block"], squeeze(n.ravel()), row["bounds"], squeeze(fresh), row["rids"], row["parts"], row["doc_ids"], event, events]
+    kinds = [pa.int64(), *[pa.binary()] * 5, *[pa.list_(pa.int64())] * 3]
     return pa.Table.from_arrays([pa.array([x], k) for x, k in zip(out, kinds)], names=[c.split()[0] for c in _COUNTED.split(", ")])
 
 
@@ -258,20 +285,6 @@ def event_of(bucket: np.ndarray, p: np.ndarray) -> np.ndarray:
     return ((bucket * STEPS + step[1]) * STEPS + step[2]) * STEPS + step[3]
 
 
-def _events(tokens: int, texts: int, known: int) -> Callable:
-    """``(event, n)`` over the deleted texts, against the counts without them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _fragments(batches):
-            counts = (unsqueeze(block["n"]) - unsqueeze(block["deleted"])).reshape(3, -1)
-            bucket, p = estimates(counts, block["bounds"], block["fresh"], tokens, texts, known)
-            chosen = np.repeat(block["parts"] == DELETED, np.diff(block["bounds"]) - 2)
-            event, n = np.unique(event_of(bucket, p)[chosen], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(event), pa.array(n)], names=["event", "n"])
-
-    return run
-
-
 def mixture(event: np.ndarray, n: np.ndarray, known: int, rounds: int = 40) -> np.ndarray:
     """Weights of the orders per bucket, by expectation-maximisation; a bucket without events takes the weights over all."""
 
@@ -327,16 +340,26 @@ def score_texts(docs: DataFrame) -> DataFrame:
     # Upper bound of the n-grams: three a token, held-out ones being a tenth more.
     grams = max(1, 3.4 * size["train"])
     bits, width = max(0, int(np.ceil(np.log2(grams / RANGE)))), min(64, int(np.ceil(np.log2(grams))) + SPARE)
-    sent = blocks.mapInArrow(_send(bits, width), "part int, block long, grams binary, n binary, deleted binary")
-    totals = stored(sent.repartitionById(2**bits, F.col("part")).mapInArrow(_add_up, _TOTALS), "lm-totals")
-    delete_tables(spark, done, done)  # none yet, but the n-grams' shuffle files go
-    known = int(totals.where("block is null").agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0])
-    back = totals.where("block is not null").groupBy("block")
-    counted = stored(blocks.groupBy("block").cogroup(back).applyInArrow(lambda block, sums: _give_back(width, block, sums), _COUNTED), "lm-counted")
-    delete_tables(spark, done, done + 2)  # blocks and totals
-
-    lessened = int(size["train"] - size["deleted"]), int(size["train_ends"] - size["deleted_ends"]), known
-    events = counted.where("deleted is not null").mapInArrow(_events(*lessened), "event long, n long").groupBy("event").agg(F.sum("n").alias("n")).toArrow()
+    turn_bits = min(TURN_BITS, bits)
+    lessened = int(size["train"] - size["deleted"]), int(size["train_ends"] - size["deleted_ends"])
+    with dropping_shuffles(spark):
+        totals = []
+        for turn in range(2**turn_bits):
+            sent = blocks.mapInArrow(_send(bits, width, turn, turn_bits), "part int, block long, grams binary, n binary, deleted binary")
+            dealt = sent.repartitionById(2 ** (bits - turn_bits), F.col("part") % 2 ** (bits - turn_bits))
+            totals.append(stored(dealt.mapInArrow(_add_up, _TOTALS), "lm-totals"))
+        totals = reduce(DataFrame.unionAll, totals)
+        known = int(totals.where("block is null").agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0])
+        counted, read = [], tables_written()
+        for turn in range(2**turn_bits):
+            own = F.pmod(F.xxhash64("block"), F.lit(2**turn_bits)) == turn
+            back = totals.where("block is not null").where(own).groupBy("block")
+            given = blocks.where(own).groupBy("block").cogroup(back).applyInArrow(lambda block, sums: _give_back(width, (*lessened, known), block, sums), _COUNTED)
+            counted.append(stored(given, "lm-counted"))
+    counted = reduce(DataFrame.unionAll, counted)
+    delete_tables(spark, done, read)  # blocks and totals
+
+    events = counted.select(F.explode(F.arrays_zip("event", "events")).alias("e")).groupBy("e.event").agg(F.sum("e.events").alias("n")).toArrow()
     weights = mixture(events["event"].to_numpy().astype(np.int64), events["n"].to_numpy().astype(float), known)
 
     scored = counted.mapInArrow(_score(weights, int(size["train"]), int(size["train_ends"]), known), _SCORED)

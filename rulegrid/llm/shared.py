@@ -11,6 +11,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +70,19 @@ def delete_tables(spark: SparkSession, since: int, until: int) -> None:
     jvm.System.gc()
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Whatever runs inside drops its shuffle files as soon as it ends, not when the driver next collects its garbage; what is
+    read twice there is better ``stored`` first, as its shuffles would run twice."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, after as many underscores as no column of ``df`` has it by then, in any case."""
     taken = {c.lower() for c in df.columns}

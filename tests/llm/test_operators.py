@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -525,6 +527,49 @@ def test_language_model_without_some_part(spark):
         assert same_scores(lm_rows(table), plain_scores(table.collect()))
 
 
+def test_language_model_keeps_the_shuffle_files_of_one_turn(spark, monkeypatch):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffle_files():
+        return {f for d in dirs for f in pathlib.Path(d).glob("*/shuffle_*.data")}
+
+    write, written = lm.stored, []
+
+    def stored(df, name):
+        before = shuffle_files()
+        out = write(df, name)
+        written.append(name)
+        until = time.monotonic() + 10  # executors delete on their own
+        while shuffle_files() - before and time.monotonic() < until:
+            time.sleep(0.1)
+        assert not shuffle_files() - before, name
+        return out
+
+    monkeypatch.setattr(lm, "stored", stored)
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 20_000)
+    monkeypatch.setattr(lm, "RANGE", 50_000)
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    assert lm.score_texts(docs).count() == docs.count()
+    assert written == ["lm-blocks", *["lm-totals"] * 4, *["lm-counted"] * 4] and spark.conf.get(key) == setting
+
+
+def test_language_model_sends_every_ngram_in_one_turn(spark, odd):
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").select("doc_id", "text").union(odd.select("doc_id", "text"))
+    blocks = docs.mapInArrow(lm._blocks(20_000), lm._BLOCK).localCheckpoint()
+
+    def sent(*how):
+        rows = blocks.mapInArrow(lm._send(4, 50, *how), "part int, block long, grams binary, n binary, deleted binary").collect()
+        return [(r.part, r.block, *(lm.unsqueeze(x).tolist() for x in (r.grams, r.n, r.deleted))) for r in rows]
+
+    def size(rows):
+        return sum(len(r[2]) for r in rows)
+
+    whole, turns = sent(), [sent(turn, 2) for turn in range(4)]
+    assert sorted(whole) == sorted(sum(turns, [])) and all(0 < size(t) < 0.3 * size(whole) for t in turns)
+
+
 def test_language_model_adds_up_to_one(spark):
     """Over all known words, the end and one unknown word, whatever the history."""
     words = ["a", "b", "c", "d"]
