@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 from rulegrid.llm import decontaminate, jaccard, packing, quality, secrets
 from rulegrid.llm.queries import table, vocabulary
-from rulegrid.llm.shared import delete_tables, free_name, stored, tables_written
+from rulegrid.llm.shared import delete_tables, free_name, small_batches, stored, tables_written
 from rulegrid.operators.bloom import bloom_filter, might_hold
 
 SHINGLE, NEAR = 5, 80  # the query op3 has a contract of its own: 3 words, 90 %
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     score = free_name(docs, "_score")
     return quality.score_quality(docs, model, score).where(F.col(score) >= quality.KEEP).drop(score)
@@ -40,6 +41,7 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     rows, key = keyed(docs)
     goes = free_name(docs, "_goes")
     # What the operator reads: the key stands for the doc_id.
@@ -66,6 +68,7 @@ def met_and_others(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFram
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -86,6 +89,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(docs, vocabulary()).drop("ids").withColumnRenamed("offset", "sequence_offset")
 
 
@@ -105,6 +109,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of ``sf_dir``, each written to the shared folder and read again by the next.
 
     Once a stage's result is written, its intermediate tables and the result of the stage before are deleted.
+    The stages that run Python bound the session's Arrow batches (``small_batches``).
     """
     docs = table(spark, sf_dir, "documents")
     done = tables_written()

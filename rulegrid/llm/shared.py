@@ -83,6 +83,18 @@ def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "2m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session's Python tasks get their rows in Arrow batches of about ``BATCH_BYTES``, unless it has a bound of its
+    own.  The default is 10,000 rows: of texts some 35 MB, held several times by executor and Python worker, and a worker that waits for
+    its next task gives little of that back.  It stays set, as results are read after the function that made them returned."""
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, BATCH_BYTES)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, after as many underscores as no column of ``df`` has it by then, in any case."""
     taken = {c.lower() for c in df.columns}

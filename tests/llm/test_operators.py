@@ -772,3 +772,31 @@ def test_pipeline_stages_keep_columns_named_like_their_own(spark):
         out = stage(spark, docs.withColumns(clashing), SMALL_DIR).collect()
         assert {r.doc_id: r.text for r in out} == plain, name
         assert all(r[c] == f"{c}{r.doc_id}" for r in out for c in clashing), name
+
+
+def test_pipeline_stages_get_texts_in_small_arrow_batches(spark, monkeypatch):
+    import corpus_pipeline
+    from rulegrid.llm import shared
+
+    def kept_if_small(*_):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([float(batch.nbytes < 4 << 20)] * batch.num_rows)], names=[*batch.schema.names, "_score"])
+
+        return run
+
+    monkeypatch.setattr(quality, "fit", lambda docs, labels: 0.5)
+    monkeypatch.setattr(quality, "_score", kept_if_small)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.createDataFrame([], "doc_id long, quality int"))
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat('word ', 800) as text")  # 12 MB in one task
+    before = spark.conf.getAll.get(shared.BATCH)
+    try:
+        assert corpus_pipeline.good_quality(spark, docs, "").count() == 3000
+        spark.conf.set(shared.BATCH, "32m")  # a bound of the caller's own stays
+        shared.small_batches(spark)
+        assert spark.conf.get(shared.BATCH) == "32m"
+        assert corpus_pipeline.good_quality(spark, docs, "").count() == 0
+    finally:
+        spark.conf.unset(shared.BATCH)
+        if before:
+            spark.conf.set(shared.BATCH, before)
