@@ -23,11 +23,11 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,18 +38,56 @@ STEP = 16
 DEPTH = 3
 END = 1
 SALT_ROWS = 50_000
-CACHE = 800_000  # chunks whose ids a worker remembers; it forgets all when it holds more
+GROUP_BYTES = 8_000_000  # of text whose chunks are told apart at a time
+PIECES = 2_000  # written at a time
 ADDED, ADDED_ID = "<|endoftext|>", 50256  # the one added token of byte_bpe_50k.json, special and matched as it stands
 
-_ODD_SPACE = re.compile(r" [\s\x1c-\x1f]|[\s\x1c-\x1f] ")
+_SPACES = [chr(c).encode() for c in range(0x3001) if chr(c).isspace()]  # the tokeniser's white space (and \x1c-\x1f) in UTF-8, 1 to 3 bytes
+_SPACE_CODES = {n: np.array([int.from_bytes(x) for x in _SPACES if len(x) == n]) for n in (1, 2, 3)}
+_IS_SPACE = np.isin(np.arange(256), _SPACE_CODES[1])
 
 
-class Ids(dict):
-    """Token ids (as bytes) of chunks of text that start at a space, remembered up to a bound.
+def _code(data: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` bytes from each place on as a number.  Beyond a character's own bytes it is no white space's, as UTF-8 tells first bytes from others."""
+    return sum(data[(at + i) % len(data)].astype(np.int32) << 8 * (n - 1 - i) for i in range(n))
 
-    A single space between two other characters always starts a new pre-token that runs no further back, so the
-    ids of a text are those of its chunks, joined.  Texts with other white space next to a space are cut only
-    at spaces that stand alone.
+
+def _starts_with_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character at each place is white space."""
+    found = _IS_SPACE[data[at]]
+    wide = np.flatnonzero(data[at] >= 0x80)
+    for n in (2, 3):
+        found[wide] |= np.isin(_code(data, at[wide], n), _SPACE_CODES[n])
+    return found
+
+
+def _ends_with_space(data: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the character before each place is white space."""
+    found = _IS_SPACE[data[end - 1]]
+    wide = np.flatnonzero(data[end - 1] >= 0x80)
+    for n in (2, 3):
+        found[wide] |= np.isin(_code(data, end[wide] - n, n), _SPACE_CODES[n])
+    return found
+
+
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values of a large string or binary array without nulls, and the places where they start and end."""
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    size = int(offsets[-1] - offsets[0])
+    return np.frombuffer(data, np.uint8, size, int(offsets[0])) if size else np.zeros(0, np.uint8), offsets - offsets[0]
+
+
+def _array(kind: pa.DataType, offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(kind, len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+class Ids:
+    """Token ids of whole columns of texts: cut into chunks at white space, and each different chunk of a group tokenised once.
+
+    No pre-token runs on into white space, so one always starts at a space or line end that follows another
+    character: the ids of a text are those of its chunks, joined.  For the same reason the different chunks are
+    tokenised as one text, in which a line end goes before those that do not start with white space themselves.
     """
 
     def __init__(self, vocabulary: str):
@@ -61,29 +99,60 @@ class Ids(dict):
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = array("H", self.encoding.encode_ordinary(chunk)).tobytes()
-        if len(chunk) < 64:
-            self[chunk] = ids
-        return ids
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.sizes[list(ranks.values())] = list(map(len, ranks))
 
     def of(self, text: str) -> np.ndarray:
-        if len(self) > CACHE:
-            self.clear()
-        if not text:
-            return np.zeros(0, np.uint16)
-        if _ODD_SPACE.search(text) or text[0] == " " or text[-1] == " ":
-            chunks = re.split(r"(?<![\s\x1c-\x1f])(?= [^\s\x1c-\x1f])", text)
-        else:
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + x for x in rest]]
-        return np.frombuffer(b"".join(map(self.__getitem__, chunks)), np.uint16)
+        return self.column(pa.array([text]), added=False)[0]
 
     def with_added(self, text: str) -> np.ndarray:
         """Ids as the tokeniser gives them at its defaults: the added token is found first, and ``of`` the texts between."""
-        first, *rest = map(self.of, text.split(ADDED))
-        return np.concatenate([first, *(x for ids in rest for x in (np.array([ADDED_ID], np.uint16), ids))])
+        return self.column(pa.array([text]))[0]
+
+    def column(self, texts: pa.Array, added: bool = True, end: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by ``end``, and the places where the texts' ids start and end."""
+        data, offsets = _flat(texts.fill_null("").cast(pa.large_string()))
+        at = np.flatnonzero((data == 0x20) | (data == 0x0A))
+        is_cut = np.zeros(len(data) + 1, bool)
+        is_cut[at[~_ends_with_space(data, at)]] = True
+        is_cut[offsets] = True
+        if added:
+            found = np.array([m.start() for m in re.finditer(re.escape(ADDED.encode()), data)], np.int64)
+            after = offsets[np.searchsorted(offsets, found, "right")]  # the end of the text that it starts in
+            found = found[found + len(ADDED) <= after]
+            is_cut[found] = is_cut[found + len(ADDED)] = True
+        cuts = np.flatnonzero(is_cut)  # an empty text has none of its own
+        chunks = _array(pa.large_string(), cuts, data).dictionary_encode()
+        ids = pa.concat_arrays([self._each(chunks.dictionary, added), pa.array([np.array(end, np.uint16).tobytes()], pa.large_binary())])
+        last = np.searchsorted(cuts, offsets[1:])
+        flat, places = _flat(ids.take(pa.array(np.insert(chunks.indices.to_numpy(), last, len(ids) - 1))))
+        return flat.view(np.uint16), places[np.append(0, last + np.arange(1, len(last) + 1))] // 2
+
+    def _each(self, chunks: pa.Array, added: bool) -> pa.Array:
+        """The ids of each chunk, as bytes.  Few chunks go to the tokeniser alone: the added token, and those that white space ends or, other than a space or line end, starts."""
+        data, offsets = _flat(chunks)
+        first, end = offsets[:-1], offsets[1:]
+        own_space = np.isin(data[first], (0x20, 0x0A))
+        alone = _ends_with_space(data, end) | ~own_space & _starts_with_space(data, first)
+        if added:
+            alone |= pc.equal(chunks, pa.scalar(ADDED, pa.large_string())).to_numpy(zero_copy_only=False)
+        own = np.flatnonzero(~alone)
+        joined = pc.binary_join_element_wise(pa.array(np.where(own_space[own], "", "\n"), pa.large_string()), chunks.take(pa.array(own)), pa.scalar("", pa.large_string()))
+        text, places = _flat(joined)
+        ids = np.array(self.encoding.encode_ordinary(text.tobytes().decode()), np.uint16)
+        sizes = np.append(0, np.cumsum(self.sizes[ids]))  # of the text up to each id
+        ends = np.searchsorted(sizes, places)
+        if not np.array_equal(sizes[ends], places):
+            raise ValueError("a token runs on into white space")
+        marks = ~own_space[own]
+        ids = np.delete(ids, ends[:-1][marks])  # the line ends put in, a token each
+        ends -= np.append(0, np.cumsum(marks))
+        several = [self._alone(c, added) for c in chunks.filter(pa.array(alone)).to_pylist()]
+        out = pa.concat_arrays([_array(pa.large_binary(), 2 * ends, ids), pa.array(several, pa.large_binary())])
+        return out.take(pa.array(np.argsort(np.append(own, np.flatnonzero(alone)))))
+
+    def _alone(self, chunk: str, added: bool) -> bytes:
+        return np.array([ADDED_ID] if added and chunk == ADDED else self.encoding.encode_ordinary(chunk), np.uint16).tobytes()
 
 
 _IDS: dict[str, Ids] = {}
@@ -98,34 +167,38 @@ def ids_of(vocabulary: str) -> Ids:
 _PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary"
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in groups of some ``GROUP_BYTES`` of text; a longer text is one alone."""
+    sizes = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy().astype(np.int64)))
+    first = 0
+    while first < len(batch):
+        last = max(first + 1, int(np.searchsorted(sizes, sizes[first] + GROUP_BYTES, "right")) - 1)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _tokenise(vocabulary: str) -> Callable:
     """Pieces of at most ``WINDOW`` ids, as little-endian 16-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = ids_of(vocabulary).with_added
         for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
-            size = 0
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = np.append(of(text or ""), np.uint16(END))
-                for start in range(0, len(ids), WINDOW):
-                    piece = ids[start : start + WINDOW]
-                    for column, value in zip(out, (doc_id, start, len(piece), len(ids), piece.tobytes())):
-                        column.append(value)
-                    size += len(piece)
-                if size > 4_000_000:
-                    yield _pieces(out)
-                    out, size = [[] for _ in range(5)], 0
-            yield _pieces(out)
+            for rows in _groups(batch):
+                ids, places = ids_of(vocabulary).column(rows["text"], end=(END,))
+                sizes = np.diff(places)
+                n = -(-sizes // WINDOW)
+                row = np.repeat(np.arange(len(rows)), n)
+                start = WINDOW * (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))
+                length = np.minimum(sizes[row] - start, WINDOW)
+                cut = np.append(places[row] + start, len(ids))  # the pieces follow one another
+                for i in range(0, len(row), PIECES):
+                    j = min(i + PIECES, len(row))
+                    offsets = (2 * (cut[i : j + 1] - cut[i])).astype(np.int32)
+                    columns = (rows["doc_id"].take(pa.array(row[i:j])), start[i:j], length[i:j].astype(np.int32), sizes[row[i:j]], _array(pa.binary(), offsets, ids[cut[i] : cut[j]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
     return run
 
 
-def _pieces(columns: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "start", "length", "doc_tokens", "ids"])
-
-
 def nonnegative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 3000) -> np.ndarray:
     """``x >= 0`` that minimises ``|a x - b|``, by accelerated projected gradients."""
     step = 1.0 / max(np.linalg.norm(a, 2) ** 2, 1e-12)
@@ -324,6 +397,6 @@ def _place(slots) -> Callable:
 
 def _widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        wide = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in batch["ids"].to_pylist()]
-        yield batch.set_column(batch.schema.get_field_index("ids"), "ids", pa.array(wide, pa.binary()))
-
+        ids, places = _flat(batch["ids"].cast(pa.large_binary()))
+        wide = _array(pa.binary(), (2 * places).astype(np.int32), ids.view("<u2").astype("<u4"))
+        yield batch.set_column(batch.schema.get_field_index("ids"), "ids", wide)

@@ -1,19 +1,21 @@
-"""Conversation repair, tokeniser alignment and SimHash classes against plain versions."""
+"""Conversation repair, tokeniser alignment, SimHash classes and token ids of columns against plain versions."""
 
 import collections
 import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_brute import nothing, odd, space_words  # noqa: F401
 from pyspark.sql import functions as F
 
 from conftest import SMALL_DIR
-from rulegrid.llm import align, queries, repair, simhash
+from rulegrid.llm import align, packing, queries, repair, simhash
 
 # 11 conversation repair
 
@@ -422,3 +424,50 @@ def test_no_secret_is_written(spark):
     shared.delete_tables(spark, since, shared.tables_written())
     with pytest.raises(Exception):
         spark.read.parquet(shared._WRITTEN[since]).count()
+
+
+# packing: token ids of whole columns
+
+
+def test_packing_tokenises_columns_not_words_or_rows():
+    rng = random.Random(21)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 9))) for _ in range(300)]
+    texts = [" ".join(words) + "."] + [" ".join(rng.choices(words, k=80)) + ".\n" + rng.choice(words) for _ in range(399)]
+
+    def calls(n):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(texts[:n])], names=["doc_id", "text"])
+        tokenise, seen, before = packing._tokenise(queries.vocabulary()), [], sys.getprofile()
+        sys.setprofile(lambda frame, event, arg: seen.append(event))
+        try:
+            rows = sum(len(x) for x in tokenise(iter([batch])))
+        finally:
+            sys.setprofile(before)
+        assert rows == n
+        return sum(event in ("call", "c_call") for event in seen)
+
+    calls(400)
+    assert calls(400) <= calls(100) + 50
+
+
+@pytest.mark.parametrize(("group_bytes", "pieces", "window"), [(8_000_000, 2_000, 2048), (40, 2, 4)])
+def test_packing_tokenises_columns_as_the_tokeniser_does(monkeypatch, group_bytes, pieces, window):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(packing, "GROUP_BYTES", group_bytes, raising=False)
+    monkeypatch.setattr(packing, "PIECES", pieces, raising=False)
+    monkeypatch.setattr(packing, "WINDOW", window)
+    rng = random.Random(22)
+    parts = ["a", "don't", "'s", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\u200b", "é", "à", "“", "…", "汉字", "😀", "12", "!", "<|endoftext|>", "<|endof", "text|>", " the"]
+    texts = [None, "", "x <|endof", "text|> y", "", " ", "\n", "<|endoftext|>", "end\n", "\u3000", *["".join(rng.choices(parts, k=rng.randrange(1, 30))) for _ in range(600)]]
+    ids = [None if i == 4 else i // 2 for i in range(len(texts))]  # null and repeated
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *ids]), pa.array(["before", *texts])], names=["doc_id", "text"]).slice(1)
+    expected = []
+    for doc_id, text in zip(ids, texts):
+        whole = [*tokens.encode(text or "", add_special_tokens=False).ids, 1]
+        expected += [(doc_id, i, len(whole[i : i + window]), len(whole), np.array(whole[i : i + window], "<u2").tobytes()) for i in range(0, len(whole), window)]
+    found = list(packing._tokenise(queries.vocabulary())(iter([batch.slice(0, 0), batch])))
+    assert [tuple(r.values()) for b in found for r in b.to_pylist()] == expected
+    wide = [x for b in packing._widen(iter(found)) for x in b["ids"].to_pylist()]
+    assert wide == [np.frombuffer(x[4], "<u2").astype("<u4").tobytes() for x in expected]
