@@ -18,8 +18,11 @@ class in both prefixes.  Rare tokens are therefore indexed singly, frequent ones
 A rare token of one document only cannot be shared and is counted as slack without being indexed, so most
 documents index nothing.  Which tokens count as frequent changes cost, never the result.
 
-Equal sets are one class from the start.  Sets that share signatures form blocks (components of the
-set-signature graph); the sets of a block are compared exactly in tasks of at most ``TILE_TOKENS`` tokens (a set counts as 200 more): a larger
+Equal sets are one class from the start.  In a large corpus sets that are nothing alike share signatures, and through
+them nearly all sets are connected.  So two holders of a signature are joined only if they may link: their sizes must
+allow it, and so must their *sketches*.  A sketch has one bit per value of the lower bits of a token's hash, set if an
+odd number of the set's tokens have that value; two sketches differ in at most as many bits as the sets in tokens, so no
+pair that links is lost.  Blocks are the components of what is joined; the sets of a block are compared exactly in tasks of at most ``TILE_TOKENS`` tokens (a set counts as 200 more): a larger
 block is cut into tiles, every pair of which meets in one task.  No pair of rows is ever emitted: a task
 returns one row per set with the smallest set it reaches there and its number of links.
 
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulegrid.llm.shared import connected_components, stored
+from rulegrid.llm.shared import connected_components, dropping_shuffles, stored
 from rulegrid.llm.words import mix, shingles, words_of
 
 COUNTED = np.uint64(1 << 62)  # a quarter of all tokens
@@ -45,6 +48,9 @@ CLASSES = 4
 BLOCK_DOCUMENTS = 2000
 MAX_FREQUENT = 100_000  # size bound of the broadcast list of frequent tokens: 800 KB
 TILE_TOKENS = 1_000_000
+TILE_HOLDERS = 4096  # sets of one signature that one task joins, or twice as many of two tiles
+SKETCH_WORDS = 128  # 64-bit words of a sketch at most; there is a bit per token up to that
+PAIR_WORDS = 1 << 21  # words of sketches compared at a time
 FILTER_WORDS = 1 << 17  # 64-bit words of the broadcast bit filter: 1 MB
 SEEN = 200_000  # digests that a task remembers to skip repeated texts
 
@@ -65,47 +71,57 @@ def digest(tokens: np.ndarray) -> int:
     return int(mix(np.array([total], dtype=np.uint64)).view(np.int64)[0])
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity of the number of tokens per value of their lower bits: a power of two of 64-bit words, more for larger sets."""
+    words = min(SKETCH_WORDS, 1 << max(0, (len(tokens) - 1).bit_length() - 6))
+    found = np.bincount((tokens & np.uint64(words * 64 - 1)).astype(np.int64), minlength=words * 64)
+    return np.packbits((found & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def missing(n: int, threshold: int) -> int:
     """How many of n tokens a partner may lack."""
     return n - -(-threshold * n // 100)
 
 
 def _describe(k: int) -> Callable:
-    """Rows ``(doc_id, n, s)`` per document and ``(token, hits)`` per frequent token of a block."""
+    """Rows ``(doc_id, n, s, sketch)`` per document and ``(token, hits)`` per frequent token of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
         seen: set[int] = set()
         for batch in batches:
-            n, s = [], []
+            n, s, sketches = [], [], []
             hot: list[tuple[int, int]] = []
             for _, tokens in token_sets(batch["text"], k):
                 n.append(len(tokens))
                 s.append(digest(tokens))
+                sketches.append(sketch(tokens))
                 if len(tokens) and s[-1] not in seen:
                     seen.add(s[-1])
                     kept.append(tokens)
                     if len(kept) >= BLOCK_DOCUMENTS:
                         hot += _frequent(kept)
                         kept, seen = [], set()
-            yield _described(batch["doc_id"], n, s)
+            yield _described(batch["doc_id"], n, s, sketches)
             yield _hot_rows(hot)
         yield _hot_rows(_frequent(kept))
 
     return run
 
 
-_DESCRIBED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("token", pa.int64()), ("hits", pa.int64())])
+_DESCRIBED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("sketch", pa.binary()), ("token", pa.int64()), ("hits", pa.int64())])
 
 
-def _described(doc_id: pa.Array, n: list[int], s: list[int]) -> pa.RecordBatch:
+def _described(doc_id: pa.Array, n: list[int], s: list[int], sketches: list[bytes]) -> pa.RecordBatch:
     none = pa.nulls(len(n), pa.int64())
-    return pa.RecordBatch.from_arrays([doc_id.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.int64()), none, none], schema=_DESCRIBED)
+    columns = [doc_id.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(sketches, pa.binary()), none, none]
+    return pa.RecordBatch.from_arrays(columns, schema=_DESCRIBED)
 
 
 def _hot_rows(hot: list[tuple[int, int]]) -> pa.RecordBatch:
     none = pa.nulls(len(hot), pa.int64())
-    return pa.RecordBatch.from_arrays([none, none, none, pa.array([x[0] for x in hot], pa.int64()), pa.array([x[1] for x in hot], pa.int64())], schema=_DESCRIBED)
+    columns = [none, none, none, pa.nulls(len(hot), pa.binary()), pa.array([x[0] for x in hot], pa.int64()), pa.array([x[1] for x in hot], pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, schema=_DESCRIBED)
 
 
 def _frequent(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -171,6 +187,95 @@ def _combinations(tokens: np.ndarray, lack: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _alike(threshold: int) -> Callable:
+    """Rows ``(a, b)`` that join the sets which may link, of rows ``(key, i, j, s, part, n, sketch)`` sorted by key, i and j."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
+            starts = _run_starts(rows)
+            if len(starts) > 1:
+                yield _joined(rows.slice(0, starts[-1]), threshold)
+            rest = rows.slice(starts[-1]) if len(starts) else None
+        if rest is not None:
+            yield _joined(rest, threshold)
+
+    return run
+
+
+def _run_starts(rows: pa.Table) -> np.ndarray:
+    """The first row of each run of equal (key, i, j)."""
+    if not len(rows):
+        return np.zeros(0, np.int64)
+    other = [np.diff(rows[c].to_numpy()) != 0 for c in ("key", "i", "j")]
+    return np.concatenate([[0], np.flatnonzero(np.logical_or.reduce(other)) + 1])
+
+
+def _joined(rows: pa.Table, threshold: int) -> pa.RecordBatch:
+    """Each set of a run that may link with another one of its run, beside the first of those that are joined with it."""
+    run = np.repeat(np.arange(len(starts := _run_starts(rows))), np.diff(starts, append=len(rows)))
+    order = np.lexsort((rows["n"].to_numpy(), run))
+    run = run[order]
+    s, n, part = (rows[c].to_numpy()[order] for c in ("s", "n", "part"))
+    across = (rows["i"].to_numpy() != rows["j"].to_numpy())[order]
+    raw = rows["sketch"].to_pylist()
+    sketches = _folded([raw[i] for i in order])
+    words = np.array([len(raw[i]) // 8 for i in order], np.int64)
+    # The larger sets that a row can link with follow it in its run.
+    place = run << 40 | n
+    counts = np.searchsorted(place, run << 40 | np.minimum(100 * n // threshold, (1 << 40) - 1), side="right") - np.arange(len(s)) - 1
+    first = np.arange(len(s))  # smallest row joined with a row
+    for i, j in _pairs(counts, words):
+        apart = (first[i] != first[j]) & ~(across[i] & (part[i] == part[j]))
+        i, j = i[apart], j[apart]
+        near = np.zeros(len(i), bool)
+        for w in np.unique(words[i]):  # sketches are compared at the smaller set's size
+            of = np.flatnonzero(words[i] == w)
+            at, bits = sketches[w]
+            differ = np.bitwise_count(bits[at[i[of]]] ^ bits[at[j[of]]]).sum(axis=1, dtype=np.int64)
+            near[of] = (100 + threshold) * differ <= (100 - threshold) * (n[i[of]] + n[j[of]])
+        i, j = i[near], j[near]
+        while len(i):
+            np.minimum.at(first, np.maximum(first[i], first[j]), np.minimum(first[i], first[j]))
+            while (first[first] != first).any():
+                first = first[first]
+            apart = first[i] != first[j]
+            i, j = i[apart], j[apart]
+    joined = np.flatnonzero(first != np.arange(len(s)))
+    return pa.RecordBatch.from_arrays([pa.array(s[joined], pa.int64()), pa.array(s[first[joined]], pa.int64())], names=["a", "b"])
+
+
+def _folded(raw: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By number of words: where a row's sketch is in the table of sketches of that size, and that table.  Larger sketches fold into it."""
+    words = np.array([len(x) // 8 for x in raw], np.int64)
+    out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    w, bits, rows = int(words.max(initial=1)), np.zeros((0, 0), np.uint64), np.zeros(0, np.int64)
+    while w:
+        own = np.flatnonzero(words == w)
+        fresh = np.frombuffer(b"".join([raw[i] for i in own]), np.uint64).reshape(-1, w)
+        bits = np.concatenate([bits[:, :w] ^ bits[:, w:], fresh]) if len(rows) else fresh
+        rows = np.concatenate([rows, own])
+        at = np.zeros(len(raw), np.int64)
+        at[rows] = np.arange(len(rows))
+        out[w] = at, bits
+        w //= 2
+    return out
+
+
+def _pairs(counts: np.ndarray, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every row with each of the ``counts`` rows after it, some ``PAIR_WORDS`` words of sketches at a time."""
+    cost = np.cumsum(counts * words)
+    at = 0
+    while at < len(counts):
+        end = max(at + 1, int(np.searchsorted(cost, (cost[at - 1] if at else 0) + PAIR_WORDS, side="right")))
+        many = counts[at:end]
+        i = np.repeat(np.arange(at, end), many)
+        if len(i):
+            yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+        at = end
+
+
 def _sets_in_filter(k: int, bits) -> Callable:
     """Rows ``(s, tokens)`` of the sets whose digest passes the bit filter."""
 
@@ -276,7 +381,17 @@ def similar_text_classes(docs: DataFrame, k: int = 3, threshold: int = 90) -> Da
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = stored(docs.mapInArrow(_describe(k), "doc_id long, n long, s long, token long, hits long"), "jaccard-sets")
+    with dropping_shuffles(spark):
+        rows, per_set = _set_classes(docs, k, threshold)
+    return rows.where("n > 0").join(per_set, "s").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links").union(
+        rows.where("n = 0").select("doc_id", "n", "doc_id", F.lit(0).cast("long"))
+    )
+
+
+def _set_classes(docs: DataFrame, k: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, n, s)`` per row, s naming its set, and ``(s, component_id, n_links)`` per set."""
+    spark = docs.sparkSession
+    described = stored(docs.mapInArrow(_describe(k), "doc_id long, n long, s long, sketch binary, token long, hits long"), "jaccard-sets")
     top = described.where("token is not null").groupBy("token").agg(F.sum("hits").alias("hits")).orderBy(F.desc("hits")).limit(MAX_FREQUENT).toArrow()
     frequent = np.sort(top["token"].to_numpy().astype(np.int64).view(np.uint64))
     rows = described.where("token is null").select("doc_id", "n", "s")
@@ -294,8 +409,16 @@ def similar_text_classes(docs: DataFrame, k: int = 3, threshold: int = 90) -> Da
         .where("not counted or place <= own - spare").select("key", "s")
     )
     index = stored(chosen, "jaccard-index")
-    least = index.groupBy("key").agg(F.min("s").alias("b"))
-    blocks = stored(connected_components(index.join(least, "key").where("s <> b").select(F.col("s").alias("a"), "b")), "jaccard-blocks")
+    held = index.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    holders = (
+        index.join(held, "key").withColumn("tiles", F.ceil(F.col("held") / TILE_HOLDERS).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("s"), F.col("tiles")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "s", "part")
+    )
+    sketches = described.where("n > 0").select("s", "n", "sketch").dropDuplicates(["s"])
+    alike = holders.join(sketches, "s").select("key", "i", "j", "s", "part", "n", "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    blocks = stored(connected_components(alike.mapInArrow(_alike(threshold), "a long, b long")), "jaccard-blocks")
 
     bits = spark.sparkContext.broadcast(_bit_filter(blocks.select(F.col("node").alias("s"))))
     sets = docs.mapInArrow(_sets_in_filter(k, bits), "s long, tokens binary")
@@ -329,7 +452,4 @@ def similar_text_classes(docs: DataFrame, k: int = 3, threshold: int = 90) -> Da
     )
     reached = stored(reached, "jaccard-classes")
     ids = reached.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    per_set = reached.join(ids, "component").select("s", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    return rows.where("n > 0").join(per_set, "s").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links").union(
-        rows.where("n = 0").select("doc_id", "n", "doc_id", F.lit(0).cast("long"))
-    )
+    return rows, reached.join(ids, "component").select("s", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))

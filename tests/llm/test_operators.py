@@ -263,6 +263,62 @@ def test_classes_on_odd_rows(odd, nothing):
     assert jaccard.similar_text_classes(nothing).count() == 0
 
 
+def kept_tables(monkeypatch):
+    """The tables that the operator stores, by name."""
+    found, stored = {}, jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: found.setdefault(name, stored(df, name)))
+    return found
+
+
+def sliding(n, parts=4):
+    """Texts of which each shares three of its four passages with the next one: all share rare shingles in a chain, none link; and two near copies."""
+    rng = random.Random(8)
+    passages = [" ".join(f"w{rng.random()}" for _ in range(12)) for _ in range(n + parts)]
+    texts = [" ".join(passages[i : i + parts]) for i in range(n)]
+    return list(enumerate([*texts, texts[5] + " end", texts[n // 2] + " end"]))
+
+
+def test_sets_that_cannot_link_share_no_block(spark, monkeypatch):
+    tables = kept_tables(monkeypatch)
+    rows = sliding(120)
+    got = jaccard.similar_text_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_classes(rows, 3, 90)
+    assert sorted(r["count"] for r in tables["jaccard-members"].groupBy("block").count().collect()) == [2, 2]
+
+
+@pytest.mark.parametrize("threshold", [80, 90])
+def test_classes_with_tiles_of_holders(spark, monkeypatch, threshold):
+    monkeypatch.setattr(jaccard, "TILE_HOLDERS", 4)
+    rows = near_copies(9)
+    got = jaccard.similar_text_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), threshold=threshold).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_classes(rows, 3, threshold)
+
+
+@pytest.mark.parametrize("pair_words", [1, 1 << 21])
+@pytest.mark.parametrize("threshold", [80, 90])
+def test_sketches_lose_no_link(monkeypatch, threshold, pair_words):
+    monkeypatch.setattr(jaccard, "PAIR_WORDS", pair_words)
+    rng = np.random.default_rng(5)
+    sets = []
+    for size in [1, 2, 11, 30, 63, 64, 65, 130, 900, 3000, 20_000]:  # the last is over SKETCH_WORDS
+        base = rng.integers(0, 2**63, size=size, dtype=np.uint64)
+        sets += [np.unique(np.concatenate([base[rng.random(size) > lost], rng.integers(0, 2**63, size=1, dtype=np.uint64)])) for lost in (0, 0.02, 0.06, 0.12, 0.4)]
+    assert {len(jaccard.sketch(x)) // 8 for x in sets} >= {1, 2, 4, 16, 64, 128}
+    part = np.arange(len(sets)) % 2
+    places = [(key, i, j, s) for key in (3, 9) for i, j in ((0, 0), (0, 1), (1, 1)) for s in range(len(sets)) if part[s] in (i, j) and s % 3 != key % 2]
+    columns = {"key": [x[0] for x in places], "i": [x[1] for x in places], "j": [x[2] for x in places], "s": [x[3] for x in places]}
+    columns |= {"part": [int(part[x[3]]) for x in places], "n": [len(sets[x[3]]) for x in places], "sketch": [jaccard.sketch(sets[x[3]]) for x in places]}
+    out = [(a, b) for r in jaccard._alike(threshold)(iter(pa.table(columns).to_batches(max_chunksize=7))) for a, b in zip(r["a"].to_pylist(), r["b"].to_pylist())]
+    names = list(range(len(sets)))
+    for _ in names:
+        for a, b in out:
+            names[a] = names[b] = min(names[a], names[b])
+    same = lambda a, b: any(a % 3 != k % 2 and b % 3 != k % 2 for k in (3, 9))  # noqa: E731  of one run
+    linked = [(a, b) for a in range(len(sets)) for b in range(a) if same(a, b) and 100 * (c := len(np.intersect1d(sets[a], sets[b]))) >= threshold * (len(sets[a]) + len(sets[b]) - c)]
+    assert len(linked) > 5 and all(names[a] == names[b] for a, b in linked)
+    assert len(set(names)) > len(sets) // 2  # and unlike ones stay apart
+
+
 # 4 secrets
 
 
