@@ -22,7 +22,7 @@ Equal sets are one class from the start.  In a large corpus sets that are nothin
 them nearly all sets are connected.  So two holders of a signature are joined only if they may link: their sizes must
 allow it, and so must their *sketches*.  A sketch has one bit per value of the lower bits of a token's hash, set if an
 odd number of the set's tokens have that value; two sketches differ in at most as many bits as the sets in tokens, so no
-pair that links is lost.  Blocks are the components of what is joined; the sets of a block are compared exactly in tasks of at most ``TILE_TOKENS`` tokens (a set counts as 200 more): a larger
+pair that links is lost.  Of the signatures that the same sets hold, one is looked at.  Blocks are the components of what is joined; the sets of a block are compared exactly in tasks of at most ``TILE_TOKENS`` tokens (a set counts as 200 more): a larger
 block is cut into tiles, every pair of which meets in one task.  No pair of rows is ever emitted: a task
 returns one row per set with the smallest set it reaches there and its number of links.
 
@@ -409,9 +409,11 @@ def _set_classes(docs: DataFrame, k: int, threshold: int) -> tuple[DataFrame, Da
         .where("not counted or place <= own - spare").select("key", "s")
     )
     index = stored(chosen, "jaccard-index")
-    held = index.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    # Of the signatures with the same holders, of which near copies have very many, one is enough.
+    holders_of = F.count(F.lit(1)).alias("held"), F.min("s").alias("low"), F.max("s").alias("high"), F.bit_xor(F.xxhash64("s")).alias("mixed")
+    held = index.groupBy("key").agg(*holders_of).where("held > 1").groupBy("held", "low", "high", "mixed").agg(F.min("key").alias("key"))
     holders = (
-        index.join(held, "key").withColumn("tiles", F.ceil(F.col("held") / TILE_HOLDERS).cast("int"))
+        index.join(held.select("key", "held"), "key").withColumn("tiles", F.ceil(F.col("held") / TILE_HOLDERS).cast("int"))
         .withColumn("part", F.pmod(F.xxhash64("s"), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "s", "part")

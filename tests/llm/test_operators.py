@@ -286,6 +286,17 @@ def test_sets_that_cannot_link_share_no_block(spark, monkeypatch):
     assert sorted(r["count"] for r in tables["jaccard-members"].groupBy("block").count().collect()) == [2, 2]
 
 
+def test_signatures_with_the_same_holders_are_compared_once(spark, monkeypatch):
+    edges, components = [], connected_components
+    monkeypatch.setattr(jaccard, "connected_components", lambda df: edges.append(df.count()) or components(df))
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.random()}" for _ in range(2000)) for _ in range(3)]
+    rows = list(enumerate([x for t in texts for x in (t, t + " more", t + " still more")]))
+    got = jaccard.similar_text_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_classes(rows, 3, 90)
+    assert edges[0] < 60  # they share some 200 signatures each
+
+
 @pytest.mark.parametrize("threshold", [80, 90])
 def test_classes_with_tiles_of_holders(spark, monkeypatch, threshold):
     monkeypatch.setattr(jaccard, "TILE_HOLDERS", 4)
