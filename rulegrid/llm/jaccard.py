@@ -22,8 +22,9 @@ Equal sets are one class from the start.  In a large corpus sets that are nothin
 them nearly all sets are connected.  So two holders of a signature are joined only if they may link: their sizes must
 allow it, and so must their *sketches*.  A sketch has one bit per value of the lower bits of a token's hash, set if an
 odd number of the set's tokens have that value; two sketches differ in at most as many bits as the sets in tokens, so no
-pair that links is lost.  Of the signatures that the same sets hold, one is looked at.  Blocks are the components of what is joined; the sets of a block are compared exactly in tasks of at most ``TILE_TOKENS`` tokens (a set counts as 200 more): a larger
-block is cut into tiles, every pair of which meets in one task.  No pair of rows is ever emitted: a task
+pair that links is lost.  Of the signatures that the same sets hold, one is looked at.  Blocks are the components of
+what is joined; the sets of a block are compared exactly in tasks of at most ``TILE_TOKENS`` tokens (a set counts as 200 more):
+a larger block is cut into tiles, every pair of which meets in one task.  No pair of rows is ever emitted: a task
 returns one row per set with the smallest set it reaches there and its number of links.
 
 Results for odd input: null or empty text, or text of separators only, has an empty set and links with
